@@ -1 +1 @@
-
+"""Named queries over the star-schema tables."""

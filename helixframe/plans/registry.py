@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from . import read_queries, sample_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = read_queries.QUERIES | sample_queries.QUERIES
+SQL: dict[str, str] = read_queries.SQL | sample_queries.SQL

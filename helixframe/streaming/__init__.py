@@ -1 +1 @@
-
+"""Streams of run arrivals."""
