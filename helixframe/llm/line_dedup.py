@@ -2,7 +2,8 @@
 
 Lines are exploded with a 128-bit hash of their key and their position, distinct documents are counted for each hash,
 and only hashes over the threshold go back to the lines they belong to. What reaches a document is the sorted list of
-positions to drop; the kept lines are the slices between them, so reassembly is one pass over the lines. Texts are
+positions to drop (the hashes are checkpointed in between, so that the join deals out both of its sides and Spark can split
+a hot hash among tasks); the kept lines are the slices between them, so reassembly is one pass over the lines. Texts are
 shuffled once, by document; a hash that a third of all lines share is counted with partial sums before the shuffle and
 split by Spark's skew handling in the join, whose rows are three numbers wide.
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLANKS, as_row, ascii_lower, from_row, table
+from .common import BLANKS, as_row, ascii_lower, checkpoint, from_row, table
 
 LEAST_CHARS = 20
 LEAST_DOCS = 3
@@ -43,7 +44,7 @@ def dropped_positions(docs: DataFrame, least_chars: int = LEAST_CHARS, least_doc
         .where(F.char_length("key") >= least_chars)
         .select("id", "text_hash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
     )
-    common = (
+    common = checkpoint(
         lines.groupBy("h1", "h2").agg(F.count_distinct("id").alias("docs"), F.max("id").alias("last"))
         .where(F.col("docs") >= least_docs).select("h1", "h2", "last")
     )
