@@ -238,7 +238,9 @@ def links(distinct: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
         some = not crowded.isEmpty()
         whole = left.join(crowded, ["mask", "value"], "left_anti") if some else left
         bucket = F.xxhash64("mask", "value")
-        dealt = whole.select(bucket.alias("bucket"), "fp").repartition("bucket").sortWithinPartitions("bucket")
+        # a number of its own, since the work is in the pairs and tasks coalesced by their few bytes would be long
+        tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = whole.select(bucket.alias("bucket"), "fp").repartition(tasks, "bucket").sortWithinPartitions("bucket")
         got = dealt.mapInArrow(_bucket_links(bits), "a long, b long")
         found = got if found is None else found.unionByName(got)
         if not some:
