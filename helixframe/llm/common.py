@@ -9,9 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: White space of the text contracts, as characters and as a class.
+#: White space of the text contracts.
 BLANKS = " \t\n\x0b\x0c\r"
-PLAIN_WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +22,19 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def words_between(text: Column, gaps: str, lower: bool = False) -> Column:
+    """What stands between characters of `gaps`, with A-Z lower-cased on request; none for null.
+
+    The gaps become blanks in the pass that lower-cases, and a split at one blank needs no regular expression.
+    """
+    upper = string.ascii_uppercase if lower else ""
+    even = F.translate(text, upper + gaps, upper.lower() + " " * len(gaps))
+    return F.coalesce(F.array_remove(F.split(even, " "), ""), F.array().cast("array<string>"))
+
+
 def plain_words(text: Column) -> Column:
     """The words between white space; none for null."""
-    return F.coalesce(F.regexp_extract_all(text, F.lit(PLAIN_WORD), F.lit(0)), F.array().cast("array<string>"))
+    return words_between(text, BLANKS)
 
 
 def shared_dir(spark: SparkSession) -> str:

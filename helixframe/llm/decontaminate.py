@@ -22,9 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_row, ascii_lower, from_row, table
+from .common import as_row, from_row, table, words_between
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words are runs of anything else, A-Z lower-cased.
+GAPS = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 WINDOW = 10
 SHINGLE = 3
 #: Prefix rows, of some hundred bytes each, that may be broadcast.
@@ -32,7 +33,7 @@ BROADCAST_ROWS = 200_000
 
 
 def item_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    return words_between(text, GAPS, lower=True)
 
 
 def windows(items: DataFrame, window: int = WINDOW) -> DataFrame:

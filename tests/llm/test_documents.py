@@ -12,8 +12,9 @@ import numpy as np
 import pytest
 import xxhash
 from conftest import same
+from pyspark.sql import functions as F
 
-from helixframe.llm import decontaminate, language_id, line_dedup, line_quality, packing, simhash, token_counts, token_matrix
+from helixframe.llm import common, decontaminate, language_id, line_dedup, line_quality, packing, simhash, token_counts, token_matrix
 
 ODD = [
     (1, "Hello there, this line is long enough\nshort\n", "en"), (2, "hello THERE, this line is long enough ", "en"), (3, "x\n\tHello there, this line is long enough", "en"),
@@ -243,7 +244,7 @@ TEXTS = [(1, "x A b c d e f g h i j Z"), (2, "q q"), (3, "p p p p"), (4, None),
 
 
 def plain_hits(text, items, w=10):
-    split = lambda t: re.findall(decontaminate.WORD, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     words, hit, ids = split(text), set(), set()
     for item, t in items:
         own = split(t)
@@ -465,3 +466,12 @@ def test_long_lengths_are_binned_up(spark):
     got = spark.range(1, 60_000, 7).select("id", packing.bin_of(packing.F.col("id")).alias("b")).collect()
     for r in got:
         assert r["b"] == r["id"] if r["id"] <= 4096 else r["id"] <= r["b"] <= r["id"] * (1 + 2 / 4096)
+
+
+def test_words_are_those_of_the_contracts(spark):
+    texts = [None, "", " ", "one", " A\tb\x0bC\x0c\r\nd ", "a\x00b\x7fc", "Ünï_cöde-Wörd's 42", "x\x85y\u2028z\xa0w", "".join(map(chr, range(0x250))), "😀 a😀b İI", "  \n\n  "]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = rows.orderBy("i").select(common.plain_words(F.col("text")).alias("plain"), decontaminate.item_words(F.col("text")).alias("item")).collect()
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    assert [r["plain"] for r in got] == [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    assert [r["item"] for r in got] == [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t)) for t in texts]
