@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import decontaminate, language_id, line_dedup, packing, simhash
+from helixframe.llm import decontaminate, language_id, line_dedup, near_copies, packing
 from helixframe.llm.common import new_folder, table
 
 
@@ -19,8 +19,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return simhash.near_dedup(docs)
+    """One document of each group of near duplicates (five-word Jaccard of 0.8 or more) stays."""
+    return near_copies.near_dedup(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
