@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,6 +151,24 @@ def coordinate_sort(reads: DataFrame, sq: DataFrame) -> DataFrame:
     return found.orderBy(F.col("unmapped"), F.col("idx").asc_nulls_last(), "pos", "qname", "read_no").select(*reads.columns)
 
 
+def coordinate_places(reads: DataFrame, sq: DataFrame) -> DataFrame:
+    """Every read with its `place` in coordinate order, from 1.
+
+    The range-sorted partitions are kept in the checkpoint folder and numbered by their sizes, so no task gets all rows.
+    """
+    sc = reads.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(reads.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-"))
+    at = F.monotonically_increasing_id()
+    placed = coordinate_sort(reads, sq).checkpoint().withColumns({"_part": F.shiftright(at, 33), "_row": at.bitwiseAND(F.lit((1 << 33) - 1))})
+    offsets, total = [], 0
+    for part, rows in sorted((r[0], r[1]) for r in placed.groupBy("_part").count().collect()):  # a row for each partition
+        offsets.append((part, total))
+        total += rows
+    starts = reads.sparkSession.createDataFrame(offsets, "_part long, _offset long")
+    return placed.join(F.broadcast(starts), "_part").select(*reads.columns, (F.col("_offset") + F.col("_row") + 1).alias("place"))
+
+
 def order_pair_files(files: DataFrame) -> DataFrame:
     """(file, lane, read_no) of sequence files, first read before second; other names are an error."""
     name = F.regexp_extract("file", r"([^/]+)$", 1)

@@ -228,10 +228,13 @@ def mark_duplicates(spark, sf_dir):
 @query("coordinate_sort", WITH + """, d(sn, idx) AS (VALUES ('chr1', 0), ('chr2', 1), ('gi|9626372|ref|NC_001422.1|', 2), ('chr3', 3), ('chr4', 4), ('chr5', 5))
 SELECT qname, read_no, row_number() OVER (ORDER BY unmapped, idx NULLS LAST, pos, qname, read_no) AS place FROM reads LEFT JOIN d ON rname = sn ORDER BY place LIMIT 1000""")
 def coordinate_sort(spark, sf_dir):
-    got = O.coordinate_sort(reads(spark, sf_dir), dictionary(spark)).limit(1000).select("qname", "read_no", F.monotonically_increasing_id().alias("at"))
-    from pyspark.sql import Window
+    return coordinate_places(spark, sf_dir).where("place <= 1000")  # of all reads' places, those that this SQL has
 
-    return got.select("qname", "read_no", F.row_number().over(Window.orderBy("at")).cast("long").alias("place"))  # a report of the first 1,000
+
+@query("coordinate_places", WITH + """, d(sn, idx) AS (VALUES ('chr1', 0), ('chr2', 1), ('gi|9626372|ref|NC_001422.1|', 2), ('chr3', 3), ('chr4', 4), ('chr5', 5))
+SELECT qname, read_no, row_number() OVER (ORDER BY unmapped, idx NULLS LAST, pos, qname, read_no) AS place FROM reads LEFT JOIN d ON rname = sn""")
+def coordinate_places(spark, sf_dir):
+    return O.coordinate_places(reads(spark, sf_dir), dictionary(spark)).select("qname", "read_no", "place")
 
 
 @query("fix_mate_information", WITH + f""", e AS (SELECT *, {END} AS e FROM reads)
