@@ -281,7 +281,11 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, h
 
 
 def near_dedup(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:
-    """Of each component the row with the smallest doc_id stays (one of them, if rows repeat); rows without doc_id, which cannot be named, all stay."""
+    """Of each component the row with the smallest doc_id stays (one of them, if rows repeat); rows without doc_id, which cannot be named, all stay.
+
+    doc_id must be unique but for repeated rows: of rows with one doc_id and other texts a single one stays. The pipeline
+    takes near_copies.near_dedup(), which keeps one row of each component.
+    """
     got = near_duplicates(docs, bits, shingle)
     stay = got.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
