@@ -140,8 +140,9 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
     five = F.when(F.col("neg"), R.unclipped_end()).otherwise(R.unclipped_start())
     ok = ~F.col("unmapped") & ~F.col("not_primary")
     ends = reads.where(ok).groupBy("qname").agg(F.array_sort(F.collect_list(F.struct("rname", five.alias("at"), "neg"))).alias("ends"), F.sum(R.quality_sum()).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("ends").orderBy(F.desc("score"), "qname"))
-    again = ends.select("qname", (rank > 1).alias("again"))
+    # the best of each key by partial sums, and joined back, so that a key of very many copies is never sorted in one task
+    best = ends.groupBy("ends").agg(F.min(F.struct(F.col("score").isNull(), -F.col("score"), "qname"))["qname"].alias("best"))
+    again = ends.join(best, "ends").select("qname", (F.col("qname") != F.col("best")).alias("again"))
     return reads.join(again, "qname", "left").withColumn("dup", ok & F.coalesce("again", F.lit(False))).select(*reads.columns)
 
 
