@@ -257,11 +257,11 @@ def plain_hits(text, items, w=10):
     return len(words), len(hit), len(ids), sorted(ids), bool(hit)
 
 
-@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
-def test_decontamination_of_odd_rows(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_decontamination_of_odd_rows(spark, broadcast_bytes):
     docs = spark.createDataFrame([(d, t, "y", 1) for d, t in TEXTS], "doc_id long, text string, ids string, start int")
     items = spark.createDataFrame([(i, t, "z") for i, t in ITEMS], "item_id long, text string, words string")
-    got = sorted((tuple(r) for r in decontaminate.decontaminate(docs, items, broadcast_rows=broadcast_rows).collect()), key=repr)
+    got = sorted((tuple(r) for r in decontaminate.decontaminate(docs, items, broadcast_bytes=broadcast_bytes).collect()), key=repr)
     assert got == sorted(((d, *plain_hits(t, ITEMS)) for d, t in TEXTS), key=repr)
     assert decontaminate.decontaminate(docs, items.limit(0)).where("contaminated").count() == 0
     assert decontaminate.decontaminate(docs.limit(0), items).count() == 0
@@ -270,6 +270,20 @@ def test_decontamination_of_odd_rows(spark, broadcast_rows):
     assert sorted((r["doc_id"], r["text"]) for r in clean.collect()) == sorted((d, t) for d, t in TEXTS if d is not None and not plain_hits(t, ITEMS)[4]) or clean.count() == sum(not plain_hits(t, ITEMS)[4] for _, t in TEXTS)
 
 
+def test_decontamination_runs_no_python(spark, sf):
+    plan = decontaminate.op2_decontaminate(spark, sf)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "ExternalRDD" not in plan and "parallelize" not in plan
+
+
+def test_a_passage_that_most_documents_hold(spark):
+    """Many documents, items and windows that share one passage; ids are those of each item that has it."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    items = [(i, passage + f" own{i} " + " ".join(f"i{i}x{k}" for k in range(12))) for i in range(30)]
+    docs = [(i, f"a{i} {passage} b{i}" if i % 3 else f"clean text number {i}") for i in range(300)] + [(999, f"{items[3][1]} and {passage}")]
+    got = decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(((d, *plain_hits(t, items)) for d, t in docs), key=repr)
+
+
 # quality
 
 
