@@ -93,8 +93,27 @@ def unclipped_end(pos="pos", cigar="cigar") -> Column:
     return alignment_end(pos, cigar) + cigar_length(tail, "SH")
 
 
+def soft_clipped(cigar: Column, kept: Column) -> Column:
+    """The CIGAR with only the first `kept` bases of the read aligned or inserted as they were and the others soft-clipped; a hard clip at the end stays."""
+    part = F.regexp_extract_all(cigar, F.lit(r"\d+[MIDNSHP=X]"), F.lit(0))
+    state = F.struct(F.lit(0).cast("long").alias("used"), F.lit("").alias("out"))
+
+    def add(s: Column, e: Column) -> Column:
+        n, op = F.regexp_extract(e, r"(\d+)", 1).cast("long"), F.substring(e, -1, 1)
+        of_read, room = op.isin(*"MIS=X"), F.greatest(kept - s["used"], F.lit(0))
+        piece = F.when(of_read & (room > 0), F.concat(F.least(n, room).cast("string"), op)).when(~of_read & (room > 0), e).otherwise("")
+        return F.struct((s["used"] + F.when(of_read, n).otherwise(0)).alias("used"), F.concat(s["out"], piece).alias("out"))
+
+    end = F.aggregate(part, state, add)
+    front = F.regexp_extract(end["out"], r"^(\d+H)?", 1)
+    bare = F.regexp_replace(end["out"], r"^(\d+H)?(\d+S)?", "") == ""
+    tail = F.regexp_extract(cigar, r"[^H](\d+H)$", 1)
+    rest = end["used"] - F.greatest(kept, F.lit(0))
+    return F.when(rest <= 0, cigar).when(bare, F.concat(front, end["used"].cast("string"), F.lit("S"), tail)).otherwise(F.concat(F.regexp_replace(end["out"], r"(?<=\D)\d+S$", ""), F.lit(""), rest.cast("string"), F.lit("S"), tail))
+
+
 def quality_sum(qual="qual", least: int = 15) -> Column:
-    """Sum of the base qualities of at least `least`; each of the possible characters is counted, so no base is exploded."""
+    """Sum of the base qualities of at least `least`, a fold over the characters."""
     return F.coalesce(F.aggregate(F.split(col(qual), ""), F.lit(0).cast("long"), lambda a, c: a + F.when(F.ascii(c) - 33 >= least, F.ascii(c) - 33).otherwise(0)), F.lit(0).cast("long"))
 
 

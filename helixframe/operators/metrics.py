@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,15 +167,16 @@ def target_depth(reads: DataFrame, targets: DataFrame, bin_size: int = 1024) ->
 
 def capture_metrics(reads: DataFrame, targets: DataFrame, buffer: int = 100) -> DataFrame:
     """One row: reads, duplicates, aligned, on target, on buffer, hits, mean coverage and bases by least depth."""
-    hits = capture_overlap(reads, targets, buffer)
-    by_read = hits.groupBy("qname", "read_no").agg(F.max("on_target").alias("on_target"))
-    n_reads = by_read.agg(count_if(F.col("on_target")).alias("target_reads"), F.count(F.lit(1)).alias("target_or_buffer_reads"))
-    by_target = hits.groupBy("chr", "start_pos", "end_pos").agg(F.max("on_target").alias("hit")).agg(count_if(F.col("hit")).alias("targets_hit"), F.count(F.lit(1)).alias("target_buffers_hit"))
+    read, target = F.struct("qname", "read_no"), F.struct("chr", "start_pos", "end_pos")
+    on = lambda key: F.when(F.col("on_target"), key)
+    # the distinct reads and targets of one overlap join, which is made once
+    hits = capture_overlap(reads, targets, buffer).agg(
+        F.count_distinct(on(read)).alias("target_reads"), F.count_distinct(read).alias("target_or_buffer_reads"), F.count_distinct(on(target)).alias("targets_hit"), F.count_distinct(target).alias("target_buffers_hit"))
     totals = reads.agg(F.count(F.lit(1)).alias("total_reads"), count_if(~F.col("unmapped")).alias("aligned_reads"), count_if(~F.col("unmapped") & F.col("dup")).alias("duplicate_reads"))
     depth = target_depth(reads, targets)
     bases = depth.agg(F.sum("bases").alias("target_bases"), (F.sum(F.col("bases") * F.col("depth")) / F.sum("bases")).alias("mean_coverage"),
                       *[F.coalesce(F.sum(F.when(F.col("depth") >= k, F.col("bases"))), F.lit(0)).alias(f"bases_{k}x") for k in (1, 4, 10, 20, 40)])
-    out = totals.crossJoin(n_reads).crossJoin(by_target).crossJoin(targets.distinct().agg(F.count(F.lit(1)).alias("total_targets"))).crossJoin(bases)  # one row each
+    out = totals.crossJoin(hits).crossJoin(targets.distinct().agg(F.count(F.lit(1)).alias("total_targets"))).crossJoin(bases)  # one row each
     return out.withColumn("buffer_reads", F.col("target_or_buffer_reads") - F.col("target_reads"))
 
 
@@ -183,14 +185,26 @@ CALCULATORS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "alignment": alignment_metrics, "pairs": pair_metrics, "insert_size": lambda reads: insert_size_metrics(insert_size_histogram(reads)),
     "insert_size_histogram": insert_size_histogram, "quality": quality_by_position, "n_content": n_distribution,
 }
+BUILT_IN = frozenset(CALCULATORS)
 
 
 def register(name: str, calculator: Callable[[DataFrame], DataFrame]) -> None:
     CALCULATORS[name] = calculator
 
 
+#: What the calculators above read.
+SUITE_COLUMNS = ["paired", "read_no", "unmapped", "mate_unmapped", "neg", "mate_neg", "dup", "not_primary", "rname", "rnext", "pos", "pnext", "tlen", "cigar", "md", "seq", "qual"]
+
+
 def metric_suite(reads: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """(calculator, metric, value) of all calculators; each scans only the columns it needs."""
+    """(calculator, metric, value) of all calculators, which share one scan of `reads`.
+
+    The scan's rows are kept by the executors, on disk where memory is short, in their own columns, of which each calculator
+    reads those it needs; rows of lost executors are read again. `reads.unpersist()` or clearCache() frees them.
+    """
+    if set(names or CALCULATORS) <= BUILT_IN and set(SUITE_COLUMNS) <= set(reads.columns):
+        reads = reads.select(*SUITE_COLUMNS)
+    reads = reads.persist(StorageLevel.MEMORY_AND_DISK)
     out = None
     for name in names or list(CALCULATORS):
         got = CALCULATORS[name](reads)

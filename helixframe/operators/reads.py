@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import reads as R
+from ..sources.shared import checkpoint_folder
 
 #: Fixed value: the control genome's contig.
 CONTAMINANT = "gi|9626372|ref|NC_001422.1|"
-#: Rows of a header table, at most, that are broadcast; they are counted first.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a header or sample table, at most, that are broadcast; they are added up first.
+BROADCAST_BYTES = 32 << 20
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint if `df` has at most `most` rows, else `df` as it is."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint if the rows of `df` take at most `most` bytes (text, and 16 a column), else `df` as it is."""
+    width = lambda c, kind: F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) + 16 if kind == "string" else F.lit(16)
+    size = df.agg(F.sum(sum((width(c, k) for c, k in df.dtypes), F.lit(0)).cast("long"))).first()[0]
+    return F.broadcast(df) if (size or 0) <= most else df
 
 
 def contaminant_names(reads: DataFrame, contig: str = CONTAMINANT) -> DataFrame:
@@ -136,9 +137,10 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
     """Of the primary mapped reads with equal reference, unclipped 5' end, strand and mate's end, the one with the highest base-quality sum stays.
 
     Both reads of a pair are judged by the pair: its key is both ends in order, its score both sums. Ties go to the smallest name.
+    Reads without a name (null or `*`) belong to no pair: they are not marked and mark no others.
     """
     five = F.when(F.col("neg"), R.unclipped_end()).otherwise(R.unclipped_start())
-    ok = ~F.col("unmapped") & ~F.col("not_primary")
+    ok = ~F.col("unmapped") & ~F.col("not_primary") & F.coalesce(F.col("qname") != "*", F.lit(False))
     ends = reads.where(ok).groupBy("qname").agg(F.array_sort(F.collect_list(F.struct("rname", five.alias("at"), "neg"))).alias("ends"), F.sum(R.quality_sum()).alias("score"))
     # the best of each key by partial sums, and joined back, so that a key of very many copies is never sorted in one task
     best = ends.groupBy("ends").agg(F.min(F.struct(F.col("score").isNull(), -F.col("score"), "qname"))["qname"].alias("best"))
@@ -146,6 +148,18 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
     return reads.join(again, "qname", "left").withColumn("dup", ok & F.coalesce("again", F.lit(False))).select(*reads.columns)
 
 
+def clip_to_contig(reads: DataFrame, sq: DataFrame) -> DataFrame:
+    """Mapped reads that reach over the end of their contig get the bases from there on soft-clipped; apply it where wanted, nothing else does.
+
+    The bases kept are as many as there are positions left on the contig before its last one; MD is left as it is. Reads that
+    start behind the end, and reads on contigs that `sq` does not have, stay as they are.
+    """
+    named = reads.join(small(sq.select(F.col("sn").alias("rname"), F.col("ln").alias("_ln"))), "rname", "left")
+    over = ~F.col("unmapped") & (R.alignment_end() > F.col("_ln")) & (F.col("pos") <= F.col("_ln"))
+    clipped = R.soft_clipped(F.col("cigar"), F.col("_ln") - F.col("pos"))
+    return named.withColumn("cigar", F.when(F.coalesce(over, F.lit(False)), clipped).otherwise(F.col("cigar"))).select(*reads.columns)
+
+
 def coordinate_sort(reads: DataFrame, sq: DataFrame) -> DataFrame:
     """By dictionary index and position, unmapped reads last; a range partitioning over the cluster."""
     found = reads.join(small(sq.select(F.col("sn").alias("rname"), "idx")), "rname", "left")
@@ -157,9 +171,7 @@ def coordinate_places(reads: DataFrame, sq: DataFrame) -> DataFrame:
 
     The range-sorted partitions are kept in the checkpoint folder and numbered by their sizes, so no task gets all rows.
     """
-    sc = reads.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(reads.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-"))
+    checkpoint_folder(reads.sparkSession)
     at = F.monotonically_increasing_id()
     placed = coordinate_sort(reads, sq).checkpoint().withColumns({"_part": F.shiftright(at, 33), "_row": at.bitwiseAND(F.lit((1 << 33) - 1))})
     offsets, total = [], 0

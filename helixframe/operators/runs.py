@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 #: Marker files of a run folder.
 FINISHED = ".rsync_finished"
 COMPLETE = "RTAComplete.txt"
-NETCOPY = "Basecalling_Netcopy_complete"
-NETCOPIES = 3
+NETCOPY = "Basecalling_Netcopy_complete.txt"
+NETCOPIES = [NETCOPY, "Basecalling_Netcopy_complete_READ1.txt", "Basecalling_Netcopy_complete_READ2.txt"]
+#: The version whose runs are judged by their copy markers, and the machine that is started by hand.
+NETCOPY_VERSION = "1.9"
+BY_HAND = "SN601"
 SETTLE_S = 3600
 
 
@@ -19,23 +22,41 @@ def new_runs(listing: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def run_state(files: DataFrame) -> DataFrame:
-    """A row a run: its markers, the number of copy markers and the newest one's time."""
+    """A row a run: its markers, whether each of the copy markers is there, the first one's time, and its `version` if listed.
+
+    Sums and maxima only, so that a stream can keep it as its state.
+    """
     has = lambda name: F.coalesce(F.bool_or(F.col("file") == name), F.lit(False))
-    copy = F.col("file").startswith(NETCOPY)
-    return files.groupBy("instrument", "flowcell").agg(has(FINISHED).alias("finished"), has(COMPLETE).alias("complete"), F.count_if(copy).alias("netcopies"), F.max(F.when(copy, F.col("mtime"))).alias("netcopy_time"), F.max(F.when(F.col("file") == COMPLETE, F.col("mtime"))).alias("complete_time"))
+    time = lambda name: F.max(F.when(F.col("file") == name, F.col("mtime")))
+    copied = has(NETCOPIES[0])
+    for name in NETCOPIES[1:]:
+        copied = copied & has(name)
+    version = [F.max("version").alias("version")] if "version" in files.columns else []
+    return files.groupBy("instrument", "flowcell").agg(has(FINISHED).alias("finished"), has(COMPLETE).alias("complete"), copied.alias("copied"), time(NETCOPY).alias("netcopy_time"), time(COMPLETE).alias("complete_time"), *version)
+
 
+def ready(now: Column, settle_s: int = SETTLE_S) -> tuple[Column, Column]:
+    """(ready, mark) over run_state() with `version`: ready now; to be marked as finished for the next poll.
 
-def ready(now: Column, settle_s: int = SETTLE_S, netcopies: int = NETCOPIES) -> tuple[Column, Column]:
-    """(ready, mark): ready now; to be marked as finished for the next poll."""
+    A run of NETCOPY_VERSION is ready when all its copy markers are there and the first is `settle_s` old. Runs of other or
+    unknown versions wait for their completion or finished marker.
+    """
     old = F.unix_timestamp(now) - F.unix_timestamp("netcopy_time") >= settle_s
-    gated = F.col("flowcell").contains("SN601")
-    is_ready = F.when(F.col("finished"), True).when(gated | F.col("complete"), False).otherwise((F.col("netcopies") >= netcopies) & F.coalesce(old, F.lit(False)))
+    gated = F.col("flowcell").contains(BY_HAND)
+    copied = F.col("copied") & F.coalesce(F.col("version").contains(NETCOPY_VERSION), F.lit(False))
+    is_ready = F.when(F.col("finished"), True).when(gated | F.col("complete"), False).otherwise(copied & F.coalesce(old, F.lit(False)))
     return is_ready, ~F.col("finished") & ~gated & F.col("complete")
 
 
-def run_ready(files: DataFrame, now: Column, settle_s: int = SETTLE_S, netcopies: int = NETCOPIES) -> DataFrame:
-    is_ready, mark = ready(now, settle_s, netcopies)
-    return run_state(files).select("instrument", "flowcell", is_ready.alias("ready"), mark.alias("mark"))
+def run_ready(files: DataFrame, now: Column, versions: DataFrame | None = None, settle_s: int = SETTLE_S) -> DataFrame:
+    """(instrument, flowcell, ready, mark); `versions` (instrument, flowcell, version), a row a run, or a `version` column of `files`."""
+    is_ready, mark = ready(now, settle_s)
+    state = run_state(files)
+    if versions is not None:
+        state = state.drop("version").join(versions.select("instrument", "flowcell", "version"), ["instrument", "flowcell"], "left")
+    elif "version" not in files.columns:
+        state = state.withColumn("version", F.lit(None).cast("string"))
+    return state.select("instrument", "flowcell", is_ready.alias("ready"), mark.alias("mark"))
 
 
 def run_finished_date(wanted: DataFrame, files: DataFrame) -> DataFrame:

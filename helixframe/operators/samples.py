@@ -10,14 +10,21 @@ from .reads import small
 
 
 def barcode_distance(barcodes: DataFrame, less_than: int = 2) -> DataFrame:
-    """(tag1, tag2, distance) of pairs of a barcode map that are closer than `less_than`.
+    """(tag1, tag2, distance) of pairs of rows of a barcode map that are closer than `less_than`, each row with all later ones.
 
-    A map is what one machine can tell apart (a few hundred rows), and its pairs are the question asked.
+    Rows are in the order of `line_no`, or of (tag, seq) without such a column; rows may repeat a tag or a sequence. Two
+    sequences with fewer than `less_than` differences agree on one of as many pieces, so rows meet by an equi-join on pieces.
+    Where the shortest sequence has fewer letters than that, every pair is in question and the map (a few hundred rows, what
+    one machine can tell apart) is one piece.
     """
-    a = barcodes.select(F.col("tag").alias("tag1"), F.col("seq").alias("seq1"))
-    b = barcodes.select(F.col("tag").alias("tag2"), F.col("seq").alias("seq2"))
-    pairs = a.join(small(b, 100_000), F.col("tag1") < F.col("tag2"))
-    return pairs.select("tag1", "tag2", N.hamming_distance("seq1", "seq2").alias("distance")).where(F.col("distance") < less_than)
+    order = ["line_no"] if "line_no" in barcodes.columns else ["tag", "seq"]
+    rows = barcodes.select("tag", "seq", F.row_number().over(Window.orderBy(*order)).alias("at"))
+    width = (barcodes.agg(F.min(F.length("seq"))).first()[0] or 0) // max(1, less_than)
+    piece = F.array(*[F.struct(F.lit(k).alias("k"), F.substring("seq", k * width + 1, width).alias("s")) for k in range(max(1, less_than if width else 1))])
+    cut = rows.select("at", "tag", "seq", F.explode(piece).alias("piece"))
+    side = lambda k: cut.select("piece", F.col("at").alias(f"at{k}"), F.col("tag").alias(f"tag{k}"), F.col("seq").alias(f"seq{k}"))
+    near = side(1).join(side(2), "piece").where(F.col("at1") < F.col("at2")).withColumn("distance", N.hamming_distance("seq1", "seq2")).where(F.col("distance") < less_than)
+    return near.groupBy("at1", "at2", "tag1", "tag2").agg(F.max("distance").alias("distance")).select("tag1", "tag2", "distance")
 
 
 def pad_barcodes(barcodes: DataFrame, keys: list[str] | None = None, pad: str = "CTC") -> DataFrame:
@@ -90,13 +97,9 @@ def lane_info_lookup(definition: DataFrame, lane_barcodes: DataFrame) -> DataFra
     """The attributes of each lane barcode in a flowcell definition; an unknown one is an error."""
     info = definition.select("name", "type", "read_length", F.explode("info").alias("i")).select("name", "type", "read_length", "i.*")
     both = lane_barcodes.join(info, lane_barcodes["lane_barcode"] == info["id"], "left")
-    known = F.when(F.col("id").isNull(), F.raise_error(F.concat(F.lit("Invalid barcode specified : "), "lane_barcode")).cast("string")).otherwise(F.col("id"))
+    known = F.when(F.col("id").isNull(), F.raise_error(F.concat(F.lit("no such lane barcode in the definition: "), "lane_barcode")).cast("string")).otherwise(F.col("id"))
     return both.withColumn("id", known)
 
 
 def is_multiplexed(lane_barcodes: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return lane_barcodes.groupBy(*(keys or [])).agg(F.coalesce(F.bool_or(N.is_multiplexed_name("lane_barcode")), F.lit(False)).alias("multiplexed"))
-
-
-def first_in_lane(dirs: DataFrame) -> DataFrame:
-    return dirs.withColumn("n", F.row_number().over(Window.partitionBy("flowcell", "lane", "tag").orderBy("line_no"))).where("n = 1").drop("n")

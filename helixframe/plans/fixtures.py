@@ -42,6 +42,15 @@ SELECT concat('EAS', CAST(user_id % 4 AS STRING)) AS instrument, concat('FC', CA
   CASE event_type WHEN 'signup' THEN 'RTAComplete.txt' WHEN 'purchase' THEN 'Basecalling_Netcopy_complete.txt' WHEN 'error' THEN '.rsync_finished' ELSE 'other' END AS file, ts AS mtime
 FROM {events}
 """
+#: About three files a run, in all states: each marker alone, some or all of the copy markers (once or repeated), versions that
+#: are judged by them and others, machines that are started by hand, and none of these.
+RUN_MARKERS = """
+SELECT concat('EAS', CAST(user_id % 4 AS STRING)) AS instrument, concat(CASE WHEN user_id % 11 = 0 THEN 'SN601_' ELSE '' END, 'FC', CAST(user_id AS STRING), '_', CAST(event_id % 24 AS STRING)) AS flowcell,
+  CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN '.rsync_finished' WHEN event_type = 'signup' AND event_id % 5 = 0 THEN 'RTAComplete.txt' WHEN event_id % 7 < 2 THEN 'Basecalling_Netcopy_complete.txt'
+       WHEN event_id % 7 < 4 THEN 'Basecalling_Netcopy_complete_READ1.txt' WHEN event_id % 7 < 6 THEN 'Basecalling_Netcopy_complete_READ2.txt' ELSE 'other' END AS file,
+  ts AS mtime, CASE WHEN user_id % 5 = 0 THEN NULL WHEN user_id % 5 = 1 THEN '1.12.4' ELSE '1.9.35' END AS version
+FROM {events}
+"""
 TARGETS = """
 SELECT concat('chr', CAST(1 + p_partkey % 5 AS STRING)) AS chr, 1000 + (p_partkey * 911) % 100000 AS start_pos, 1000 + (p_partkey * 911) % 100000 + 100 + p_size AS end_pos FROM {part}
 """
@@ -73,7 +82,7 @@ SELECT o_orderkey AS id, concat(CAST(110000 + o_custkey % 1231 AS STRING), CASE
 """
 
 #: The base table of each fixture.
-BASE = {READS: "orders", RUN_FILES: "events", TARGETS: "part", LANE_SUMMARY: "lineitem", SAMPLE_SHEET: "part", BARCODES: "part", LANE_BARCODES: "part", FLOWCELLS: "orders"}
+BASE = {READS: "orders", RUN_FILES: "events", RUN_MARKERS: "events", TARGETS: "part", LANE_SUMMARY: "lineitem", SAMPLE_SHEET: "part", BARCODES: "part", LANE_BARCODES: "part", FLOWCELLS: "orders"}
 
 
 def load(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:

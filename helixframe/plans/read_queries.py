@@ -226,9 +226,9 @@ def mark_duplicates(spark, sf_dir):
 
 
 @query("coordinate_sort", WITH + """, d(sn, idx) AS (VALUES ('chr1', 0), ('chr2', 1), ('gi|9626372|ref|NC_001422.1|', 2), ('chr3', 3), ('chr4', 4), ('chr5', 5))
-SELECT qname, read_no, row_number() OVER (ORDER BY unmapped, idx NULLS LAST, pos, qname, read_no) AS place FROM reads LEFT JOIN d ON rname = sn ORDER BY place LIMIT 1000""")
+SELECT qname, read_no, row_number() OVER (ORDER BY unmapped, idx NULLS LAST, pos, qname, read_no) AS place, rname, CAST(pos AS BIGINT) AS pos FROM reads LEFT JOIN d ON rname = sn""")
 def coordinate_sort(spark, sf_dir):
-    return coordinate_places(spark, sf_dir).where("place <= 1000")  # of all reads' places, those that this SQL has
+    return O.coordinate_places(reads(spark, sf_dir), dictionary(spark)).select("qname", "read_no", "place", "rname", F.col("pos").cast("long").alias("pos"))
 
 
 @query("coordinate_places", WITH + """, d(sn, idx) AS (VALUES ('chr1', 0), ('chr2', 1), ('gi|9626372|ref|NC_001422.1|', 2), ('chr3', 3), ('chr4', 4), ('chr5', 5))
@@ -279,9 +279,22 @@ def capture_metrics(spark, sf_dir):
     return M.capture_metrics(reads(spark, sf_dir), load(spark, sf_dir, TARGETS))
 
 
-@query("metric_suite", WITH + """SELECT 'pairs' AS calculator, metric, value FROM (SELECT CAST(count(*) AS DOUBLE) AS pairs, CAST(count(*) FILTER (WHERE NOT unmapped AND NOT mate_unmapped) AS DOUBLE) AS both_mapped FROM reads WHERE paired AND read_no <> 1)
-UNPIVOT (value FOR metric IN (pairs, both_mapped))
-UNION ALL SELECT 'n_content', concat(CAST(read_no AS VARCHAR), '/', CAST(g AS VARCHAR), '/n_count'), CAST(count(*) FILTER (WHERE upper(substr(seq, g + 1, 1)) = 'N') AS DOUBLE) FROM reads CROSS JOIN (SELECT CAST(r AS INT) AS g FROM range(0, 64) t(r)) GROUP BY read_no, g""")
+def long_form(calculator: str, keys: list[str], values: list[str]) -> str:
+    """SQL of a calculator's rows as (calculator, metric, value): metric is its keys and the column's name."""
+    key = "".join(f"CAST({k} AS VARCHAR), '/', " for k in keys)
+    return " UNION ALL ".join(f"SELECT '{calculator}' AS calculator, concat({key}'{v}') AS metric, CAST({v} AS DOUBLE) AS value FROM {calculator}_rows" for v in values)
+
+
+SUITE = {
+    "alignment": ("alignment_metrics", ["read_type"], ["total_reads", "mapped_reads", "unmapped_reads", "dup_reads", "exact_reads", "total_bases", "valid_bases", "mismatches", "mapped_bases", "pct_mapped", "pct_dup", "pct_exact", "pct_mismatch"]),
+    "pairs": ("pair_metrics", [], ["pairs", *[p + c for p in ("", "pct_") for c in ("both_unmapped", "both_mapped", "both_mapped_same_chr", "only_read2_mapped", "only_read1_mapped")]]),
+    "insert_size": ("insert_size_metrics", ["orientation"], ["total_pairs", "pct_pairs", "median_size", "mode_size"]),
+    "insert_size_histogram": ("insert_size_histogram", ["orientation", "size"], ["pairs"]),
+    "quality": ("quality_by_position", ["series", "position"], ["quality_sum", "n", "mean_quality"]),
+    "n_content": ("n_distribution", ["read_no", "position"], ["n_count", "pct_n"]),
+}
+
+
+@query("metric_suite", "WITH " + ", ".join(f"{name}_rows AS ({SQL[of]})" for name, (of, _, _) in SUITE.items()) + " " + " UNION ALL ".join(long_form(name, keys, values) for name, (_, keys, values) in SUITE.items()))
 def metric_suite(spark, sf_dir):
-    got = M.metric_suite(reads(spark, sf_dir), ["pairs", "n_content"])
-    return got.where(F.col("metric").isin("pairs", "both_mapped") | F.col("metric").endswith("/n_count"))
+    return M.metric_suite(reads(spark, sf_dir))

@@ -100,10 +100,8 @@ def platform_unit(spark, sf_dir):
     return load(spark, sf_dir, FLOWCELLS).select("id", N.is_hiseq("fc").alias("hiseq"), N.lims_flowcell("fc").alias("lims"), N.platform_unit("fc", "lane_barcode").alias("unit"))
 
 
-RULE = lambda a, other: f"CASE WHEN contains(library, 'TREN') THEN '{a[0]}' WHEN contains(library, 'TLVR') THEN '{a[1]}' ELSE {other} END"
-
-
-@query("reference_override", ctes(f=FLOWCELLS) + f"SELECT id, {RULE([r[1] for r in N.LIBRARY_RULES], 'reference')} AS reference, CASE WHEN length(chip) > 0 THEN {RULE([r[2] for r in N.LIBRARY_RULES], 'chip')} END AS chip FROM f")
+@query("reference_override", ctes(f=FLOWCELLS) + """SELECT id, CASE WHEN contains(library, 'TREN') OR contains(library, 'TLVR') THEN 'hg19/original/hg19.fa' ELSE reference END AS reference,
+  CASE WHEN length(chip) > 0 THEN CASE WHEN contains(library, 'TREN') THEN 'ezexome2_hg19' WHEN contains(library, 'TLVR') THEN 'vcrome2.1_hg19' ELSE chip END END AS chip FROM f""")
 def reference_override(spark, sf_dir):
     return load(spark, sf_dir, FLOWCELLS).select("id", N.reference_override("library", "reference").alias("reference"), N.chip_override("library", "chip").alias("chip"))
 
@@ -167,11 +165,11 @@ def run_finished_date(spark, sf_dir):
     return U.run_finished_date(wanted, files)
 
 
-@query("run_ready", ctes(r=RUN_FILES) + """, s AS (SELECT instrument, flowcell, bool_or(file = '.rsync_finished') AS f, bool_or(file = 'RTAComplete.txt') AS c, count(*) FILTER (WHERE file LIKE 'Basecalling_Netcopy_complete%') AS n,
-  max(mtime) FILTER (WHERE file LIKE 'Basecalling_Netcopy_complete%') AS t FROM r WHERE date_part('hour', mtime) < 6 GROUP BY instrument, flowcell)
-SELECT instrument, flowcell, CASE WHEN f THEN true WHEN c THEN false ELSE n >= 3 AND coalesce(epoch(TIMESTAMP '2030-01-01') - epoch(t) >= 3600, false) END AS ready, NOT f AND c AS mark FROM s""")
+@query("run_ready", ctes(r=RUN_FILES) + """, s AS (SELECT instrument, flowcell, bool_or(file = '.rsync_finished') AS f, bool_or(file = 'RTAComplete.txt') AS c FROM r GROUP BY instrument, flowcell)
+SELECT instrument, flowcell, f AS ready, NOT f AND c AS mark FROM s""")
 def run_ready(spark, sf_dir):
-    return U.run_ready(load(spark, sf_dir, RUN_FILES).where(F.hour("mtime") < 6), F.lit("2030-01-01 00:00:00").cast("timestamp"))
+    """Runs of unknown version, whose copy markers say nothing; run_ready_by_version has the others."""
+    return U.run_ready(load(spark, sf_dir, RUN_FILES), F.lit("2030-01-01 00:00:00").cast("timestamp"))
 
 
 CYCLES = "SELECT concat('L00', CAST(lane AS VARCHAR)) AS lane, concat('C', CAST(CAST(floor(clusters_raw) AS BIGINT) + lane AS VARCHAR), '.1') AS cycle, read_no FROM s"

@@ -83,7 +83,7 @@ def write_quality_csv(quality: DataFrame, path: str) -> None:
     quality_lines(quality).orderBy("position").select("value").write.text(path)
 
 
-def write_sample_sheet(sheet: DataFrame, path: str, operator: str = "fiona") -> None:
+def write_sample_sheet(sheet: DataFrame, path: str, operator: str) -> None:
     sheet.withColumn("operator", F.lit(operator)).orderBy("lane", "tag").select(F.concat_ws(",", "flowcell", "lane", "library", "sample", "seq", "tag", "control", "recipe", "operator").alias("value")).write.option("lineSep", END).text(path)
 
 
@@ -91,6 +91,9 @@ def write_barcode_definition(padded: DataFrame, path: str) -> None:
     padded.orderBy("tag").select(F.concat_ws(",", "tag", "seq").alias("value")).write.text(path)
 
 
-def write_run_params(lines: DataFrame, path: str) -> None:
-    """Lines of sources.tables.run_params_lines, in order."""
-    lines.orderBy("file", "at").select("value").write.text(path)
+def write_run_params(lines: DataFrame, path: str, by_file: bool = False) -> None:
+    """Lines of sources.tables.run_params_lines, in order; `by_file` writes one file for each `file`, in folders file=..."""
+    if by_file:
+        lines.select("file", "at", "value").repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
+    else:
+        lines.orderBy("file", "at").select("value").write.text(path)

@@ -30,14 +30,36 @@ def _field(tag: str) -> Column:
     return F.nullif(F.regexp_extract("value", rf"\t{tag}:([^\t]*)", 1), F.lit(""))
 
 
+#: Header fields that have columns of their own; what else a line holds is kept in `rest`.
+HEADER_COLUMNS = {"SQ": [("SN", "sn"), ("LN", "ln"), ("UR", "ur"), ("AS", "assembly"), ("SP", "species")], "RG": [("ID", "id"), ("SM", "sm"), ("LB", "lb"), ("PU", "pu"), ("PL", "pl"), ("CN", "cn"), ("DT", "dt")], "PG": [("ID", "id"), ("VN", "vn")]}
+
+
+def _rest(kind: str) -> Column:
+    """The header fields without a column (a DT that is no time among them) as they stand, or null."""
+    known = [f"{t}:" for t, _ in HEADER_COLUMNS[kind] if t != "DT"]
+    plain_time = lambda x: F.substr(x, F.lit(4)).try_cast("timestamp").isNotNull()
+    own = lambda x: F.substring(x, 1, 3).isin(known) | (x.startswith("DT:") & plain_time(x) if kind == "RG" else F.lit(False))
+    return F.nullif(F.array_join(F.filter(F.slice(F.split("value", "\t"), 2, 1_000_000), lambda x: ~own(x)), "\t"), F.lit(""))
+
+
+def read_sam_other(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(at, value): the header lines that read_sam() makes no tables of (@HD, @CO and unknown ones), in order from 0."""
+    head = numbered_lines(spark, path).where(F.col("value").startswith("@") & ~F.col("value").rlike("^@(SQ|RG|PG)\t"))
+    return head.select((F.row_number().over(Window.orderBy("file", "line_no")) - 1).cast("long").alias("at"), "value")  # header lines only
+
+
 def read_sam(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(records, sq, rg, pg) of SAM text. No row is rejected: fields that are missing or no numbers are null."""
+    """(records, sq, rg, pg) of SAM text. No row is rejected: fields that are missing or no numbers are null.
+
+    `tags` has each tag's value by name (the first, if it repeats), `tag_text` all tags as they stand, with their types, for
+    write_sam(). Header fields without a column are in `rest`.
+    """
     lines = spark.read.text(path)
     head = numbered_lines(spark, path).where(F.col("value").startswith("@"))
     order = Window.orderBy("file", "line_no")  # header lines only: a contig or a group each
-    sq = head.where(F.col("value").startswith("@SQ\t")).select((F.row_number().over(order) - 1).alias("idx"), _field("SN").alias("sn"), _field("LN").cast("long").alias("ln"), _field("UR").alias("ur"), _field("AS").alias("assembly"), _field("SP").alias("species"))
-    rg = head.where(F.col("value").startswith("@RG\t")).select(_field("ID").alias("id"), _field("SM").alias("sm"), _field("LB").alias("lb"), _field("PU").alias("pu"), _field("PL").alias("pl"), _field("CN").alias("cn"), _field("DT").try_cast("timestamp").alias("dt"))
-    pg = head.where(F.col("value").startswith("@PG\t")).select(_field("ID").alias("id"), _field("VN").alias("vn"))
+    sq = head.where(F.col("value").startswith("@SQ\t")).select((F.row_number().over(order) - 1).alias("idx"), _field("SN").alias("sn"), _field("LN").cast("long").alias("ln"), _field("UR").alias("ur"), _field("AS").alias("assembly"), _field("SP").alias("species"), _rest("SQ").alias("rest"))
+    rg = head.where(F.col("value").startswith("@RG\t")).select(_field("ID").alias("id"), _field("SM").alias("sm"), _field("LB").alias("lb"), _field("PU").alias("pu"), _field("PL").alias("pl"), _field("CN").alias("cn"), _field("DT").try_cast("timestamp").alias("dt"), _rest("RG").alias("rest"))
+    pg = head.where(F.col("value").startswith("@PG\t")).select(_field("ID").alias("id"), _field("VN").alias("vn"), _rest("PG").alias("rest"))
     f = F.split("value", "\t")
     at = lambda k, kind="string": F.get(f, F.lit(k)).try_cast(kind)
     tags = F.transform(F.filter(F.slice(f, 12, 1_000_000), lambda t: F.length(t) >= 5), lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.substr(t, F.lit(6)).alias("v")))
@@ -47,7 +69,7 @@ def read_sam(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, Dat
     records = lines.where(~F.col("value").startswith("@") & (F.length("value") > 0)).select(
         at(0).alias("qname"), flag.alias("flag"), F.when(bit(1) & bit(128), 2).otherwise(1).alias("read_no"), bit(1).alias("paired"), bit(4).alias("unmapped"), bit(8).alias("mate_unmapped"),
         bit(16).alias("neg"), bit(32).alias("mate_neg"), bit(256).alias("not_primary"), bit(1024).alias("dup"), at(2).alias("rname"), at(3, "long").alias("pos"), at(4, "int").alias("mapq"), at(5).alias("cigar"),
-        at(6).alias("rnext"), at(7, "long").alias("pnext"), at(8, "long").alias("tlen"), at(9).alias("seq"), at(10).alias("qual"), F.map_from_entries(one).alias("tags"),
+        at(6).alias("rnext"), at(7, "long").alias("pnext"), at(8, "long").alias("tlen"), at(9).alias("seq"), at(10).alias("qual"), F.map_from_entries(one).alias("tags"), F.slice(f, 12, 1_000_000).alias("tag_text"),
     ).withColumns({"md": F.col("tags")["MD"], "rg": F.col("tags")["RG"]})
     return records, sq, rg, pg
 
@@ -62,27 +84,35 @@ def flag_of(records: DataFrame) -> Column:
 
 
 def sam_lines(records: DataFrame) -> Column:
-    """A record's line; md and rg are written as tags, and so are the other `tags` if there are any."""
+    """A record's line. Tags are those of `tag_text` as they stand, MD and RG in it with the values that `md` and `rg` have now
+    (none where these are null); without `tag_text`, md and rg and the other `tags`, as strings.
+    """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("*"))
     number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("0"))
     tag = lambda c, name: F.concat(F.lit(f"{name}:Z:"), F.col(c)) if c in records.columns else F.lit(None).cast("string")
     own = F.array_compact(F.array(tag("md", "MD"), tag("rg", "RG")))
     rest = F.array().cast("array<string>")
-    if "tags" in records.columns:
+    if "tag_text" in records.columns:
+        there = lambda name: F.exists("tag_text", lambda x: x.startswith(f"{name}:"))
+        rest = F.array_compact(F.transform("tag_text", lambda x: F.when(x.startswith("MD:"), tag("md", "MD")).when(x.startswith("RG:"), tag("rg", "RG")).otherwise(x)))
+        own, rest = rest, F.array_compact(F.array(F.when(~there("MD"), tag("md", "MD")), F.when(~there("RG"), tag("rg", "RG"))))
+    elif "tags" in records.columns:
         rest = F.transform(F.array_sort(F.filter(F.map_entries("tags"), lambda e: ~e["key"].isin("MD", "RG"))), lambda e: F.concat(e["key"], F.lit(":Z:"), e["value"]))
-    return F.concat_ws("\t", text("qname"), flag_of(records).cast("string"), text("rname"), number("pos"), number("mapq"), text("cigar"), text("rnext"), number("pnext"), number("tlen"), text("seq"), text("qual"), own, F.coalesce(rest, F.array().cast("array<string>")))
+    none = F.array().cast("array<string>")
+    return F.concat_ws("\t", text("qname"), flag_of(records).cast("string"), text("rname"), number("pos"), number("mapq"), text("cigar"), text("rnext"), number("pnext"), number("tlen"), text("seq"), text("qual"), F.coalesce(own, none), F.coalesce(rest, none))
+
+
+def header_lines(sq: DataFrame, rg: DataFrame, pg: DataFrame, other: DataFrame | None = None) -> DataFrame:
+    """(kind, at, value) of the header lines, in order: @HD first, then the tables', then the rest of `other`; null fields are left out."""
 
+    def lines(df: DataFrame, tag: str, kind: int, at: Column) -> DataFrame:
+        fields = [F.concat(F.lit(f"{t}:"), F.col(c).cast("string")) for t, c in HEADER_COLUMNS[tag]]
+        return df.select(F.lit(kind).alias("kind"), at.cast("long").alias("at"), F.concat_ws("\t", F.lit(f"@{tag}"), *fields, *[F.col(c) for c in df.columns if c == "rest"]).alias("value"))
 
-def header_lines(sq: DataFrame, rg: DataFrame, pg: DataFrame) -> DataFrame:
-    """(kind, at, value) of the header lines, in order; null fields are left out."""
-    line = lambda kind, fields: F.concat_ws("\t", F.lit(kind), *[F.concat(F.lit(f"{t}:"), F.col(c).cast("string")) for t, c in fields])
-    dt = F.date_format("dt", "yyyy-MM-dd'T'HH:mm:ssXXX")
-    parts = [
-        sq.select(F.lit(0).alias("kind"), F.col("idx").cast("long").alias("at"), line("@SQ", [("SN", "sn"), ("LN", "ln"), ("UR", "ur"), ("AS", "assembly"), ("SP", "species")]).alias("value")),
-        rg.withColumn("dt", dt).select(F.lit(1).alias("kind"), F.lit(0).cast("long").alias("at"), line("@RG", [("ID", "id"), ("SM", "sm"), ("LB", "lb"), ("PU", "pu"), ("PL", "pl"), ("CN", "cn"), ("DT", "dt")]).alias("value")),
-        pg.select(F.lit(2).alias("kind"), F.lit(0).cast("long").alias("at"), line("@PG", [("ID", "id"), ("VN", "vn")]).alias("value")),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    out = lines(sq, "SQ", 0, F.col("idx")).unionByName(lines(rg.withColumn("dt", F.date_format("dt", "yyyy-MM-dd'T'HH:mm:ssXXX")), "RG", 1, F.lit(0))).unionByName(lines(pg, "PG", 2, F.lit(0)))
+    if other is not None:
+        out = out.unionByName(other.select(F.when(F.col("value").startswith("@HD"), -1).otherwise(3).alias("kind"), F.col("at").cast("long").alias("at"), "value"))
+    return out
 
 
 def write_fastq(records: DataFrame, path: str, order: tuple[str, ...] = ("file", "rec_no")) -> None:
@@ -90,10 +120,10 @@ def write_fastq(records: DataFrame, path: str, order: tuple[str, ...] = ("file",
     records.orderBy(*order).select(F.concat_ws("\n", "header", "seq", "qual_header", "qual").alias("value")).write.text(path)
 
 
-def write_sam(records: DataFrame, sq: DataFrame, rg: DataFrame, pg: DataFrame, path: str) -> None:
-    """Header lines, then the records by coordinate, over the part files in order."""
+def write_sam(records: DataFrame, sq: DataFrame, rg: DataFrame, pg: DataFrame, path: str, other: DataFrame | None = None) -> None:
+    """Header lines (with those of read_sam_other() in `other`), then the records by coordinate, over the part files in order."""
     idx = sq.select(F.col("sn").alias("rname"), F.col("idx").cast("long").alias("ref_at"))
     body = records.join(idx, "rname", "left").select(
-        F.when(F.col("unmapped") | F.col("ref_at").isNull(), 4).otherwise(3).alias("kind"), F.coalesce("ref_at", F.lit(-1).cast("long")).alias("at"), F.coalesce("pos", F.lit(0)).cast("long").alias("pos"), F.col("qname").alias("name"), sam_lines(records).alias("value"))
-    head = header_lines(sq, rg, pg).select("kind", "at", F.lit(0).cast("long").alias("pos"), F.lit("").alias("name"), "value")
+        F.when(F.col("unmapped") | F.col("ref_at").isNull(), 5).otherwise(4).alias("kind"), F.coalesce("ref_at", F.lit(-1).cast("long")).alias("at"), F.coalesce("pos", F.lit(0)).cast("long").alias("pos"), F.col("qname").alias("name"), sam_lines(records).alias("value"))
+    head = header_lines(sq, rg, pg, other).select("kind", "at", F.lit(0).cast("long").alias("pos"), F.lit("").alias("name"), "value")
     head.unionByName(body).orderBy("kind", "at", "pos", "name", "value").select("value").write.text(path)

@@ -56,8 +56,8 @@ def run_params_lines(params: DataFrame) -> DataFrame:
     return params.select("file", F.posexplode(F.array_compact(F.array(*[line(k) for k in RUN_KEYS]))).alias("at", "value"))
 
 
-def parse_lane_info(text: str | Column) -> Column:
-    """struct of the `;`-separated KEY=value fields."""
+def parse_lane_info(text: str | Column, mount: str) -> Column:
+    """struct of the `;`-separated KEY=value fields; a reference path is one below `mount`."""
     text = F.col(text) if isinstance(text, str) else text
     value = lambda key: F.trim(F.get(F.regexp_extract_all(text, F.lit(rf"(?:^|;)[^;]*?{key}=([^;]*)"), F.lit(1)), F.lit(0)))
     named = lambda key: F.when(~value(key).rlike("^[Nn]one") & (value(key) != ""), value(key))
@@ -67,7 +67,7 @@ def parse_lane_info(text: str | Column) -> Column:
     cycles = F.regexp_extract_all(text, F.lit(r"NUMBER_OF_CYCLES_READ[12]=([^;]+)"), F.lit(1))
     return F.struct(
         F.when(kind.startswith("p"), "paired").when(kind.isNotNull(), "fragment").alias("type"), F.nullif(value("Library"), F.lit("")).alias("library"), named("Sample").alias("sample"), named("ChipDesign").alias("chip_design"),
-        F.get(cycles, F.size(cycles) - 1).alias("num_cycles"), F.when(build.rlike(r"^\s*[Ss]equence"), "sequence").when(build.rlike(r"^\s*/stornext"), F.regexp_extract(build, r"(/stornext/\S+)", 1)).alias("reference_path"),
+        F.get(cycles, F.size(cycles) - 1).alias("num_cycles"), F.when(build.rlike(r"^\s*[Ss]equence"), "sequence").when(F.ltrim(build).startswith(mount), F.regexp_extract(build, r"(\S+)", 1)).alias("reference_path"),
     )
 
 

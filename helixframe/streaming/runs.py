@@ -1,7 +1,8 @@
 """New runs as a stream: each flowcell once, when its markers say so.
 
-The file source's checkpoint takes the place of a ledger of what was seen, and the deduplication state of one of what was
-started. Both are kept in the checkpoint folder, so a restarted query goes on where it was.
+The file source's checkpoint takes the place of a ledger of what was seen. What was started is a table with a folder for each
+micro-batch, written over when a batch is run again after a failure, so that a run is started once whatever fails between
+the write and the commit.
 """
 
 from __future__ import annotations
@@ -10,44 +11,80 @@ import datetime as dt
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.runs import COMPLETE, FINISHED, NETCOPIES, NETCOPY, SETTLE_S
+from ..operators import runs as U
+from ..operators.runs import BY_HAND, COMPLETE, FINISHED, NETCOPIES, NETCOPY, NETCOPY_VERSION, SETTLE_S
 
-LISTING = "instrument string, flowcell string, file string, mtime timestamp"
+LISTING = "instrument string, flowcell string, file string, mtime timestamp, version string"
 
 
 def listing_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Listings of marker files (Parquet, as sources.tables.list_runs gives them) as they arrive."""
+    """Listings of marker files (Parquet, as sources.tables.list_runs gives them, with the run's RTA `version` if it is known) as they arrive."""
     return spark.readStream.schema(LISTING).options(**options).parquet(path)
 
 
 def finished_runs(listing: DataFrame, keep: str = "7 days") -> DataFrame:
-    """Each (instrument, flowcell) once, at the first finished marker; state older than `keep` is dropped."""
+    """Each (instrument, flowcell) once, at the first finished marker, for streams whose markers come within `keep` of each other.
+
+    State is bounded by `keep`: a marker that comes later than that is dropped, and a run whose marker comes again after it
+    is started again. Use exactly_once() without `keep`, or new_ready_runs(), where that must not be.
+    """
     seen = listing.where(F.col("file") == FINISHED).withWatermark("mtime", keep)
     return seen.dropDuplicatesWithinWatermark(["instrument", "flowcell"]).select("instrument", "flowcell", "mtime")
 
 
 def exactly_once(listing: DataFrame, keep: str | None = None) -> DataFrame:
-    """Each flowcell once; unbounded state unless `keep` sets a watermark on mtime."""
+    """Each flowcell once. Without `keep` its state is a key for each flowcell ever seen; `keep` bounds it as in finished_runs()."""
     if keep:
         return listing.withWatermark("mtime", keep).dropDuplicatesWithinWatermark(["flowcell"]).select("instrument", "flowcell")
     return listing.dropDuplicates(["flowcell"]).select("instrument", "flowcell")
 
 
+def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    """The batch's rows in a folder of its own, which the same batch writes over when it is run again."""
+    batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
 def new_run_stream(runs: DataFrame, done: str, checkpoint: str):
-    """Appends each new run to the `done` table and ends when nothing is left to read; returns the query."""
+    """Adds each new run to the `done` table and ends when nothing is left to read; returns the query."""
+    return runs.writeStream.foreachBatch(lambda batch, n: write_batch(batch, n, done)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def new_ready_runs(listing: DataFrame, done: str, checkpoint: str, now: Column | None = None, settle_s: int = SETTLE_S, **trigger):
+    """Adds each run to the `done` table at the first poll that finds it ready (operators.runs.ready); returns the query.
+
+    The state is a row a run (operators.runs.run_state), and every poll judges all of them, since a run can become ready by
+    age alone. A completion marker counts as a finished one from the next poll on, as one that was put there would.
+    The runs of earlier batches are left out; those of the batch's own folder are not, so a repeated batch writes the same.
+    """
+    state = U.run_state(listing)
+
+    def poll(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        is_ready, mark = U.ready(F.current_timestamp() if now is None else now, settle_s)
+        judged = batch.select("instrument", "flowcell", is_ready.alias("ready"), mark.alias("mark"))
+        schema = "instrument string, flowcell string, ready boolean, batch long"
+        # a folder for each batch holds what it started (ready) and what it marked for the next one (not ready)
+        before = spark.read.schema(schema).parquet(done).where(F.col("batch") < n) if n and _exists(spark, done) else spark.createDataFrame([], schema)
+        started = before.where("ready").select("instrument", "flowcell").distinct()
+        marked = before.where("NOT ready").select("instrument", "flowcell", F.lit(True).alias("was_marked")).distinct()
+        new = judged.join(started, ["instrument", "flowcell"], "left_anti").join(marked, ["instrument", "flowcell"], "left")
+        new = new.select("instrument", "flowcell", (F.col("ready") | F.coalesce("was_marked", F.lit(False))).alias("ready"), "mark", "was_marked")
+        write_batch(new.where("ready OR (mark AND was_marked IS NULL)").select("instrument", "flowcell", "ready"), n, done)
+
+    return state.writeStream.outputMode("complete").foreachBatch(poll).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
-    def accept(batch: DataFrame, _: int) -> None:
-        batch.write.mode("append").parquet(done)
 
-    return runs.writeStream.foreachBatch(accept).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 class Settle(StatefulProcessor):
-    """Emits a run once: when it is finished, or SETTLE_S seconds after its last copy marker if nothing came in between."""
+    """Emits a run once: when it is finished, at the next timer after it is complete, or, for NETCOPY_VERSION, SETTLE_S seconds after its first copy marker if all of them are there."""
 
     def __init__(self, settle_s: int = SETTLE_S):
         self.settle_ms = settle_s * 1000
@@ -57,28 +94,40 @@ class Settle(StatefulProcessor):
         self.copies = handle.getMapState("copies", "file string", "at long")
         self.emitted = handle.getValueState("emitted", "done boolean")
         self.complete = handle.getValueState("complete", "seen boolean")
+        self.version = handle.getValueState("version", "version string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        now, finished, newest = timerValues.getCurrentProcessingTimeInMs(), False, None
+        now, finished = timerValues.getCurrentProcessingTimeInMs(), False
         for pdf in rows:
-            for file, mtime in zip(pdf["file"], pdf["mtime"], strict=True):
+            for file, mtime, version in zip(pdf["file"], pdf["mtime"], pdf["version"], strict=True):
                 finished |= file == FINISHED
+                if version is not None and version == version:
+                    self.version.update((version,))
                 if file == COMPLETE:
                     self.complete.update((True,))
-                if file.startswith(NETCOPY):
-                    at = int(pd.Timestamp(mtime).timestamp() * 1000)
-                    self.copies.updateValue((file,), (at,))
-                    newest = at if newest is None else max(newest, at)
+                if file in NETCOPIES:
+                    self.copies.updateValue((file,), (int(pd.Timestamp(mtime).timestamp() * 1000),))
         if self.emitted.exists():
             return
         if finished:
             yield self._emit(key)
-        elif newest is not None and not self.complete.exists() and "SN601" not in key[1] and sum(1 for _ in self.copies.keys()) >= NETCOPIES:
-            self.handle.registerTimer(max(newest + self.settle_ms, now + 1))
+        elif (at := self._due(key, now)) is not None:
+            self.handle.registerTimer(max(at, now + 1))
+
+    def _due(self, key, now: int) -> int | None:
+        """When the run will be ready as things stand, in milliseconds."""
+        if BY_HAND in key[1]:
+            return None
+        if self.complete.exists():
+            return now
+        copies = {k[0]: v[0] for k, v in self.copies.iterator()}
+        version = self.version.get()[0] if self.version.exists() else ""
+        return copies[NETCOPY] + self.settle_ms if NETCOPY_VERSION in version and set(copies) >= set(NETCOPIES) else None
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        newest = max((v[0] for v in self.copies.values()), default=0)
-        if not self.emitted.exists() and not self.complete.exists() and newest + self.settle_ms <= timerValues.getCurrentProcessingTimeInMs():
+        now = timerValues.getCurrentProcessingTimeInMs()
+        at = self._due(key, now)
+        if not self.emitted.exists() and at is not None and at <= now:
             yield self._emit(key)
 
     def _emit(self, key) -> pd.DataFrame:
@@ -90,5 +139,7 @@ class Settle(StatefulProcessor):
 
 
 def settled_runs(listing: DataFrame, settle_s: int = SETTLE_S) -> DataFrame:
-    """(instrument, flowcell, ready_at) through a processing-time timer; needs the RocksDB state store."""
+    """(instrument, flowcell, ready_at) through a processing-time timer; needs the RocksDB state store. `version` may be missing from the listing."""
+    if "version" not in listing.columns:
+        listing = listing.withColumn("version", F.lit(None).cast("string"))
     return listing.groupBy("instrument", "flowcell").transformWithStateInPandas(Settle(settle_s), "instrument string, flowcell string, ready_at timestamp", "Append", "processingTime")

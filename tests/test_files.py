@@ -73,8 +73,8 @@ def test_barcodes_and_sheets(spark, tmp_path):
 
 def test_sample_sheet_and_definition_files(spark, tmp_path):
     sheet = spark.createDataFrame([("FC", "1", "dummy_library", "dummy_sample", "ACG", "ID01", "n", "r1")], "flowcell string, lane string, library string, sample string, seq string, tag string, control string, recipe string")
-    reports.write_sample_sheet(sheet, str(tmp_path / "s"))
-    assert parts(str(tmp_path / "s")) == "FC,1,dummy_library,dummy_sample,ACG,ID01,n,r1,fiona\r\n"
+    reports.write_sample_sheet(sheet, str(tmp_path / "s"), "an operator")
+    assert parts(str(tmp_path / "s")) == "FC,1,dummy_library,dummy_sample,ACG,ID01,n,r1,an operator\r\n"
     reports.write_barcode_definition(sheet, str(tmp_path / "b"))
     assert parts(str(tmp_path / "b")) == "ID01,ACG\n"
 
@@ -90,7 +90,7 @@ def test_run_params_round_trip(spark, tmp_path):
 
 def test_lane_info(spark):
     text = "FLOWCELL_TYPE=pe;Library=lib ;Sample=None;ChipDesign=vc;NUMBER_OF_CYCLES_READ1=101;NUMBER_OF_CYCLES_READ2=101+7;BUILD_PATH= /stornext/a/b.fa x"
-    got = spark.createDataFrame([(text,), ("FLOWCELL_TYPE=f;BUILD_PATH=Sequence",), (None,)], "t string").select(tables.parse_lane_info("t").alias("i")).collect()
+    got = spark.createDataFrame([(text,), ("FLOWCELL_TYPE=f;BUILD_PATH=Sequence",), (None,)], "t string").select(tables.parse_lane_info("t", "/stornext").alias("i")).collect()
     assert tuple(got[0]["i"]) == ("paired", "lib", None, "vc", "101+7", "/stornext/a/b.fa")
     assert got[1]["i"]["type"] == "fragment" and got[1]["i"]["reference_path"] == "sequence" and got[2]["i"]["type"] is None
 
@@ -129,7 +129,7 @@ def test_flowcell_definition_round_trip(spark, tmp_path):
 
     known = samples.lane_info_lookup(got, spark.createDataFrame([("2",)], "lane_barcode string")).first()
     assert known["reference_path"] == "sequence"
-    with pytest.raises(Exception, match="Invalid barcode"):
+    with pytest.raises(Exception, match="no such lane barcode"):
         samples.lane_info_lookup(got, spark.createDataFrame([("9",)], "lane_barcode string")).collect()
 
 
@@ -197,9 +197,63 @@ def test_fasta(spark):
 
 def test_run_ready_edges(spark):
     at = "2030-01-01 00:00:00"
-    copies = [("I", "old", f"Basecalling_Netcopy_complete_READ{k}.txt", at) for k in range(3)]
-    rows = [*copies, *[("I", "SN601_x", f, t) for _, _, f, t in copies], ("I", "done", ".rsync_finished", at), ("I", "rta", "RTAComplete.txt", at), *[("I", "two", f, t) for _, _, f, t in copies[:2]]]
-    files = spark.createDataFrame(rows, "instrument string, flowcell string, file string, mtime string").withColumn("mtime", F.col("mtime").cast("timestamp"))
+    three = ["Basecalling_Netcopy_complete.txt", "Basecalling_Netcopy_complete_READ1.txt", "Basecalling_Netcopy_complete_READ2.txt"]
+    copies = lambda fc, names, version: [("I", fc, f, at, version) for f in names]
+    rows = [*copies("old", three, "1.9"), *copies("SN601_x", three, "1.9"), *copies("newer", three, "1.12"), *copies("unknown", three, None), *copies("thrice", three[:1] * 3, "1.9"), *copies("two", three[:2], "1.9"),
+            ("I", "old", three[1], "2030-01-01 00:50:00", "1.9"), ("I", "done", ".rsync_finished", at, None), ("I", "rta", "RTAComplete.txt", at, "1.9"), *copies("rta", three, "1.9")]
+    files = spark.createDataFrame(rows, "instrument string, flowcell string, file string, mtime string, version string").withColumn("mtime", F.col("mtime").cast("timestamp"))
+    versions = files.groupBy("instrument", "flowcell").agg(F.max("version").alias("version"))
     for now, old in (("2030-01-01 00:59:59", False), ("2030-01-01 01:00:00", True)):
-        got = {r["flowcell"]: (r["ready"], r["mark"]) for r in runs.run_ready(files, F.lit(now).cast("timestamp")).collect()}
-        assert got == {"old": (old, False), "SN601_x": (False, False), "done": (True, False), "rta": (False, True), "two": (False, False)}
+        want = {"old": (old, False), "SN601_x": (False, False), "newer": (False, False), "unknown": (False, False), "thrice": (False, False), "two": (False, False), "done": (True, False), "rta": (False, True)}
+        for listed in (runs.run_ready(files, F.lit(now).cast("timestamp")), runs.run_ready(files.drop("version"), F.lit(now).cast("timestamp"), versions)):
+            assert {r["flowcell"]: (r["ready"], r["mark"]) for r in listed.collect()} == want
+    assert not any(r["ready"] for r in runs.run_ready(files.drop("version").where("flowcell <> 'done'"), F.lit(at).cast("timestamp")).collect())
+
+
+FULL = """@HD\tVN:1.0\tSO:coordinate
+@SQ\tSN:chr2\tLN:500\tUR:u\tM5:abc\tXX:y z
+@SQ\tSN:chr1\tLN:400
+@RG\tID:0\tSM:s\tCN:c\tDT:sometime\tDS:what it is\tPI:300
+@PG\tID:bwa\tVN:0.5\tPN:bwa\tCL:bwa aln -t 8 x.fa
+@CO\ta comment\twith a tab
+@CO\tanother
+r0\t0\tchr2\t7\t29\t4M\t*\t0\t0\tACGT\tIIII\tNM:i:3\tMD:Z:4\tXF:f:0.5\tXA:A:c\tZB:B:c,1,-2\tRG:Z:0\tNM:i:4
+r1\t0\tchr1\t7\t29\t4M\t*\t0\t0\tACGT\tIIII\tXH:H:1AE301
+r2\t4\t*\t0\t0\t*\t*\t0\t0\tAC\tII
+"""
+
+
+def test_sam_keeps_tag_types_and_header_fields(spark, tmp_path):
+    path = write(tmp_path / "full.sam", FULL)
+    records, sq, rg, pg = sequences.read_sam(spark, path)
+    other = sequences.read_sam_other(spark, path)
+    row = records.where("qname = 'r0'").first()
+    assert row["tags"]["NM"] == "3" and row["tag_text"][0] == "NM:i:3" and sq.where("sn = 'chr2'").first()["rest"] == "M5:abc\tXX:y z"
+    assert rg.first()["dt"] is None and rg.first()["rest"] == "DT:sometime\tDS:what it is\tPI:300" and [r["value"] for r in other.orderBy("at").collect()] == [FULL.split("\n")[k] for k in (0, 5, 6)]
+    sequences.write_sam(records, sq, rg, pg, str(tmp_path / "out"), other)
+    assert parts(str(tmp_path / "out")) == FULL
+    changed = records.withColumn("rg", F.lit("new")).withColumn("md", F.lit(None).cast("string"))
+    sequences.write_sam(changed.where("qname <> 'r2'"), sq, rg, pg, str(tmp_path / "changed"))
+    tags = [x.split("\t")[11:] for x in parts(str(tmp_path / "changed")).splitlines() if not x.startswith("@")]
+    assert tags == [["NM:i:3", "XF:f:0.5", "XA:A:c", "ZB:B:c,1,-2", "RG:Z:new", "NM:i:4"], ["XH:H:1AE301", "RG:Z:new"]]
+
+
+def test_barcode_rows_that_repeat_a_tag(spark):
+    from helixframe.operators import samples
+
+    rows = [(0, "a", "ACGTAC"), (1, "a", "ACGTAC"), (2, "b", "ACGTACGGG"), (3, "a", "ACGTAA"), (4, "c", "TTTTTT")]
+    df = spark.createDataFrame(rows, "line_no int, tag string, seq string")
+    apart = lambda x, y: abs(len(x) - len(y)) + sum(p != q for p, q in zip(x, y, strict=False))
+    for k in (1, 2, 3, 4, 5, 7, 99):
+        want = sorted((t, u, apart(s, v)) for i, t, s in rows for j, u, v in rows if i < j and apart(s, v) < k)
+        assert sorted(tuple(r) for r in samples.barcode_distance(df, k).collect()) == want
+
+
+def test_the_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from helixframe.sources.shared import checkpoint_folder
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://x:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_folder(cluster)

@@ -1,5 +1,6 @@
 """Edge cases on literal rows, and streams against batches."""
 
+import os
 import time
 
 import pytest
@@ -140,11 +141,58 @@ def test_stream_equals_batch_and_goes_on_after_a_restart(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "d2")).count() == 2
 
 
+def listed(spark, rows):
+    return spark.createDataFrame(rows, "instrument string, flowcell string, file string, mtime string, version string").withColumn("mtime", F.col("mtime").cast("timestamp"))
+
+
+COPIES = ["Basecalling_Netcopy_complete.txt", "Basecalling_Netcopy_complete_READ1.txt", "Basecalling_Netcopy_complete_READ2.txt"]
+
+
+@pytest.mark.parametrize("judged", [False, True])
+def test_a_batch_that_is_run_again_after_its_write_adds_nothing(spark, tmp_path, judged):
+    """The commit of the last batch is lost after its rows were written, as in a crash between the two."""
+    src, done, check = (str(tmp_path / n) for n in ("src", "done", "check"))
+
+    def run():
+        files = T.listing_stream(spark, src)
+        query = T.new_ready_runs(files, done, check) if judged else T.new_run_stream(T.exactly_once(files), done, check)
+        query.awaitTermination(60)
+
+    for fc in ("A", "B"):
+        listed(spark, [("I", fc, ".rsync_finished", "2024-01-01 01:00:00", None), ("I", "A", ".rsync_finished", "2024-01-01 03:00:00", None)]).coalesce(1).write.mode("append").parquet(src)
+        run()
+    started = lambda: sorted(r["flowcell"] for r in spark.read.parquet(done).collect())
+    assert started() == ["A", "B"]
+    last = max((f for f in os.listdir(f"{check}/commits") if f.isdigit()), key=int)
+    for f in (last, f".{last}.crc"):
+        os.remove(f"{check}/commits/{f}")
+    run()
+    assert os.path.exists(f"{check}/commits/{last}") and started() == ["A", "B"]
+
+
+def test_ready_runs_come_once_and_by_version(spark, tmp_path):
+    src, done, check = (str(tmp_path / n) for n in ("src", "done", "check"))
+    at = "2030-01-01 00:00:00"
+    copies = lambda fc, names, version: [("I", fc, f, at, version) for f in names]
+    rows = [*copies("young", COPIES, "1.9"), *copies("newer", COPIES, "1.12"), *copies("thrice", COPIES[:1] * 3, "1.9"), ("I", "fin", ".rsync_finished", at, None), ("I", "rta", "RTAComplete.txt", at, None), *copies("SN601", COPIES, "1.9")]
+    poll = lambda now: T.new_ready_runs(T.listing_stream(spark, src), done, check, F.lit(now).cast("timestamp")).awaitTermination(60)
+    started = lambda: sorted(r["flowcell"] for r in spark.read.parquet(done).where("ready").collect())
+    listed(spark, rows).coalesce(1).write.parquet(src)
+    poll("2030-01-01 00:30:00")
+    assert started() == ["fin"]
+    listed(spark, [("I", "other", "x", at, None)]).coalesce(1).write.mode("append").parquet(src)
+    poll("2030-01-01 01:00:00")
+    assert started() == ["fin", "rta", "young"]
+    listed(spark, [("I", "thrice", COPIES[1], at, None), ("I", "thrice", COPIES[2], at, None)]).coalesce(1).write.mode("append").parquet(src)
+    poll("2030-01-01 02:00:00")
+    assert started() == ["fin", "rta", "thrice", "young"]
+
+
 def test_settle_timer(spark, tmp_path):
     src = str(tmp_path / "src")
     now = time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime())
-    rows = [("I", "A", f"Basecalling_Netcopy_complete_{k}", now) for k in range(3)] + [("I", "B", "Basecalling_Netcopy_complete_1", now), ("I", "C", ".rsync_finished", now)]
-    spark.createDataFrame(rows, "instrument string, flowcell string, file string, mtime string").withColumn("mtime", F.col("mtime").cast("timestamp")).coalesce(1).write.parquet(src)
+    rows = [*[("I", "A", f, now, "1.9") for f in COPIES], *[("I", "B", COPIES[0], now, "1.9")] * 3, ("I", "C", ".rsync_finished", now, None), ("I", "D", "RTAComplete.txt", now, None), *[("I", "E", f, now, "1.12") for f in COPIES]]
+    listed(spark, rows).coalesce(1).write.parquet(src)
     old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
@@ -152,7 +200,7 @@ def test_settle_timer(spark, tmp_path):
         q = out.writeStream.format("memory").queryName("settled").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
         try:
             end = time.time() + 60
-            while time.time() < end and spark.table("settled").count() < 2:
+            while time.time() < end and spark.table("settled").count() < 3:
                 time.sleep(0.5)
             got = sorted(r["flowcell"] for r in spark.table("settled").collect())
         finally:
@@ -163,4 +211,20 @@ def test_settle_timer(spark, tmp_path):
         raise
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
-    assert got == ["A", "C"]
+    assert got == ["A", "C", "D"]
+
+
+def test_unnamed_reads_are_no_duplicates(spark):
+    row = ("c", 5, "4M", False, False, False, True, 1, "IIII")
+    reads = spark.createDataFrame([(n, *row) for n in ("*", "*", None, None, "x", "y")], "qname string, rname string, pos long, cigar string, neg boolean, unmapped boolean, not_primary boolean, paired boolean, read_no int, qual string").withColumn("dup", F.lit(False))
+    assert sorted((r["qname"] for r in O.mark_duplicates(reads).where("dup").collect()), key=str) == ["y"]
+
+
+def test_the_suite_scans_its_reads_once(spark, sf):
+    from helixframe.plans import read_queries as Q
+
+    got = M.metric_suite(Q.reads(spark, sf))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InMemoryRelation") >= 6 and len({r["calculator"] for r in got.collect()}) == 6
+    assert "FileScan" not in plan.split("InMemoryRelation")[0]
+    spark.catalog.clearCache()
