@@ -3,8 +3,11 @@
 import base64
 import gzip
 import hashlib
+import random
 import re
 
+import pytest
+
 from helixframe.llm import html_text, warc
 
 PAGES = [(3, "http://a.x/1", "<p>same</p>"), (1, "http://a.x/2", "<p>same</p>"), (2, None, "<p>same</p>"), (4, "u\r\nWARC-Type: x", None), (5, "http://b/", ""),
@@ -96,26 +99,73 @@ def test_host_repeats_and_roles(spark):
 
 
 def plain_cover(rows, least):
-    """Tokens of each page that lie in a run of `least` tokens found on another page of its host."""
+    """Tokens of each page that lie in a run of `least` tokens found in another stream of its host."""
     pages_ = [(i, html_text.host_of(u), [w for r, t in html_text.blocks(h) if r != "main" for w in t.split(" ")]) for i, u, h in rows]
     grams = [{tuple(w[k : k + least]) for k in range(len(w) - least + 1)} for _, _, w in pages_]
     out = []
     for n, (_, host, w) in enumerate(pages_):
-        others = set().union(*(g for m, g in enumerate(grams) if m != n and pages_[m][1] == host))
+        others = set().union(*(g for m, g in enumerate(grams) if pages_[m][2] != w and pages_[m][1] == host))
         out.append({k + d for k in range(len(w) - least + 1) if tuple(w[k : k + least]) in others for d in range(least)})
     return pages_, out
 
 
-def test_unique_runs_equal_plain_search(spark):
-    import random
-
+@pytest.mark.parametrize("array_tokens", [1, 150, 500_000])
+def test_unique_runs_equal_plain_search(spark, monkeypatch, array_tokens):
+    monkeypatch.setattr(html_text, "ARRAY_TOKENS", array_tokens)
     rng = random.Random(8)
     rows = []
     for i in range(30):
         parts = [rng.choice(["a b c d e", "f g h i j k l m", "n o p q r s"]) if rng.random() < 0.6 else " ".join(rng.choice("uvwxyz") + str(rng.randrange(99)) for _ in range(6)) for _ in range(6)]
         rows.append((i, f"http://h{i % 2}/", "".join(f"<div>{p}</div>" for p in parts)))
+    rows += [(90 + i, f"http://h{i % 2}/", rows[i % 2][2]) for i in range(4)]  # copies of whole pages keep their text
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["text"].split() for r in html_text.main_text(df).collect()}
     pages_, covers = plain_cover(rows, html_text.LEAST)
     for (i, _, words), cover in zip(pages_, covers, strict=True):
         assert got[i] == [w for k, w in enumerate(words) if k not in cover]
+    assert got[90] == got[0] and any(got.values())
+
+
+def test_suffix_runs_are_a_sorted_suffix_array():
+    rng = random.Random(9)
+    for _ in range(60):
+        streams = [[rng.choice("abc") for _ in range(rng.randrange(14))] for _ in range(rng.randrange(1, 6))]
+        hosts = [rng.randrange(2) for _ in streams]
+        least = rng.randrange(1, 8)
+        flat = [(h, s, k) for h, s in zip(hosts, streams, strict=True) for k in range(len(s))]
+        want = {}
+        for place, (h, s, k) in enumerate(flat):
+            if k + least <= len(s):
+                want.setdefault((h, tuple(s[k : k + least])), []).append(place)
+        got = [r.tolist() for r in html_text.suffix_runs(hosts, streams, least)]
+        assert sorted(map(sorted, got)) == sorted(want.values())
+        assert [flat[r[0]][0] for r in got] == sorted(flat[r[0]][0] for r in got)
+
+
+STRUCTURES = [
+    ('<div class="wrap has-sidebar"><article><p>Body text', "Body text"),
+    ('<article class="post share-enabled"><p>Body', "Body"),
+    ('<main data-role="search-page" data-class="ad" data-id="comments"><p>Body', "Body"),
+    ('<article><p>One<div class="related-work"><p>Two</div><p>Three', "One\nTwo\nThree"),
+    ('<article><p>One<div class="ad">no</div><div class="cookie-bar">no</div><div id="comments">no</div><div class="related posts">no</div><p>Two', "One\nTwo"),
+    ('<form id="aspnetForm"><div class="sidebar">no</div><article>Body</article></form>', "Body"),
+    ('<div class="search"><article>Body</article></div>', "Body"),
+    ('<article>Body</article><div class="comments"><article class="c1">a reader says</article></div>', "Body"),
+    ('<div class="comments"><article class="comment">a reader says</article></div><main>Body</main>', "Body"),
+    ('<aside><article>teaser</article></aside><main>Body</main>', "Body"),
+    ('<article>One <span class="ad">no</span> two</article>', "One\ntwo"),
+    ('<div role="banner">no</div><article role="article">Body<div role="navigation">no</div></article>', "Body"),
+    ('<body class="search nav"><div class="content">plain words</div>', "plain words"),
+    ('<div class="site-footer">no</div><div class="main-nav">no</div><p>plain words', "plain words"),
+]
+
+
+def test_what_is_beside_the_article(spark):
+    df = spark.createDataFrame([(i, f"http://s{i}/", h) for i, (h, _) in enumerate(STRUCTURES)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(df).collect()}
+    assert got == {i: t for i, (_, t) in enumerate(STRUCTURES)}
+
+
+def test_a_page_is_parsed_once(spark, sf):
+    plan = html_text.main_text(spark.read.parquet(f"{sf}/pages.parquet"))._jdf.queryExecution().toString()
+    assert "pages.parquet" not in plan
