@@ -5,8 +5,9 @@ boundaries for which padding every document to its bucket's boundary adds the fe
 over the cluster by (bucket, length, doc_id), numbered by partition offsets, and cut into batches whose rows times
 boundary stay within the budget. No bucket is gathered anywhere: a hot bucket is many sorted partitions.
 
-Bins: a length up to FINE is its own bin; a longer one is rounded up so that it keeps its leading bits (at most 1 in
-FINE / 2 is added), which bounds the histogram at FINE / 2 bins for each doubling. The rule is the same at every size.
+Every length is a bin of its own, so the padding is the least there is. The histogram has a bound without rounding: k distinct
+lengths need k * (k - 1) / 2 tokens at least, so documents of T tokens together have at most 1 + sqrt(2 T) of them (4.5
+million rows of two numbers for 10 ** 13 tokens), and all that the driver does grows with that root.
 
 Defined cases: null text has length 0 and is packed with a boundary of 0. A document longer than the budget is a batch
 of its own. Ties are ordered by doc_id, then by text hash; equal rows get places of their own. Empty input gives no row.
@@ -16,6 +17,7 @@ Columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import bisect
+from array import array as numbers
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,14 +27,6 @@ from .common import checkpoint, plain_words, table
 
 BUCKETS = 16
 BUDGET = 65_536
-FINE = 4096
-
-
-def bin_of(length: Column) -> Column:
-    """The bin's upper end."""
-    bits = F.length(F.bin(length)) - (FINE.bit_length() - 1)
-    step = F.expr("1L") * F.pow(F.lit(2), bits).cast("long")
-    return F.when(length <= FINE, length).otherwise(F.ceil(length / step).cast("long") * step).cast("long")
 
 
 def boundaries(ends: list[int], counts: list[int], buckets: int = BUCKETS) -> list[int]:
@@ -43,11 +37,11 @@ def boundaries(ends: list[int], counts: list[int], buckets: int = BUCKETS) -> li
     """
     n = np.concatenate([[0], np.cumsum(np.array(counts, dtype=object))]).tolist()
     last = [0] + [None] * len(ends)
-    back: list[list[int]] = []
+    back: list[numbers] = []
     best, layers = None, 0
     for k in range(min(buckets, len(ends))):
         now: list[int | None] = [None] * (len(ends) + 1)
-        came = [0] * (len(ends) + 1)
+        came = numbers("i", bytes(4 * (len(ends) + 1)))
         hull: list[tuple[int, int, int]] = []  # slope, value at 0, i
         at = 0
         for j in range(1, len(ends) + 1):
@@ -86,10 +80,11 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, length:
     spark = docs.sparkSession
     n = F.coalesce(token_counts(F.col("text")) if length is None else length.cast("long"), F.lit(0).cast("long"))
     sized = checkpoint(docs.select("doc_id", n.alias("n_tokens"), F.xxhash64("text").alias("tie")))
-    histogram = sorted((r[0], r[1]) for r in sized.groupBy(bin_of(F.col("n_tokens")).alias("b")).count().collect())
-    ends = boundaries([b for b, _ in histogram], [c for _, c in histogram], buckets)
+    histogram = sized.groupBy("n_tokens").count().toArrow().sort_by("n_tokens")  # a row for each distinct length
+    lengths, counts = (histogram.column(c).to_pylist() for c in ("n_tokens", "count"))
+    ends = boundaries(lengths, counts, buckets)
     inside = [0] * len(ends)
-    for b, c in histogram:
+    for b, c in zip(lengths, counts, strict=True):
         inside[bisect.bisect_left(ends, b)] += c
     rows_in = [max(1, budget // max(1, e)) for e in ends]
     first_row, first_batch = [0], [0]
@@ -97,7 +92,7 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, length:
         first_row.append(first_row[-1] + c)
         first_batch.append(first_batch[-1] + -(-c // r))
     array = lambda values: F.array(*[F.lit(v).cast("long") for v in values or [0]])
-    bucket = F.size(F.filter(array(ends), lambda e: e < bin_of(F.col("n_tokens"))))
+    bucket = F.size(F.filter(array(ends), lambda e: e < F.col("n_tokens")))
     ordered = checkpoint(sized.select("doc_id", "n_tokens", bucket.alias("bucket"), "tie").orderBy("bucket", "n_tokens", "doc_id", "tie"))
     placed = ordered.withColumn("at", F.monotonically_increasing_id())
     part, local = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))

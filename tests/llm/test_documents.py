@@ -100,6 +100,18 @@ def test_long_text_in_pieces_scores_the_same(monkeypatch):
         assert (a == b).all()
 
 
+def test_any_number_of_labels(spark, monkeypatch):
+    """300 labels: blocks of them, one after another, give what one matrix gives."""
+    alphabet = [chr(0x4E00 + k) for k in range(900)]
+    rows = [(k * 10 + j, "".join(alphabet[3 * k : 3 * k + 3]) * (2 + j), f"l{k:03}") for k in range(300) for j in range(3)]
+    docs = spark.createDataFrame(rows + [(9999, "123", "l000"), (10000, None, None)], "doc_id long, text string, lang string")
+    whole = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.language_id(docs).collect()}
+    monkeypatch.setattr(language_id.fit_blocks, "__defaults__", (language_id.BITS, 500))
+    one = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.language_id(docs).collect()}
+    assert sum(whole[d][0] == lang for d, _, lang in rows) / len(rows) > 0.9 and whole[9999] == whole[10000] == ("und", 0.0)
+    assert all(whole[d][0] == one[d][0] and abs(whole[d][1] - one[d][1]) < 1e-6 for d in one)
+
+
 def test_language_of_odd_rows(odd, none):
     got = {(r["doc_id"], r["lang_pred"]) for r in language_id.language_id(odd).collect()}
     assert {(4, "und"), (5, "und"), (6, "und"), (7, "und")} <= got
@@ -566,10 +578,17 @@ def test_packing_of_odd_rows(odd, none):
     assert packing.pack(none).count() == 0
 
 
-def test_long_lengths_are_binned_up(spark):
-    got = spark.range(1, 60_000, 7).select("id", packing.bin_of(packing.F.col("id")).alias("b")).collect()
-    for r in got:
-        assert r["b"] == r["id"] if r["id"] <= 4096 else r["id"] <= r["b"] <= r["id"] * (1 + 2 / 4096)
+def test_long_lengths_get_the_least_padding(spark):
+    """Lengths of many thousands: the padding is that of the best of all choices of boundaries."""
+    rng = random.Random(7)
+    lengths = sorted({rng.randint(4_000, 300_000) for _ in range(14)})
+    rows = [(i, n) for i, n in enumerate(x for x in lengths for _ in range(rng.randint(1, 5)))]
+    docs = spark.createDataFrame(rows, "doc_id long, n long").withColumn("text", F.lit(""))
+    for k in (1, 2, 4, 7):
+        got = packing.pack(docs, buckets=k, budget=1_000_000, length=F.col("n")).collect()
+        check_packed(got, rows, 1_000_000)
+        padding = sum(r["bucket_len"] - r["n_tokens"] for r in got)
+        assert padding == min(sum(min(b for b in (*c, lengths[-1]) if b >= n) - n for _, n in rows) for m in range(k) for c in itertools.combinations(lengths[:-1], m))
 
 
 def test_words_are_those_of_the_contracts(spark):
