@@ -452,35 +452,58 @@ def test_quality_of_odd_rows(odd, none, spark):
 # tokens
 
 
-def plain_tokens(word, pieces):
-    worst = min(pieces.values()) - token_counts.BYTE_PENALTY
+def plain_tokens(word, scores):
+    """(tokens, pieces) of the best segmentation, over all places where a piece may begin."""
     text = "▁" + word
-    best = [(0.0, 0)] + [None] * len(text)
+    best = [(0.0, 0, ())] + [None] * len(text)
     for j in range(1, len(text) + 1):
         n = len(text[j - 1].encode())
-        options = [(best[j - 1][0] + n * worst, best[j - 1][1] + n)] + [(best[i][0] + pieces[text[i:j]], best[i][1] + 1) for i in range(j) if text[i:j] in pieces]
+        options = [(best[j - 1][0] + n * scores[""], best[j - 1][1] + n, (*best[j - 1][2], *[""] * n))]
+        options += [(best[i][0] + scores[text[i:j]], best[i][1] + 1, (*best[i][2], text[i:j])) for i in range(j - 1, -1, -1) if text[i:j] in scores]
         best[j] = max(options, key=lambda o: (o[0], -o[1]))
-    return best[-1][1]
+    return best[-1][1], best[-1][2]
 
 
 def test_token_counts_equal_plain_viterbi(spark, sf):
     pieces = token_counts.load_pieces()
     docs = documents(spark, sf).limit(40)
-    memo = {}
-    for r in token_counts.token_counts(docs, pieces).join(docs, "doc_id").collect():
-        words = r["text"].split()
-        assert r["n_words"] == len(words)
-        assert r["n_tokens"] == sum(memo.setdefault(w, plain_tokens(w, pieces)) for w in words)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    scores = token_counts.fit(docs, pieces)
+    words = Counter(w for t in texts.values() for w in t.split())
+    fewest = token_counts.alike(pieces)
+    want = Counter()
+    for w, n in words.items():
+        tokens, cut = plain_tokens(w, fewest)
+        assert tokens == len(cut)
+        for p in cut:
+            want[p] += n
+    got = {r["piece"]: r["n"] for r in token_counts.piece_counts(docs, pieces).collect()}
+    assert sum(got.values()) == sum(want.values()) and set(got) <= {*pieces, ""}
+    total = sum(got.values()) + 0.5 * (len(pieces) + 256)
+    assert all(math.isclose(scores[p], math.log((got.get(p, 0) + 0.5) / total)) for p in pieces[:2000])
+    assert math.isclose(sum(math.exp(scores[p]) for p in pieces) + 256 * math.exp(scores[""]), 1.0)
+    memo = {w: plain_tokens(w, scores)[0] for w in words}
+    for r in token_counts.token_counts(docs, scores).collect():
+        assert (r["n_words"], r["n_tokens"]) == (len(texts[r["doc_id"]].split()), sum(memo[w] for w in texts[r["doc_id"]].split()))
 
 
 def test_token_counts_of_odd_rows(odd, none, monkeypatch):
-    pieces = {"▁a": -1.0, "b": -2.0, "ab": -2.5, "▁": -3.0}
+    scores = {"▁a": -1.0, "b": -2.0, "ab": -2.5, "▁": -3.0, "": -13.0}
     words = ["ab", "abab", "aab", "", "é", "\U0001d54f", "b" * 100]
-    assert token_counts.count_words(words, pieces) == {w: plain_tokens(w, pieces) for w in words}
-    monkeypatch.setattr(token_counts, "CACHE_WORDS", 1)
-    got = token_counts.token_counts(odd, pieces).collect()
-    assert len(got) == len(ODD) and all(r["n_tokens"] == 0 for r in got if r["doc_id"] in (4, 5, 6))
-    assert token_counts.token_counts(none, pieces).count() == 0
+    assert token_counts.count_words(words, scores) == {w: plain_tokens(w, scores)[0] for w in words}
+    for word, tokens, back in token_counts.segment_words(words, scores, token_counts.reversed_trie(scores)):
+        cut = token_counts.pieces_of(word, back)[::-1]
+        assert len(cut) == tokens and sum(scores[p] for p in cut) == pytest.approx(sum(scores[p] for p in plain_tokens(word, scores)[1]))
+    whole = sorted(map(tuple, token_counts.token_counts(odd, scores).collect()), key=repr)
+    assert len(whole) == len(ODD) and all(r[2] == 0 for r in whole if r[0] in (4, 5, 6))
+    for words_kept, chars in ((1, 64), (300_000, 3), (5, 2)):
+        monkeypatch.setattr(token_counts, "CACHE_WORDS", words_kept)
+        monkeypatch.setattr(token_counts, "CACHE_CHARS", chars)
+        assert sorted(map(tuple, token_counts.token_counts(odd, scores).collect()), key=repr) == whole
+    assert token_counts.token_counts(none, scores).count() == 0
+    empty = token_counts.fit(none, ["a", "b"])
+    assert empty["a"] == empty["b"] == empty[""]
 
 
 def unpack(rows, row):
