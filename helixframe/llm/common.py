@@ -38,18 +38,20 @@ def plain_words(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, in local mode only, a local one where it is unset (tests)."""
     sc = spark.sparkContext
-    at = spark.conf.get("spark.checkpoint.dir", None)
+    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not at:
-        at = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-shared-")
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
+        at = tempfile.mkdtemp(prefix="spark-shared-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(at)
     return at.rstrip("/")
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with files in the shared folder, which outlive any executor."""
+    """Cuts the lineage with files in the shared folder, which outlive any executor; partitions stay as they are."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
@@ -58,6 +60,17 @@ def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a Parquet table in the shared folder.
+
+    For loops of joins: the planner knows the table's size, while a checkpoint goes by the estimates of the plan that made it,
+    which are products of sizes and have twice as many digits after every join.
+    """
+    path = new_folder(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def as_row(df: DataFrame) -> DataFrame:
     """Puts every column into one struct `row`, so that no working column can clash with a column of the input."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

@@ -1,14 +1,18 @@
-"""The pipeline's near-duplicate rule: documents whose sets of five-word shingles have Jaccard similarity 0.8 or more are linked.
+"""The pipeline's near-duplicate stage: SimHash near-duplicates, completed by exact five-word Jaccard similarity of 0.8 or more.
 
-At 0.8 two 64-bit SimHash fingerprints differ in about 10 bits, and in more for many pairs; blocks of bits that would find
-those are so short that each block's buckets hold a large share of all documents. So candidates come from MinHash bands,
-and each candidate link is verified on the shingle sets themselves (64-bit hashes of the shingles) before components.
+First the fingerprints of five-word shingles are joined by the binary tries of simhash.py, and pairs within BITS bits are
+candidates. At a similarity of 0.8 two 64-bit fingerprints differ in about 10 bits, though, and blocks of bits that would find
+those are so short that each block's buckets hold a large share of all documents. So SimHash alone finds about half of such
+pairs, and what it leaves apart is completed by candidates from MinHash bands. Every candidate link is verified on the shingle
+sets themselves (64-bit hashes of the shingles), and components of verified links are joined further.
 
 Distinct sets take the place of documents, so exact copies are one. A set goes to a bucket for each of its BANDS bands of
 ROWS minima; two sets of similarity 0.8 share none with probability (1 - 0.8 ** ROWS) ** BANDS, 1 in 14,000, and at 0.9 with
-less than 1 in 10 ** 9. In each bucket all sets are compared with its smallest one first. Buckets that are not one component
-after that have all their pairs of different components compared, but for those whose sizes rule out the similarity. So a
-group of near copies costs a row a member and bucket, and no pair that could join anything is left out.
+less than 1 in 10 ** 9. Buckets that are one component by now need nothing. In the others all sets are compared with the smallest
+one first. Buckets that are not one component after that have all their pairs of different components compared, but for
+those that cannot be similar enough: by their sizes, or because too many of the shingles of either stand in no other set that
+is still in question. So a group of near copies costs a row a member and bucket, sets with much text of their own cost no
+pairs, and no pair that could join anything is left out.
 
 Defined cases: a text of fewer than five words is one shingle; null and blank texts have the empty set and are copies of
 each other. Of each component one row stays: the smallest doc_id, then the smallest hash of the row's columns. Rows of one
@@ -23,14 +27,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_row, checkpoint, from_row
-from .simhash import components
+from .common import as_row, from_row, stored
+from .simhash import components, links, sign_bits
 
 WIDTH = 5
+#: Bits in which fingerprints of candidates differ at most.
+BITS = 4
 #: Least similarity, in hundredths.
 PERCENT = 80
 BANDS, ROWS = 24, 5
@@ -41,6 +47,10 @@ _TIMES, _PLUS, _MIX = _odd[0][:, None], _odd[1][:, None], _odd[2].reshape(BANDS,
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """The distinct shingles' hashes, ascending."""
+    return np.unique(all_shingles(text, width))
+
+
+def all_shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
         return np.empty(0, np.uint64)
@@ -50,7 +60,7 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     width = min(width, len(words))
     digest = xxhash.xxh64_intdigest
     cuts = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)
-    return np.unique(np.fromiter((digest(joined[a:b], 42) for a, b in cuts), np.uint64, len(words) - width + 1))
+    return np.fromiter((digest(joined[a:b], 42) for a, b in cuts), np.uint64, len(words) - width + 1)
 
 
 def band_keys(h: np.ndarray) -> np.ndarray:
@@ -68,18 +78,20 @@ def _set_hash(h: np.ndarray) -> tuple[int, int]:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, doc_id, tie) to (doc_id, tie, h1, h2, n, keys)."""
+    """(text, doc_id, tie) to (doc_id, tie, h1, h2, n, fp, keys)."""
     for batch in batches:
-        h1, h2, n, keys = [], [], [], []
+        h1, h2, n, fp, keys = [], [], [], [], []
         for text in batch.column(0):
-            h = shingles(text.as_py())
+            every = all_shingles(text.as_py())
+            h = np.unique(every)
+            fp.append(sign_bits(every))
             a, b = _set_hash(h)
             h1.append(a)
             h2.append(b)
             n.append(len(h))
             keys.append(band_keys(h).view(np.int64))
-        columns = [batch.column(1), batch.column(2), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "h1", "h2", "n", "keys"])
+        columns = [batch.column(1), batch.column(2), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(n, pa.int64()), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "h1", "h2", "n", "fp", "keys"])
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,44 +112,79 @@ def _verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     right = bodies.select(F.col("sid").alias("b"), F.col("body").alias("of_b"))
     both = pairs.join(right, "b").join(left, "a")
     shared = F.size(F.array_intersect("of_a", "of_b"))
-    return checkpoint(both.where(shared * (100 + PERCENT) >= (F.size("of_a") + F.size("of_b")) * PERCENT).select("a", "b"))
+    return stored(both.where(shared * (100 + PERCENT) >= (F.size("of_a") + F.size("of_b")) * PERCENT).select("a", "b"))
+
+
+def _own(bodies: DataFrame) -> DataFrame:
+    """(sid, own): the shingles of each set that no other of these sets has; sets without any are left out."""
+    spread = bodies.select("sid", F.explode("body").alias("shingle"))
+    alone = spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"), F.min("sid").alias("sid")).where("sets = 1")
+    return alone.groupBy("sid").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _similar_sizes(n, m, both) -> Column:
+    """Whether sets of n and m shingles, of which at most `both` are common, can be similar enough."""
+    return both * (100 + PERCENT) >= (n + m) * PERCENT
+
+
+def _by_fingerprint(sets: DataFrame) -> DataFrame:
+    """(a, b): pairs of sets whose fingerprints are equal or at most BITS apart, enough of them to join all of these."""
+    lead = stored(sets.groupBy("fp").agg(F.min("sid").alias("lead"), F.count(F.lit(1)).alias("sets")))
+    of = lambda k: lead.select(F.col("fp").alias(k), F.col("lead").alias(f"lead_{k}"))
+    apart = links(lead.select("fp"), BITS, direct=True).join(of("a"), "a").join(of("b"), "b").select(F.col("lead_a").alias("a"), F.col("lead_b").alias("b"))
+    equal = sets.select("sid", "fp").join(lead.where("sets > 1"), "fp").where("sid <> lead").select(F.col("lead").alias("a"), F.col("sid").alias("b"))
+    return stored(apart.unionByName(equal))
+
+
+def _named(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """rows (key, centre, sid, n) of the buckets that are not one component, with each set's root."""
+    named = stored(rows.join(roots, F.col("sid") == F.col("node"), "left").select("key", "centre", "sid", "n", F.coalesce("root", "sid").alias("root")))
+    mixed = stored(named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key"))
+    return stored(named.join(mixed, "key"))
 
 
 def _roots(sets: DataFrame, bodies_of) -> DataFrame:
-    """(node, root) of the sets (sid, n, keys) that are linked to any other."""
+    """(node, root) of the sets (sid, n, fp, keys) that are linked to any other."""
+    near = _by_fingerprint(sets)
     banded = sets.select("sid", "n", F.explode("keys").alias("key"))
-    shared = checkpoint(banded.groupBy("key").agg(F.min("sid").alias("centre"), F.count(F.lit(1)).alias("members")).where("members > 1").select("key", "centre"))
-    rows = checkpoint(banded.join(shared, "key"))
-    bodies = bodies_of(rows.select("sid").distinct())
-    found = _verified(rows.where("sid <> centre").select(F.col("centre").alias("a"), F.col("sid").alias("b")).distinct(), bodies)
+    shared = stored(banded.groupBy("key").agg(F.min("sid").alias("centre"), F.count(F.lit(1)).alias("members")).where("members > 1").select("key", "centre"))
+    rows = stored(banded.join(shared, "key"))
+    wanted = rows.select("sid").unionByName(near.select(F.col("a").alias("sid"))).unionByName(near.select(F.col("b").alias("sid")))
+    bodies = bodies_of(wanted.distinct())
+    found = _verified(near, bodies)
+    left = _named(rows, components(found))
+    centres = left.where("sid = centre").select("centre", F.col("n").alias("m"), F.col("root").alias("other")).distinct()
+    tried = left.where("sid <> centre").select("centre", "sid", "n", "root").distinct().join(centres, "centre")
+    tried = tried.where((F.col("root") != F.col("other")) & _similar_sizes(F.col("n"), F.col("m"), F.least("n", "m"))).select(F.col("centre").alias("a"), F.col("sid").alias("b"))
+    found = found.unionByName(_verified(tried, bodies))
     roots = components(found)
-    named = checkpoint(rows.join(roots, F.col("sid") == F.col("node"), "left").select("key", "centre", "sid", "n", F.coalesce("root", "sid").alias("root")))
-    mixed = checkpoint(named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key"))
-    # pairs with the centre are verified already
-    rest = checkpoint(named.join(mixed, "key").where("sid <> centre").select("key", "sid", "n", "root"))
+    rest = _named(left.drop("root"), roots).where("sid <> centre")  # pairs with the centre are verified already
     if rest.isEmpty():
         return roots
-    other = rest.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-    near = F.least("n", "m") * 100 >= F.greatest("n", "m") * PERCENT
-    pairs = rest.join(other, "key").where((F.col("root") < F.col("other")) & near).select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")).distinct()
+    own = _own(bodies.join(rest.select("sid").distinct(), "sid", "left_semi"))
+    free = F.col("n") - F.coalesce("own", F.lit(0))
+    rest = stored(rest.join(own, "sid", "left").select("key", "sid", "n", "root", free.alias("free")).where(_similar_sizes(F.col("n"), F.col("free"), F.col("free"))))
+    other = rest.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("free").alias("free_b"))
+    pairs = rest.join(other, "key").where((F.col("root") < F.col("other")) & _similar_sizes(F.col("n"), F.col("m"), F.least("free", "free_b")))
+    pairs = pairs.select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")).distinct()
     return components(found.unionByName(_verified(pairs, bodies)))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """One row of each component stays, with all its columns."""
     wide = as_row(docs).select("row", F.col("row")["doc_id"].alias("doc_id"), F.col("row")["text"].cast("string").alias("text"), F.xxhash64("row").alias("tie"))
-    schema = T.StructType([wide.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in ("tie", "h1", "h2", "n")), T.StructField("keys", T.ArrayType(T.LongType()))])
+    schema = T.StructType([wide.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in ("tie", "h1", "h2", "n", "fp")), T.StructField("keys", T.ArrayType(T.LongType()))])
     prints = wide.select("text", "doc_id", "tie").mapInArrow(_signed, schema)
     first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tie"))).alias("first")
-    grouped = prints.groupBy("h1", "h2").agg(first, F.min("tie").alias("one"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    sets = checkpoint(grouped.withColumn("sid", F.monotonically_increasing_id()))
+    grouped = prints.groupBy("h1", "h2").agg(first, F.min("tie").alias("one"), F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("keys").alias("keys"))
+    sets = stored(grouped.withColumn("sid", F.monotonically_increasing_id()))
 
     def bodies_of(wanted: DataFrame) -> DataFrame:
         texts = wide.select("text", "tie").join(sets.join(wanted, "sid", "left_semi").select("sid", "h1", "h2", F.col("one").alias("tie")), "tie")
-        return checkpoint(texts.select("text", "sid", "h1", "h2").mapInArrow(_bodies, "sid long, body array<long>").dropDuplicates(["sid"]))
+        return stored(texts.select("text", "sid", "h1", "h2").mapInArrow(_bodies, "sid long, body array<long>").dropDuplicates(["sid"]))
 
-    roots = _roots(sets.select("sid", "n", "keys"), bodies_of)
-    rooted = sets.select("sid", "first").join(roots, F.col("sid") == F.col("node"), "left").select("first", F.coalesce("root", "sid").alias("root"))
-    stay = checkpoint(rooted.groupBy("root").agg(F.min("first").alias("first")).where("first IS NOT NULL").select("first.doc_id", "first.tie"))
+    roots = _roots(sets.select("sid", "n", "fp", "keys"), bodies_of)
+    named = sets.select("sid", "first").join(roots, F.col("sid") == F.col("node"), "left").select("first", F.coalesce("root", "sid").alias("root"))
+    stay = stored(named.groupBy("root").agg(F.min("first").alias("first")).where("first IS NOT NULL").select("first.doc_id", "first.tie"))
     kept = wide.join(stay, ["doc_id", "tie"], "left_semi").dropDuplicates(["doc_id", "tie"]).select("row")
     return from_row(kept.unionByName(wide.where(F.col("doc_id").isNull()).select("row")), docs.columns)

@@ -16,7 +16,8 @@ dealt again by the blocks of the bits that are still free, as often as needed. F
 so many distinct fingerprints cannot agree on all others, so this ends.
 
 Components are the fixed point of large-star and small-star steps over the links (each a min-aggregation and a join),
-checkpointed to the shared folder at each round.
+stored in the shared folder at each round. The aggregates are stored before they are joined, so that both sides
+of a join are dealt out for it alone and Spark can split the rows of a large component among tasks.
 
 Defined cases: null or blank text has fingerprint zero and links like any other. component_id is the smallest non-null
 doc_id of the component, or null if there is none. Repeated rows each get a row. Columns other than doc_id and text are
@@ -34,11 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpoint, table
+from .common import as_row, from_row, stored, table
 
 SHINGLE = 4
 BITS = 4
-#: Distinct fingerprints of one bucket that one task may get.
+#: Distinct fingerprints of one bucket that one task may get. The traversal's work grows almost with the square of a bucket
+#: of unrelated fingerprints (2,000 took 9 s on one slow core, 8,000 took 116 s), while dealing out again costs a few rows each.
 HOT = 2_000
 #: Node pairs of at most so many comparisons are compared outright.
 LEAF = 64
@@ -56,7 +58,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     width = min(shingle, len(words))
     digest = xxhash.xxh64_intdigest
     cuts = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)
-    h = np.fromiter((digest(joined[a:b], 42) for a, b in cuts), np.uint64, len(words) - width + 1)
+    return sign_bits(np.fromiter((digest(joined[a:b], 42) for a, b in cuts), np.uint64, len(words) - width + 1))
+
+
+def sign_bits(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    if not len(h):
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, len(h), 65_536):
         ones += np.unpackbits(h[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -83,14 +91,18 @@ def _roots(parent: np.ndarray) -> np.ndarray:
         parent = up
 
 
-def _union(comp: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Components (labels are smallest members) after the links a-b."""
+def _union(comp: np.ndarray, a: np.ndarray, b: np.ndarray, used: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
+    """Components (labels are smallest members) after the links a-b; a link for each two components that these join goes to `used`."""
     while len(a):
         x, y = comp[a], comp[b]
         open_ = x != y
         a, b, x, y = a[open_], b[open_], x[open_], y[open_]
         if not len(a):
             break
+        if used is not None:
+            one = np.unique(np.minimum(x, y) * len(comp) + np.maximum(x, y), return_index=True)[1]
+            used.append((a[one], b[one]))
+            used = None
         parent = np.arange(len(comp))
         np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
         comp = _roots(parent)[comp]
@@ -101,13 +113,16 @@ def _near(x: np.ndarray, y: np.ndarray, bits: int) -> np.ndarray:
     return np.bitwise_count(x ^ y) <= bits
 
 
-def trie_components(bucket: np.ndarray, fp: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """For rows sorted by (bucket, fp), distinct: the index of the first row of each row's component in its bucket."""
+def trie_components(bucket: np.ndarray, fp: np.ndarray, bits: int = BITS, used: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
+    """For rows sorted by (bucket, fp), distinct: the index of the first row of each row's component in its bucket.
+
+    `used` gets pairs of rows within `bits` bits that join these components.
+    """
     n = len(fp)
     comp = np.arange(n)
     same = bucket[1:] == bucket[:-1]
     at = np.flatnonzero(same & _near(fp[1:], fp[:-1], bits))
-    comp = _union(comp, at, at + 1)
+    comp = _union(comp, at, at + 1, used)
     starts = np.flatnonzero(np.concatenate([[True], ~same]))
     ends = np.append(starts[1:], n)
     size = ends - starts
@@ -124,7 +139,7 @@ def trie_components(bucket: np.ndarray, fp: np.ndarray, bits: int = BITS) -> np.
                 low = (a < b) & (fp[np.minimum(mid, n - 1)] < want)
                 a, b = np.where(low, mid + 1, a), np.where(low | (a >= b), b, mid)
             hit = (a < hi) & (fp[np.minimum(a, n - 1)] == want)
-            comp = _union(comp, rows[hit], a[hit])
+            comp = _union(comp, rows[hit], a[hit], used)
     # the traversal: node pairs (a0, a1) x (b0, b1), depth, bits that differ so far
     alone = size > 1
     z = np.zeros(int(alone.sum()), np.int64)
@@ -147,7 +162,7 @@ def trie_components(bucket: np.ndarray, fp: np.ndarray, bits: int = BITS) -> np.
             width = (b1 - b0)[k]
             i, j = a0[k] + nth // width, b0[k] + nth % width
             hit = (i < j) & _near(fp[i], fp[j], bits)
-            comp = _union(comp, i[hit], j[hit])
+            comp = _union(comp, i[hit], j[hit], used)
         a0, a1, b0, b1, depth, diff = (v[~leaf] for v in (a0, a1, b0, b1, depth, diff))
         if not len(a0):
             continue
@@ -174,13 +189,17 @@ def _split(fp: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.ndarray) -> n
     return a
 
 
-def _bucket_links(bits: int):
+def _bucket_links(bits: int, direct: bool):
     """Tasks' rows (bucket, fp), sorted, to links (a, b); whole buckets only."""
 
     def work(bucket: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        comp = trie_components(bucket, fp, bits)
-        member = np.flatnonzero(comp != np.arange(len(comp)))
-        return pa.RecordBatch.from_arrays([pa.array(fp[member].view(np.int64)), pa.array(fp[comp[member]].view(np.int64))], ["a", "b"])
+        used: list[tuple[np.ndarray, np.ndarray]] | None = [] if direct else None
+        comp = trie_components(bucket, fp, bits, used)
+        a = np.flatnonzero(comp != np.arange(len(comp)))
+        b = comp[a]
+        if direct:
+            a, b = (np.concatenate([x[k] for x in used]) if used else a[:0] for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(fp[a].view(np.int64)), pa.array(fp[b].view(np.int64))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, fps, held = [], [], 0
@@ -226,22 +245,25 @@ def _deal(df: DataFrame, bits: int) -> DataFrame:
     return df.mapInArrow(run, "mask long, value long, fp long")
 
 
-def links(distinct: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
-    """(a, b): links between distinct fingerprints `fp` that have the same components as all links of at most `bits` bits."""
+def links(distinct: DataFrame, bits: int = BITS, hot: int = HOT, direct: bool = False) -> DataFrame:
+    """(a, b): links between distinct fingerprints `fp` that have the same components as all links of at most `bits` bits.
+
+    The links are stars, at most a row for each fingerprint and bucket; with `direct`, each is of at most `bits` bits itself.
+    """
     left = distinct.select(F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("value"), "fp")
     found = None
     while True:
-        left = checkpoint(_deal(left, bits) if found is None else _deal(left, bits).distinct())
+        left = stored(_deal(left, bits) if found is None else _deal(left, bits).distinct())
         free = 64 - F.bit_count("mask")  # of no more than `bits` free bits, all of a bucket's fingerprints link
         crowded = left.groupBy("mask", "value").count().where((F.col("count") > hot) & (free > bits)).select("mask", "value")
-        crowded = checkpoint(crowded)
+        crowded = stored(crowded)
         some = not crowded.isEmpty()
         whole = left.join(crowded, ["mask", "value"], "left_anti") if some else left
         bucket = F.xxhash64("mask", "value")
         # a number of its own, since the work is in the pairs and tasks coalesced by their few bytes would be long
         tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         dealt = whole.select(bucket.alias("bucket"), "fp").repartition(tasks, "bucket").sortWithinPartitions("bucket")
-        got = dealt.mapInArrow(_bucket_links(bits), "a long, b long")
+        got = dealt.mapInArrow(_bucket_links(bits, direct), "a long, b long")
         found = got if found is None else found.unionByName(got)
         if not some:
             break
@@ -251,17 +273,18 @@ def links(distinct: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of edges (a, b): every node that has one, and the smallest node of its component."""
-    now = checkpoint(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(F.col("u") != F.col("v")).distinct())
+    now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(F.col("u") != F.col("v")).distinct())
     before = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         # large star: a node's larger neighbours link to its smallest one
         large = now.select(F.col("v").alias("x"), F.col("u").alias("y")).join(least, F.col("x") == F.col("u")).where(F.col("y") > F.col("m")).select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
         # small star: its smaller neighbours and the node itself do
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large)
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").select(F.explode(F.array("v", "u")).alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
-        now = checkpoint(small)
+        now = stored(small)
         after = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.count_distinct("u")).first()
         if after[0] == after[2] and after == before:
             break
@@ -269,27 +292,36 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def least_of_component(distinct: DataFrame, value: str, bits: int = BITS, hot: int = HOT) -> DataFrame:
+    """(fp, least): of distinct fingerprints `fp` with a `value` each, the least value of the fingerprint's component."""
+    member = components(links(distinct.select("fp"), bits, hot))
+    rooted = stored(distinct.join(member, F.col("fp") == F.col("node"), "left").select("fp", F.col(value).alias("value"), F.coalesce("root", "fp").alias("root")))
+    least = stored(rooted.groupBy("root").agg(F.min("value").alias("least")))
+    return rooted.join(least, "root").select("fp", "least")
+
+
 def near_duplicates(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE, hot: int = HOT) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id; a row for each row of docs."""
-    prints = checkpoint(fingerprints(docs.select("doc_id", "text"), shingle))
-    first = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    member = components(links(first, bits, hot))
-    rooted = first.join(member, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
+    prints = stored(fingerprints(docs.select("doc_id", "text"), shingle))
+    first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    named = least_of_component(first, "first", bits, hot).select("fp", F.col("least").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def near_dedup(docs: DataFrame, bits: int = BITS, shingle: int = SHINGLE) -> DataFrame:
-    """Of each component the row with the smallest doc_id stays (one of them, if rows repeat); rows without doc_id, which cannot be named, all stay.
+    """Of each component one row stays, with all its columns: the smallest doc_id, then the smallest hash of the row.
 
-    doc_id must be unique but for repeated rows: of rows with one doc_id and other texts a single one stays. The pipeline
-    takes near_copies.near_dedup(), which keeps one row of each component.
+    Rows of one doc_id whose texts are no near duplicates are rows of different components. Rows without doc_id link others
+    but cannot be named, so all of them stay. Rows equal in every column are one row.
     """
-    got = near_duplicates(docs, bits, shingle)
-    stay = got.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])
+    wide = as_row(docs).select("row", F.xxhash64("row").alias("tie"))
+    named = F.struct(F.col("row")["doc_id"].alias("doc_id"), F.col("tie").alias("tie"))
+    prints = stored(fingerprints(wide.select(named.alias("doc_id"), F.col("row")["text"].alias("text")), shingle))
+    known = F.min(F.when(F.col("doc_id.doc_id").isNotNull(), F.col("doc_id"))).alias("first")
+    stay = least_of_component(stored(prints.groupBy("fp").agg(known)), "first", bits).where("least IS NOT NULL").select("least.doc_id", "least.tie").distinct()
+    rows = wide.select("row", F.col("row")["doc_id"].alias("doc_id"), "tie")
+    kept = rows.join(stay, ["doc_id", "tie"], "left_semi").dropDuplicates(["doc_id", "tie"]).select("row")
+    return from_row(kept.unionByName(rows.where(F.col("doc_id").isNull()).select("row")), docs.columns)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

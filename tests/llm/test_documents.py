@@ -202,6 +202,8 @@ def test_simhash_of_odd_rows(odd, none):
     assert simhash.near_duplicates(none).count() == 0
     kept = simhash.near_dedup(odd)
     assert kept.columns == odd.columns
+    other = odd.where("doc_id = 1").withColumn("text", F.lit("a text of its own that has nothing to do with the first one of this id"))
+    assert {r["text"] for r in simhash.near_dedup(odd.unionByName(other)).where("doc_id = 1").collect()} == {ODD[0][1], other.first()["text"]}
     ids = {r["component_id"] for r in simhash.near_duplicates(odd).collect()}
     assert sorted(r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()) == sorted(ids)
 
@@ -222,6 +224,11 @@ def test_trie_join_links_what_all_pairs_link():
             for i in range(lo, hi):
                 first.setdefault(want[i], i)
             assert [first[want[i]] for i in range(lo, hi)] == comp[lo:hi].tolist()
+        used = []
+        again = simhash.trie_components(bucket, np.array(fps, np.uint64), used=used)
+        a, b = (np.concatenate([x[k] for x in used]) if used else np.zeros(0, int) for k in (0, 1))
+        assert (again == comp).all() and all((fps[i] ^ fps[j]).bit_count() <= 4 and bucket[i] == bucket[j] for i, j in zip(a, b, strict=True))
+        assert (simhash._union(np.arange(len(fps)), a, b) == comp).all()
 
 
 def test_hot_buckets_are_dealt_again(spark):

@@ -1,5 +1,6 @@
 """The pipeline's near-duplicate stage against every pair of sets."""
 
+import random
 from collections import Counter, defaultdict
 
 import corpus_pipeline
@@ -61,6 +62,22 @@ def test_a_hot_group_with_a_second_component(spark):
     assert got == plain_kept(rows) and len(got) < 20
 
 
+def test_a_hot_group_of_heavily_and_lightly_edited_copies(spark):
+    """Copies with much text of their own are near none; all of them share most of their bands."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+
+    def edited(i, n):
+        words = list(base)
+        for k in rng.sample(range(150), n):
+            words[k] = f"e{i}x{k}"
+        return " ".join(words)
+
+    rows = [(i, edited(i, rng.choice([0, 1, 1, 2, 3, 5, 7, 9]))) for i in range(400)]
+    got = sorted(r["doc_id"] for r in stage(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == plain_kept(rows) and 50 < len(got) < 300
+
+
 def test_every_row_of_a_table(spark):
     docs = documents(spark, "/root/testdata/sf0.01")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
