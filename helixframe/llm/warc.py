@@ -1,32 +1,41 @@
 """WARC archives with revisit records.
 
-One pass reads each page's digest and length; a shuffle of these headers by digest finds the smallest page of each payload,
-and a join gives every other page the response that it revisits. Payloads are shuffled once, by page, to meet their
-record type, and Spark's text writer puts the records into archive files: a record is header and payload, and the line
-separator is the blank-line pair that closes a record, so that the files are plain WARC. Archives are written to the
-shared folder, gzipped as whole files, and read back by content length; revisit records are then joined to their
-responses to have the full payload's length again.
+One pass reads each page's digest and length into a table in the shared folder; a shuffle of these headers by digest finds the
+smallest page of each payload, and a join gives every other page the response that it revisits. Payloads are shuffled once, by
+page, to meet their record type, and Spark's text writer puts the records into archive files: a record is header and payload,
+and the line separator is the blank-line pair that closes a record, so that the files are plain WARC. Archives are written
+to the shared folder and read back record by record, by content length; revisit records are then joined to their responses to
+have the full payload's length again.
+
+An archive has about ARCHIVE_BYTES of payload: the number of its records goes by the mean length, and records so long that
+they could make it SLACK times as large go to archives of their own with fewer records. Spark's writer compresses a file as a
+whole, so an archive is one gzip member and not one for each record, and is read from its start.
 
 Defined cases: null html is an empty payload. With payloads shorter than `least_bytes` all records are responses. Rows
 that repeat a page_id with the payload of the smallest page_id are responses too. A null page_id revisits any response
 with a page_id, and is a response if no other row has the payload. Characters of a url that would end a header line
-are percent-encoded. Columns other than page_id, url and html are not read.
+are percent-encoded, and so are those of a page_id, which may have any type that text can be cast to. Columns other than
+page_id, url and html are not read.
 """
 
 from __future__ import annotations
 
 import gzip
+import io
 from collections.abc import Iterator
+from typing import BinaryIO
+from urllib.parse import unquote_plus
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_folder, table
+from .common import new_folder, stored, table
 
 END = "\r\n\r\n"
-#: Records of one archive file at most.
-FILE_RECORDS = 5_000
+#: Payload bytes of an archive: what it should have, and how many times as much it may have.
+ARCHIVE_BYTES = 64 << 20
+SLACK = 16
 DATE = "1970-01-01T00:00:00Z"
 
 
@@ -53,7 +62,7 @@ def revisits(heads: DataFrame, least_bytes: int = 0) -> DataFrame:
 def record(page_id: Column, url: Column, payload: Column, digest: Column, refers_to: Column) -> Column:
     """One WARC record without its closing blank lines."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
-    name = lambda id_: F.concat(F.lit("<urn:page:"), F.coalesce(id_.cast("string"), F.lit("")), F.lit(">"))
+    name = lambda id_: F.concat(F.lit("<urn:page:"), F.coalesce(F.url_encode(id_.cast("string")), F.lit("")), F.lit(">"))
     uri = F.replace(F.replace(F.coalesce(url, F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     is_revisit = refers_to.isNotNull()
     block = F.when(is_revisit, F.lit("")).otherwise(payload)
@@ -65,41 +74,49 @@ def record(page_id: Column, url: Column, payload: Column, digest: Column, refers
     )
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, file_records: int = FILE_RECORDS) -> None:
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Writes `pages` as gzipped archives in which each payload stands once."""
     heads = headers(pages)
-    again = revisits(heads, least_bytes)
+    slim = stored(heads.select("page_id", "digest", "bytes"))
+    size = slim.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("most")).first()
+    records = max(1, min(16_384, archive_bytes // max(1, (size["bytes"] or 0) // max(1, size["n"]))))
+    long = SLACK * archive_bytes // records
+    again = revisits(slim, least_bytes)
     both = heads.join(again, F.col("page_id").eqNullSafe(F.col("page")) & (F.col("digest") == F.col("of_digest")), "left")
-    rows = both.select(record(F.col("page_id"), F.col("url"), F.col("payload"), F.col("digest"), F.col("refers_to")).alias("value"))
-    rows.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
-
-
-def parse_archive(data: bytes) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
-    """Header fields by lower-case name, and the block, of each record of an archive."""
-    at = 0
-    while at < len(data):
-        top = data.index(b"\r\n\r\n", at)
-        lines = data[at:top].split(b"\r\n")
-        if not lines[0].startswith(b"WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in lines[1:])}
-        end = top + 4 + int(fields[b"content-length"])
-        yield fields, data[top + 4 : end]
-        at = end + 4
-
-
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    parts = [(F.col("bytes") <= long, records)]
+    if (size["most"] or 0) > long:
+        parts.append((F.col("bytes") > long, max(1, SLACK * archive_bytes // size["most"])))
+    for of, most in parts:
+        rows = both.where(of).select(record(F.col("page_id"), F.col("url"), F.col("payload"), F.col("digest"), F.col("refers_to")).alias("value"))
+        rows.write.mode("append").option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
+
+
+def parse_archive(stream: BinaryIO) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
+    """Header fields by lower-case name, and the block, of each record of an archive, one at a time."""
+    while line := stream.readline():
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"no WARC record where {line[:20]!r} stands")
+        fields = {}
+        while (line := stream.readline()).strip():
+            name, _, value = line.partition(b":")
+            fields[name.strip().lower()] = value.strip()
+        yield fields, stream.read(int(fields[b"content-length"]))
+        stream.read(len(END))
+
+
+def read_archives(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
     """(page_id, url, record_type, refers_to, digest, block) of all records; ids are null where a record has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "url", "record_type", "refers_to", "digest", "block"]
-        number = lambda v: int(v[10:-1]) if v and v[10:-1] else None
+        text = lambda v: unquote_plus(v[10:-1].decode()) if v and v[10:-1] else None
         for batch in batches:
             for content in batch.column(0):
-                data = content.as_buffer().to_pybytes()
+                data = io.BytesIO(content.as_buffer())
+                zipped = data.getbuffer()[:2] == b"\x1f\x8b"
                 rows, size = [], 0
-                for f, block in parse_archive(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
-                    rows.append((number(f[b"warc-record-id"]), f.get(b"warc-target-uri", b"").decode(), f[b"warc-type"].decode(), number(f.get(b"warc-refers-to")), f[b"warc-payload-digest"].decode().partition(":")[2], block))
+                for f, block in parse_archive(io.BufferedReader(gzip.GzipFile(fileobj=data)) if zipped else data):
+                    rows.append((text(f[b"warc-record-id"]), f.get(b"warc-target-uri", b"").decode(), f[b"warc-type"].decode(), text(f.get(b"warc-refers-to")), f[b"warc-payload-digest"].decode().partition(":")[2], block))
                     size += len(block)
                     if size > 8_000_000 or len(rows) >= 5_000:
                         yield _batch(rows, names)
@@ -108,11 +125,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     yield _batch(rows, names)
 
     files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(run, "page_id long, url string, record_type string, refers_to long, digest string, block binary")
+    found = files.mapInArrow(run, "page_id string, url string, record_type string, refers_to string, digest string, block binary")
+    return found.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
@@ -127,6 +145,6 @@ def resolve(records: DataFrame) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_folder(spark, "warc")
-    write_archives(table(spark, sf_dir, "pages"), path)
-    return resolve(read_archives(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    path, pages = new_folder(spark, "warc"), table(spark, sf_dir, "pages")
+    write_archives(pages, path)
+    return resolve(read_archives(spark, path, pages.schema["page_id"].dataType.simpleString())).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import io
 import random
 import re
 
@@ -36,10 +37,12 @@ def plain_revisits(rows, least=0):
 def test_warc_round_trip_of_odd_rows(spark, tmp_path):
     for least in (0, 20):
         path = str(tmp_path / f"w{least}")
-        warc.write_archives(pages(spark), path, least, file_records=3)
+        warc.write_archives(pages(spark), path, least, archive_bytes=200_000)
         got = warc.resolve(warc.read_archives(spark, path))
         mine = [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got.collect()]
         assert sorted(mine, key=repr) == plain_revisits(PAGES, least)
+        files = [warc.gzip.decompress(f.read_bytes()) for f in (tmp_path / f"w{least}").glob("part-*.gz")]
+        assert len(files) > 1 and max(map(len, files)) < 16 * 200_000
         blocks = {(r["page_id"], bytes(r["block"])) for r in warc.read_archives(spark, path).collect() if r["record_type"] == "response"}
         want = {(i, (h or "").encode()) for i, _, h in PAGES if least > len((h or "").encode()) or (i, "response") in {(m[0], m[3]) for m in mine}}
         assert blocks == (want if least else want - {(None, b"<p>same</p>")})
@@ -56,11 +59,22 @@ def test_warc_of_pages(spark, sf):
 def test_archives_are_plain_warc(spark, tmp_path):
     warc.write_archives(pages(spark, PAGES[:2]), str(tmp_path / "w"))
     data = b"".join(gzip.decompress(f.read_bytes()) for f in sorted((tmp_path / "w").glob("part-*.gz")))
-    got = {f[b"warc-type"]: (f, block) for f, block in warc.parse_archive(data)}
+    got = {f[b"warc-type"]: (f, block) for f, block in warc.parse_archive(io.BytesIO(data))}
     assert got[b"response"][1] == b"<p>same</p>" and got[b"revisit"][1] == b""
     assert got[b"revisit"][0][b"warc-refers-to"] == got[b"response"][0][b"warc-record-id"]
 
 
+def test_archives_are_bounded_by_bytes_and_ids_may_be_text(spark, tmp_path):
+    rows = [(f"id <{i}> ü", f"u{i}", "x" * (i % 7) + str(i)) for i in range(300)] + [(f"long{i}", "u", chr(65 + i) * 40_000) for i in range(5)] + [("copy", "u", "A" * 40_000)]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string").repartition(2)
+    warc.write_archives(df, str(tmp_path / "w"), archive_bytes=4_000)
+    got = sorted(tuple(r) for r in warc.resolve(warc.read_archives(spark, str(tmp_path / "w"), "string")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect())
+    assert [(r[0], r[1], r[2]) for r in got] == sorted((i, len(h), plain_digest(h)) for i, _, h in rows)
+    assert [r[0] for r in got if r[3] == "revisit"] == ["long0"] and [r[4] for r in got if r[0] == "long0"] == ["copy"]
+    payload = [sum(len(b) for _, b in warc.parse_archive(io.BytesIO(gzip.decompress(f.read_bytes())))) for f in (tmp_path / "w").glob("part-*.gz")]
+    assert max(payload) <= 16 * 4_000 and len(payload) > 3
+
+
 def plain_article(page):
     """The text of <article>, for the tables' simple pages."""
     body = re.search(r"<article>(.*?)</article>", page, re.S)[1]
