@@ -6,6 +6,9 @@ are placed longest first, each into the fullest row that still holds it. That ro
 capacities, in the logarithm of the row length. No data is shuffled, a task's memory does not grow with its input, and a
 lost task makes the same rows again.
 
+The query writes the rows as Parquet to the shared folder (compressed by zstd, under which the positions take next to nothing)
+and returns what it reads back.
+
 A packed row is a fixed-length array of little-endian ids (16 bits if the vocabulary fits, else 32), the segments' cumulative
 lengths, a position array that starts again at 0 with each segment, and for each segment its document and offset in it.
 
@@ -23,8 +26,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import table
+from .common import new_folder, table
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the public pre-token pattern of these ranks.
@@ -89,11 +93,8 @@ def best_fit(lengths: list[int], row: int) -> list[list[int]]:
     return rows
 
 
-SCHEMA = "pack_id long, n_tokens int, doc_ids array<long>, offsets array<long>, cu_seqlens array<int>, input_ids binary, position_ids binary"
-
-
 def token_matrix(docs: DataFrame, ranks: dict[bytes, int], row: int = ROW, group_tokens: int = GROUP_TOKENS) -> DataFrame:
-    """Packed rows of all documents; see the module's text."""
+    """(pack_id, n_tokens, doc_ids, offsets, cu_seqlens, input_ids, position_ids): packed rows of all documents; see the module's text."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     end = len(ranks)
     kind = np.dtype("<u2" if end < 65_536 else "<u4")
@@ -103,7 +104,7 @@ def token_matrix(docs: DataFrame, ranks: dict[bytes, int], row: int = ROW, group
 
         coder = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=shared.value, special_tokens={})
         base, made = TaskContext.get().partitionId() << 33, 0
-        pieces: list[tuple[int | None, int, np.ndarray]] = []
+        pieces: list[tuple[object, int, np.ndarray]] = []
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -119,14 +120,16 @@ def token_matrix(docs: DataFrame, ranks: dict[bytes, int], row: int = ROW, group
                     column.append(value)
                 made += 1
                 if len(columns[0]) == 500:
-                    yield _rows(columns)
+                    yield _rows(columns, id_kind)
                     columns = [[] for _ in range(7)]
             if columns[0]:
-                yield _rows(columns)
+                yield _rows(columns, id_kind)
 
+        id_kind = pa.int64()
         for batch in batches:
+            id_kind = batch.schema.field(1).type
             for text, doc in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                ids = np.array([*coder.encode_ordinary(text.as_py() or ""), end], kind)
+                ids = np.append(coder.encode_to_numpy(text.as_py() or "", disallowed_special=()), end).astype(kind)
                 for at in range(0, len(ids), row):
                     pieces.append((doc, at, ids[at : at + row]))
                 held += len(ids)
@@ -136,17 +139,21 @@ def token_matrix(docs: DataFrame, ranks: dict[bytes, int], row: int = ROW, group
         if pieces:
             yield from flush()
 
-    return docs.select(F.col("text").cast("string"), F.col("doc_id").cast("long")).mapInArrow(run, SCHEMA)
+    fields = (("pack_id", T.LongType()), ("n_tokens", T.IntegerType()), ("doc_ids", T.ArrayType(docs.schema["doc_id"].dataType)), ("offsets", T.ArrayType(T.LongType())), ("cu_seqlens", T.ArrayType(T.IntegerType())), ("input_ids", T.BinaryType()), ("position_ids", T.BinaryType()))
+    return docs.select(F.col("text").cast("string"), "doc_id").mapInArrow(run, T.StructType([T.StructField(n, t) for n, t in fields]))
 
 
-def _rows(columns: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+def _rows(columns: list[list], id_kind: pa.DataType) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.list_(id_kind), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["pack_id", "n_tokens", "doc_ids", "offsets", "cu_seqlens", "input_ids", "position_ids"])
 
 
 def write_matrix(packed: DataFrame, path: str) -> None:
-    packed.write.mode("overwrite").parquet(path)
+    packed.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def op4_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_matrix(table(spark, sf_dir, "documents"), load_ranks())
+    path = new_folder(spark, "matrix")
+    packed = token_matrix(table(spark, sf_dir, "documents"), load_ranks())
+    write_matrix(packed, path)
+    return spark.read.schema(packed.schema).parquet(path)

@@ -540,11 +540,25 @@ def test_token_matrix_round_trip(spark, sf):
     assert sum(r["n_tokens"] for r in rows) / (256 * len(rows)) > 0.95
 
 
-def test_token_matrix_of_odd_rows(odd, none):
+def test_token_matrix_is_written_and_read_back(spark, sf):
+    import tiktoken
+
+    ranks = token_matrix.load_ranks()
+    coder = tiktoken.Encoding("t", pat_str=token_matrix.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = unpack(token_matrix.op4_token_matrix(spark, sf).collect(), token_matrix.ROW)
+    docs = documents(spark, sf).collect()
+    assert len(got) == len(docs) and all(coder.decode(got[r["doc_id"]][:-1].tolist()) == r["text"] for r in docs)
+
+
+def test_token_matrix_of_odd_rows(odd, none, tmp_path):
     ranks = token_matrix.load_ranks()
     got = token_matrix.token_matrix(odd, ranks).collect()
     assert Counter(d for r in got for d, o in zip(r["doc_ids"], r["offsets"], strict=True) if o == 0) == Counter(d for d, _, _ in ODD)
     assert token_matrix.token_matrix(none, ranks).count() == 0
+    named = odd.where("doc_id IS NOT NULL").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
+    path = str(tmp_path / "m")
+    token_matrix.write_matrix(token_matrix.token_matrix(named, ranks), path)
+    assert {d for r in odd.sparkSession.read.parquet(path).collect() for d in r["doc_ids"]} == {f"d{d}" for d, _, _ in ODD if d is not None}
 
 
 def test_best_fit_takes_the_fullest_row():
