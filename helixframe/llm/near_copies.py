@@ -9,9 +9,9 @@ sets themselves (64-bit hashes of the shingles), and components of verified link
 Distinct sets take the place of documents, so exact copies are one. A set goes to a bucket for each of its BANDS bands of
 ROWS minima; two sets of similarity 0.8 share none with probability (1 - 0.8 ** ROWS) ** BANDS, 1 in 14,000, and at 0.9 with
 less than 1 in 10 ** 9. Buckets that are one component by now need nothing. In the others all sets are compared with the smallest
-one first. Buckets that are not one component after that have all their pairs of different components compared, but for
-those that cannot be similar enough: by their sizes, or because too many of the shingles of either stand in no other set that
-is still in question. So a group of near copies costs a row a member and bucket, sets with much text of their own cost no
+one first. Buckets that are not one component after that have all their pairs of different components compared. Sets and
+pairs that cannot be similar enough are left out of both: by their sizes, or because too many of the shingles of either stand
+in no other set that is still in question. So a group of near copies costs a row a member and bucket, sets with much text of their own cost no
 pairs, and no pair that could join anything is left out.
 
 Defined cases: a text of fewer than five words is one shingle; null and blank texts have the empty set and are copies of
@@ -143,6 +143,14 @@ def _named(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(named.join(mixed, "key"))
 
 
+def _in_question(rows: DataFrame, bodies: DataFrame) -> DataFrame:
+    """rows (key, sid, n, root) without the sets that no other of them can be similar to, with `free`, the shingles that are not a set's own, and each bucket's smallest set as `centre`."""
+    own = _own(bodies.join(rows.select("sid").distinct(), "sid", "left_semi"))
+    free = F.col("n") - F.coalesce("own", F.lit(0))
+    kept = stored(rows.join(own, "sid", "left").select("key", "sid", "n", "root", free.alias("free")).where(_similar_sizes(F.col("n"), F.col("free"), F.col("free"))))
+    return stored(kept.join(stored(kept.groupBy("key").agg(F.min("sid").alias("centre"))), "key"))
+
+
 def _roots(sets: DataFrame, bodies_of) -> DataFrame:
     """(node, root) of the sets (sid, n, fp, keys) that are linked to any other."""
     near = _by_fingerprint(sets)
@@ -152,18 +160,16 @@ def _roots(sets: DataFrame, bodies_of) -> DataFrame:
     wanted = rows.select("sid").unionByName(near.select(F.col("a").alias("sid"))).unionByName(near.select(F.col("b").alias("sid")))
     bodies = bodies_of(wanted.distinct())
     found = _verified(near, bodies)
-    left = _named(rows, components(found))
-    centres = left.where("sid = centre").select("centre", F.col("n").alias("m"), F.col("root").alias("other")).distinct()
-    tried = left.where("sid <> centre").select("centre", "sid", "n", "root").distinct().join(centres, "centre")
-    tried = tried.where((F.col("root") != F.col("other")) & _similar_sizes(F.col("n"), F.col("m"), F.least("n", "m"))).select(F.col("centre").alias("a"), F.col("sid").alias("b"))
+    left = _in_question(_named(rows, components(found)), bodies)
+    centres = left.where("sid = centre").select("centre", F.col("n").alias("m"), F.col("root").alias("other"), F.col("free").alias("free_c")).distinct()
+    tried = left.where("sid <> centre").select("centre", "sid", "n", "root", "free").distinct().join(centres, "centre")
+    tried = tried.where((F.col("root") != F.col("other")) & _similar_sizes(F.col("n"), F.col("m"), F.least("free", "free_c"))).select(F.col("centre").alias("a"), F.col("sid").alias("b"))
     found = found.unionByName(_verified(tried, bodies))
     roots = components(found)
-    rest = _named(left.drop("root"), roots).where("sid <> centre")  # pairs with the centre are verified already
+    rest = _named(left.drop("root", "free"), roots).where("sid <> centre")  # pairs with the centre are verified already
     if rest.isEmpty():
         return roots
-    own = _own(bodies.join(rest.select("sid").distinct(), "sid", "left_semi"))
-    free = F.col("n") - F.coalesce("own", F.lit(0))
-    rest = stored(rest.join(own, "sid", "left").select("key", "sid", "n", "root", free.alias("free")).where(_similar_sizes(F.col("n"), F.col("free"), F.col("free"))))
+    rest = _in_question(rest, bodies)  # once more, since what only left-out sets shared with a set is its own now
     other = rest.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("free").alias("free_b"))
     pairs = rest.join(other, "key").where((F.col("root") < F.col("other")) & _similar_sizes(F.col("n"), F.col("m"), F.least("free", "free_b")))
     pairs = pairs.select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")).distinct()
