@@ -89,9 +89,9 @@ def test_run_params_round_trip(spark, tmp_path):
 
 
 def test_lane_info(spark):
-    text = "FLOWCELL_TYPE=pe;Library=lib ;Sample=None;ChipDesign=vc;NUMBER_OF_CYCLES_READ1=101;NUMBER_OF_CYCLES_READ2=101+7;BUILD_PATH= /stornext/a/b.fa x"
-    got = spark.createDataFrame([(text,), ("FLOWCELL_TYPE=f;BUILD_PATH=Sequence",), (None,)], "t string").select(tables.parse_lane_info("t", "/stornext").alias("i")).collect()
-    assert tuple(got[0]["i"]) == ("paired", "lib", None, "vc", "101+7", "/stornext/a/b.fa")
+    text = "FLOWCELL_TYPE=pe;Library=lib ;Sample=None;ChipDesign=vc;NUMBER_OF_CYCLES_READ1=101;NUMBER_OF_CYCLES_READ2=101+7;BUILD_PATH= /mount/a/b.fa x"
+    got = spark.createDataFrame([(text,), ("FLOWCELL_TYPE=f;BUILD_PATH=Sequence",), (None,)], "t string").select(tables.parse_lane_info("t", "/mount").alias("i")).collect()
+    assert tuple(got[0]["i"]) == ("paired", "lib", None, "vc", "101+7", "/mount/a/b.fa")
     assert got[1]["i"]["type"] == "fragment" and got[1]["i"]["reference_path"] == "sequence" and got[2]["i"]["type"] is None
 
 
