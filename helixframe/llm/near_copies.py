@@ -170,9 +170,12 @@ def _roots(sets: DataFrame, bodies_of) -> DataFrame:
     if rest.isEmpty():
         return roots
     rest = _in_question(rest, bodies)  # once more, since what only left-out sets shared with a set is its own now
-    other = rest.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("free").alias("free_b"))
-    pairs = rest.join(other, "key").where((F.col("root") < F.col("other")) & _similar_sizes(F.col("n"), F.col("m"), F.least("free", "free_b")))
-    pairs = pairs.select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")).distinct()
+    # a pair that shares several buckets is made in the first of them; a set has BANDS keys at most
+    rest = stored(rest.join(stored(rest.groupBy("sid").agg(F.collect_set("key").alias("all_keys"))), "sid"))
+    other = rest.select("key", F.col("sid").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("free").alias("free_b"), F.col("all_keys").alias("keys_b"))
+    once = F.col("key") == F.array_min(F.array_intersect("all_keys", "keys_b"))
+    pairs = rest.join(other, "key").where((F.col("root") < F.col("other")) & _similar_sizes(F.col("n"), F.col("m"), F.least("free", "free_b")) & once)
+    pairs = pairs.select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b"))
     return components(found.unionByName(_verified(pairs, bodies)))
 
 
