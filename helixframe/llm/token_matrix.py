@@ -10,7 +10,7 @@ The query writes the rows as Parquet to the shared folder (compressed by zstd, u
 and returns what it reads back.
 
 A packed row is a fixed-length array of little-endian ids (16 bits if the vocabulary fits, else 32), the segments' cumulative
-lengths, a position array that starts again at 0 with each segment, and for each segment its document and offset in it.
+lengths, a position array (16 bits if the row is no longer than that) that starts again at 0 with each segment, and for each segment its document and offset in it.
 
 Defined cases: null and empty texts are one end token. Repeated rows are packed each. Empty input gives no row. Columns
 other than doc_id and text are not read.
@@ -98,6 +98,7 @@ def token_matrix(docs: DataFrame, ranks: dict[bytes, int], row: int = ROW, group
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     end = len(ranks)
     kind = np.dtype("<u2" if end < 65_536 else "<u4")
+    place = np.dtype("<u2" if row <= 65_536 else "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
@@ -113,7 +114,7 @@ def token_matrix(docs: DataFrame, ranks: dict[bytes, int], row: int = ROW, group
             for members in best_fit([len(p[2]) for p in pieces], row):
                 mine = [pieces[i] for i in members]
                 ends = np.cumsum([len(p[2]) for p in mine])
-                ids, places = np.full(row, end, kind), np.zeros(row, "<u4")
+                ids, places = np.full(row, end, kind), np.zeros(row, place)
                 ids[: ends[-1]] = np.concatenate([p[2] for p in mine])
                 places[: ends[-1]] = np.concatenate([np.arange(len(p[2])) for p in mine])
                 for column, value in zip(columns, (base + made, int(ends[-1]), [p[0] for p in mine], [p[1] for p in mine], [0, *ends.tolist()], ids.tobytes(), places.tobytes()), strict=True):

@@ -516,7 +516,7 @@ def test_token_counts_of_odd_rows(odd, none, monkeypatch):
 def unpack(rows, row):
     texts = defaultdict(dict)
     for r in rows:
-        ids, places = np.frombuffer(r["input_ids"], "<u2"), np.frombuffer(r["position_ids"], "<u4")
+        ids, places = np.frombuffer(r["input_ids"], "<u2"), np.frombuffer(r["position_ids"], "<u2")
         assert len(ids) == len(places) == row and r["cu_seqlens"][0] == 0 and r["cu_seqlens"][-1] == r["n_tokens"] <= row
         for doc, offset, a, b in zip(r["doc_ids"], r["offsets"], r["cu_seqlens"], r["cu_seqlens"][1:], strict=False):
             assert (places[a:b] == np.arange(b - a)).all()
