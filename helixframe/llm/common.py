@@ -71,6 +71,24 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ranked(df: DataFrame, *order: str) -> DataFrame:
+    """`df` with `rank`, each row's place from 0 in the given order, nulls first; the working column _at must be free.
+
+    Rows are sorted over range partitions and stored with their place in the partition; what the driver adds up is one count a
+    partition. Every key, and every group of equal keys, may be as many partitions as it fills.
+    """
+    spark = df.sparkSession
+    sorted_ = stored(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part, local = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    offsets, total = [], 0
+    for p, n in sorted((r[0], r[1]) for r in sorted_.groupBy(part.alias("p")).count().collect()):
+        offsets.append((p, total))
+        total += n
+    starts = spark.createDataFrame(offsets, "_part long, _offset long")
+    numbered = sorted_.withColumn("_part", part).join(F.broadcast(starts), "_part")  # a row for each partition
+    return numbered.withColumn("rank", F.col("_offset") + local).drop("_at", "_part", "_offset")
+
+
 def as_row(df: DataFrame) -> DataFrame:
     """Puts every column into one struct `row`, so that no working column can clash with a column of the input."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
