@@ -1,8 +1,9 @@
 """Line quality: a linear-chain conditional random field marks each line as content or boilerplate.
 
 The field has two labels, a weight vector over line features for each and a transition matrix. It is trained by maximum
-likelihood on the lines of at most TRAIN_DOCS labelled documents (in the order of a hash of doc_id, of each the first
-SAMPLE_LINES lines); features are made in tasks and only they reach the driver. A label says whether a document is content
+likelihood on the lines of at most TRAIN_DOCS labelled documents (in the order of a hash of doc_id), cut into chains of
+TRAIN_LINES lines; all their lines if these are no more than TRAIN_CHAINS chains, else so many chains from anywhere in them (in the
+order of a hash). Features are made in tasks and only they reach the driver, as Arrow buffers. A label says whether a document is content
 on the whole, not which of its lines are, so lines are latent: the field is first trained without transitions on the
 documents' labels, then, PASSES times, each line gets its more probable label under the field and the field is trained on
 these. The document's label stays as a constraint on the sum: at least LEAST_SHARE of the words of a good document are in
@@ -34,11 +35,10 @@ from pyspark.sql import types as T
 
 from .common import table
 
-#: Bounds of the labelled sample.
+#: Bounds of the labelled sample: documents, lines of a training chain, and chains.
 TRAIN_DOCS = 2_000
-SAMPLE_LINES = 512
-#: Lines of one training sequence; longer documents are several.
 TRAIN_LINES = 64
+TRAIN_CHAINS = 4_000
 PASSES, ROUNDS, RATE, DECAY = 2, 100, 0.1, 1e-3
 LEAST_SHARE = 0.5
 SYMBOLS = "#*$%&|<>"
@@ -209,6 +209,12 @@ def batch_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.
     return features, n_words, counts
 
 
+def line_lengths(texts: list[str | None]) -> np.ndarray:
+    """Code points of every line of all texts."""
+    lines = itertools.chain.from_iterable((text or "").split("\n") for text in texts)
+    return np.fromiter(map(len, lines), np.int64)
+
+
 def viterbi(scores: np.ndarray, move: np.ndarray) -> np.ndarray:
     """Best labels (1 is content) for emission scores (lines x 2) and transition scores."""
     (b0, c0), back = scores[0], []
@@ -277,7 +283,7 @@ def _marginals(e: np.ndarray, move: np.ndarray, chains: _Chains, seq: np.ndarray
 
 def train(features: np.ndarray, n_words: np.ndarray, counts: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
     """Weights (features x 2) and transitions (from x to), from the lines of documents with `counts` lines and a label each."""
-    weight, move = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
+    weight, move = np.zeros((features.shape[1], 2)), np.zeros((2, 2))
     document = np.repeat(np.arange(len(counts)), counts)
     if len(set(labels[counts > 0].tolist())) < 2:
         return weight, move
@@ -325,25 +331,43 @@ def _constrained(content: np.ndarray, n_words: np.ndarray, document: np.ndarray,
     return np.where(good, (content >= 0.5) | (before < need), (content >= 0.5) & (after < need)).astype(np.int64)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[np.ndarray, np.ndarray]:
-    """The field of at most `train_docs` labelled documents."""
+def labelled_lines(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_chains: int = TRAIN_CHAINS) -> tuple[np.ndarray, ...]:
+    """Features, word counts and code points of the lines of the labelled sample, the number of lines of each document, and its label.
+
+    A document's lines are whole chains of TRAIN_LINES (its last one may be shorter), in order.
+    """
     rows = labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("y")).where(F.col("id").isNotNull() & F.col("y").isin(0, 1))
     sample = rows.groupBy("id").agg(F.max("y").cast("int").alias("y")).orderBy(F.xxhash64("id"), "id").limit(train_docs)
+    names = ["id", "y", "chain", "features", "words", "chars"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = ["\n".join((t.as_py() or "").split("\n", SAMPLE_LINES)[:SAMPLE_LINES]) for t in batch.column(0)]
-            features, n_words, counts = batch_features(texts)
-            ends = np.concatenate([[0], np.cumsum(counts)])
-            lists = lambda v, k: pa.ListArray.from_arrays(pa.array(ends * k, pa.int32()), pa.array(v.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), lists(features.astype(np.float32), N_FEATURES), lists(n_words.astype(np.int64), 1)], ["id", "y", "features", "words"])
+            for text, key, y in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                lines = [text.as_py() or ""]
+                features, n_words, counts = batch_features(lines)
+                chars = line_lengths(lines)
+                ends = np.append(np.arange(0, counts[0], TRAIN_LINES), counts[0])
+                lists = [pa.ListArray.from_arrays(pa.array(ends * k, pa.int32()), pa.array(v.ravel())) for v, k in ((features.astype(np.float32), N_FEATURES), (n_words.astype(np.int32), 1), (chars.astype(np.int32), 1))]
+                k = len(ends) - 1
+                yield pa.RecordBatch.from_arrays([pa.array([key] * k, pa.string()), pa.array([y] * k, pa.int32()), pa.array(np.arange(k)), *lists], names)
 
     texts = docs.select(F.col("doc_id").alias("d"), F.col("text").cast("string").alias("t"))
     got = texts.join(F.broadcast(sample), F.col("d") == F.col("id")).groupBy(F.col("id").cast("string").alias("id")).agg(F.min("t").alias("t"), F.max("y").alias("y"))  # at most train_docs rows
-    rows = sorted(got.select("t", "id", "y").mapInArrow(run, "id string, y int, features array<float>, words array<long>").collect(), key=lambda r: r["id"])
-    counts = np.array([len(r["words"]) for r in rows], np.int64)
-    features = np.array(list(itertools.chain.from_iterable(r["features"] for r in rows)), float).reshape(-1, N_FEATURES)
-    return train(features, np.array(list(itertools.chain.from_iterable(r["words"] for r in rows)), np.int64), counts, np.array([r["y"] for r in rows], np.int64))
+    chains = got.select("t", "id", "y").mapInArrow(run, "id string, y int, chain long, features array<float>, words array<int>, chars array<int>")
+    held = chains.orderBy(F.xxhash64("id", "chain"), "id", "chain").limit(train_chains).toArrow().sort_by([("id", "ascending"), ("chain", "ascending")]).combine_chunks()
+    flat = lambda name: np.concatenate([np.zeros(0, np.float32), *(c.flatten().to_numpy() for c in held.column(name).chunks)])
+    sizes = np.array([0, *(len(x) for x in held.column("words"))], np.int64)[1:]
+    ids = held.column("id").to_pylist()
+    first = np.flatnonzero([k == 0 or ids[k] != ids[k - 1] for k in range(len(ids))]) if ids else np.zeros(0, np.int64)
+    counts = np.add.reduceat(sizes, first) if len(first) else sizes
+    y = held.column("y").to_numpy().astype(np.int64)[first]
+    return flat("features").reshape(-1, N_FEATURES).astype(float), flat("words").astype(np.int64), flat("chars").astype(np.int64), counts, y
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[np.ndarray, np.ndarray]:
+    """The field of at most `train_docs` labelled documents."""
+    features, n_words, _, counts, y = labelled_lines(docs, labels, train_docs)
+    return train(features, n_words, counts, y)
 
 
 def line_labels(texts: list[str | None], field: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
