@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, language_id, line_dedup, line_quality, merkle, packing, ranked_search, simhash, token_counts, token_matrix, warc
+from . import decontaminate, html_text, language_id, line_dedup, line_quality, merkle, packing, quality_classifier, ranked_search, simhash, token_counts, token_matrix, warc
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_html_text": html_text.op9_html_text,
     "op10_simhash": simhash.op10_simhash,
+    "op11_quality_classifier": quality_classifier.op11_quality_classifier,
     "op12_ranked_search": ranked_search.op12_ranked_search,
     "op13_merkle": merkle.op13_merkle,
     "pipeline": pipeline,
