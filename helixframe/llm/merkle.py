@@ -101,20 +101,20 @@ def append_nodes(leaves: list[str], top: int) -> list[str]:
     return log
 
 
-def _block_size(n: int, block: int) -> tuple[int, int]:
-    """Leaves and levels of a block of a tree that has n leaves."""
-    size = FAN**LEVELS
-    return (n, levels(n)) if n <= size else (min(size, n - block * size), LEVELS)
+def _block_size(n: int, block: int, height: int) -> tuple[int, int]:
+    """Leaves and levels of a block of a tree that has n leaves, where blocks have `height` levels."""
+    size = FAN**height
+    return (n, levels(n)) if n <= size else (min(size, n - block * size), height)
 
 
-def _build(rows: DataFrame) -> DataFrame:
+def _build(rows: DataFrame, height: int) -> DataFrame:
     """(tree, place, n, hash, what) to the log (tree, block, n, nodes, what): a row for each aligned block, by one builder."""
     kind = rows.schema["what"].dataType
     types = [T.StructField(c, T.LongType()) for c in ("tree", "block", "n")]
     schema = T.StructType([*types, T.StructField("nodes", T.BinaryType()), T.StructField("what", T.ArrayType(kind))])
 
     def row(key: tuple[int, int, int], hashes: list[bytes], what: list[pa.Array]) -> pa.RecordBatch:
-        _, top = _block_size(key[2], key[1])
+        _, top = _block_size(key[2], key[1], height)
         log = b"".join(map(bytes.fromhex, append_nodes([h.hex() for h in hashes], top)))
         own = pa.concat_arrays(what)
         lists = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)
@@ -138,28 +138,28 @@ def _build(rows: DataFrame) -> DataFrame:
         if key is not None:
             yield row(key, hashes, what)
 
-    block = F.floor(F.col("place") / F.lit(FAN**LEVELS)).alias("block")
+    block = F.floor(F.col("place") / F.lit(FAN**height)).alias("block")
     dealt = rows.select("tree", block, "n", "hash", "what", "place").repartition("tree", "block").sortWithinPartitions("tree", "block", "place")
     return stored(dealt.drop("place").mapInArrow(run, schema))
 
 
-def _tiers(leaves: DataFrame) -> list[DataFrame]:
+def _tiers(leaves: DataFrame, height: int) -> list[DataFrame]:
     """The logs of all tiers, the leaves' first; leaves (tree, place, n, hash, what)."""
-    size = FAN**LEVELS
+    size = FAN**height
     n = leaves.agg(F.max("n")).first()[0] or 0
-    tiers = [_build(leaves)]
+    tiers = [_build(leaves, height)]
     while n > size:
         up = tiers[-1].where(F.col("n") > size).select("tree", F.col("block").alias("place"), F.ceil(F.col("n") / size).alias("n"), F.substring("nodes", -HASH, HASH).alias("hash"), F.lit(None).cast("string").alias("what"))
-        tiers.append(_build(up))
+        tiers.append(_build(up, height))
         n = -(-n // size)
     return tiers
 
 
-def _roots(tiers: list[DataFrame]) -> DataFrame:
+def _roots(tiers: list[DataFrame], height: int) -> DataFrame:
     """(tree, root): each tree's root, which is the last node of the log of its only block on some tier."""
     out = None
     for log in tiers:
-        own = log.where(F.col("n") <= FAN**LEVELS).select("tree", F.substring("nodes", -HASH, HASH).alias("root"))
+        own = log.where(F.col("n") <= FAN**height).select("tree", F.substring("nodes", -HASH, HASH).alias("root"))
         out = own if out is None else out.unionByName(own)
     return out
 
@@ -176,7 +176,7 @@ def _siblings(nodes: bytes, leaves: int, top: int) -> list[list[tuple[str, str]]
     return [[by_level[level][i // FAN**level] for level in range(top)] for i in range(leaves)]
 
 
-def _extract(log: DataFrame, above: DataFrame) -> DataFrame:
+def _extract(log: DataFrame, above: DataFrame, height: int) -> DataFrame:
     """(tree, place, hash, what, path) of every leaf of a tier; above: (tree, block, path) of its blocks."""
     kind = log.schema["what"].dataType.elementType
     path = T._parse_datatype_string(PATH)
@@ -187,7 +187,7 @@ def _extract(log: DataFrame, above: DataFrame) -> DataFrame:
         for batch in batches:
             what = batch.column(4)
             for k, (tree, block, n, nodes, up) in enumerate(zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 5)), strict=True)):
-                leaves, top = _block_size(n, block)
+                leaves, top = _block_size(n, block, height)
                 local = _siblings(nodes, leaves, top)
                 text = nodes.hex()
                 at = (places(0, np.arange(leaves), leaves, top) * 2 * HASH).tolist()
@@ -195,19 +195,19 @@ def _extract(log: DataFrame, above: DataFrame) -> DataFrame:
                 left, right = ([x[side] for own in local for x in (*own, *rest)] for side in (0, 1))
                 offsets = pa.array(np.arange(leaves + 1) * (top + len(rest)), pa.int32())
                 paths = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(left, pa.string()), pa.array(right, pa.string())], fields=list(pairs)))
-                place = pa.array(block * FAN**LEVELS + np.arange(leaves), pa.int64())
+                place = pa.array(block * FAN**height + np.arange(leaves), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([tree] * leaves, pa.int64()), place, pa.array([text[a : a + 2 * HASH] for a in at]), what[k].values, paths], schema.names)
 
     return log.join(above, ["tree", "block"]).select("tree", "block", "n", "nodes", "what", "path").mapInArrow(run, schema)
 
 
-def _paths(tiers: list[DataFrame], roots: DataFrame) -> DataFrame:
+def _paths(tiers: list[DataFrame], roots: DataFrame, height: int) -> DataFrame:
     """(tree, place, hash, what, path) of the leaves of the first tier; roots: (tree, path) from the trees' roots upwards."""
     found = None
     for k in range(len(tiers) - 1, -1, -1):
-        single = tiers[k].where(F.col("n") <= FAN**LEVELS).select("tree", "block").join(roots, "tree")
+        single = tiers[k].where(F.col("n") <= FAN**height).select("tree", "block").join(roots, "tree")
         above = single if found is None else single.unionByName(found.select("tree", F.col("place").alias("block"), "path"))
-        found = _extract(tiers[k], above)
+        found = _extract(tiers[k], above, height)
         found = stored(found) if k else found
     return found
 
@@ -220,28 +220,29 @@ class Manifest:
     top: list[DataFrame]
     sources: DataFrame
     root: str | None
+    height: int
 
 
-def manifest(docs: DataFrame, claim: Column | None = None) -> Manifest:
-    """Builds all trees. `claim`, if given, is a leaf that goes along with each row, to be held against its proof."""
+def manifest(docs: DataFrame, claim: Column | None = None, height: int = LEVELS) -> Manifest:
+    """Builds all trees. `claim`, if given, is a leaf that goes along with each row, to be held against its proof; a block has `height` levels."""
     claimed = F.lit(None).cast("string") if claim is None else claim
     hashed = stored(docs.select("doc_id", "source", F.unhex(leaf()).alias("hash"), F.unhex(claimed).alias("claim")))
     rows = ranked(hashed, "source", "doc_id", "hash")
     of_source = rows.groupBy("source").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
     sources = ranked(stored(of_source), "first").withColumnRenamed("rank", "tree").withColumnRenamed("source", "name")
     what = F.struct("doc_id", "claim").alias("what")
-    tiers = _tiers(rows.join(sources, F.col("source").eqNullSafe(F.col("name"))).select("tree", (F.col("rank") - F.col("first")).alias("place"), "n", "hash", what))
-    named = stored(sources.join(_roots(tiers), "tree").select("tree", F.col("name").alias("source"), "n", F.col("root").alias("subroot")))
-    top = _tiers(named.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), F.lit(sources.count()).cast("long").alias("n"), F.col("subroot").alias("hash"), F.lit(None).cast("string").alias("what")))
-    root = _roots(top).select(F.lower(F.hex("root"))).first()
-    return Manifest(tiers, top, named, root[0] if root else None)
+    tiers = _tiers(rows.join(sources, F.col("source").eqNullSafe(F.col("name"))).select("tree", (F.col("rank") - F.col("first")).alias("place"), "n", "hash", what), height)
+    named = stored(sources.join(_roots(tiers, height), "tree").select("tree", F.col("name").alias("source"), "n", F.col("root").alias("subroot")))
+    top = _tiers(named.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), F.lit(sources.count()).cast("long").alias("n"), F.col("subroot").alias("hash"), F.lit(None).cast("string").alias("what")), height)
+    root = _roots(top, height).select(F.lower(F.hex("root"))).first()
+    return Manifest(tiers, top, named, root[0] if root else None, height)
 
 
 def proofs(made: Manifest) -> DataFrame:
     """doc_id, source, leaf, claim, subroot, root, path: for every row its siblings (left, right) from the leaf's run to the root's."""
     above = made.top[0].sparkSession.sql(f"SELECT 0L AS tree, CAST(array() AS {PATH}) AS path")
-    of_sources = stored(_paths(made.top, above).select(F.col("place").alias("tree"), "path"))
-    found = _paths(made.tiers, of_sources).join(made.sources, "tree")
+    of_sources = stored(_paths(made.top, above, made.height).select(F.col("place").alias("tree"), "path"))
+    found = _paths(made.tiers, of_sources, made.height).join(made.sources, "tree")
     digits = lambda c: F.lower(F.hex(c))
     return found.select("what.doc_id", "source", F.col("hash").alias("leaf"), digits("what.claim").alias("claim"), digits("subroot").alias("subroot"), F.lit(made.root).cast("string").alias("root"), "path")
 
