@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import reads as R
+from .intervals import interval_join
 
 count_if = lambda c: F.coalesce(F.count_if(c), F.lit(0))
 
@@ -135,43 +136,49 @@ def n_distribution(reads: DataFrame) -> DataFrame:
     return grid.join(bases, ["read_no", "start"], "left").select("read_no", F.col("start").alias("position"), F.coalesce("n", F.lit(0)).alias("n_count"), share(F.coalesce("n", F.lit(0)), F.col("total")).alias("pct_n"))
 
 
-def capture_overlap(reads: DataFrame, targets: DataFrame, buffer: int = 100, bin_size: int = 1024) -> DataFrame:
-    """(qname, read_no, r_start, r_end, chr, start_pos, end_pos, on_target): each mapped read with each target it or whose buffer it overlaps.
-
-    Both sides go to the bins they touch and meet by (chr, bin); a pair that shares several bins is made in the first.
-    """
+def capture_overlap(reads: DataFrame, targets: DataFrame, buffer: int = 100) -> DataFrame:
+    """(qname, read_no, r_start, r_end, chr, start_pos, end_pos, on_target): each mapped read with each target it or whose buffer it overlaps."""
     ends = reads.where(~F.col("unmapped")).select("qname", "read_no", F.col("rname").alias("chr"), F.col("pos").alias("r_start"), R.alignment_end().alias("r_end"))
-    bins = lambda a, b: F.explode(F.sequence(F.floor(a / bin_size), F.floor(b / bin_size))).alias("bin")
-    left = ends.select("*", bins(F.col("r_start"), F.col("r_end")))
-    low, high = F.col("start_pos") - buffer, F.col("end_pos") + buffer
-    right = targets.distinct().select("chr", "start_pos", "end_pos", bins(low, high))
-    first = F.greatest(F.floor(F.col("r_start") / bin_size), F.floor(low / bin_size))
-    both = left.join(right, ["chr", "bin"]).where((F.col("r_start") <= high) & (F.col("r_end") >= low) & (F.col("bin") == first))
+    wide = targets.distinct().select("chr", "start_pos", "end_pos", (F.col("start_pos") - buffer).alias("low"), (F.col("end_pos") + buffer).alias("high"))
+    both = interval_join(ends, wide, "chr", ("r_start", "r_end"), ("low", "high"))
     on = (F.col("r_start") <= F.col("end_pos")) & (F.col("r_end") >= F.col("start_pos"))
     return both.select("qname", "read_no", "r_start", "r_end", "chr", "start_pos", "end_pos", on.alias("on_target"))
 
 
 def target_depth(reads: DataFrame, targets: DataFrame, bin_size: int = 1024) -> DataFrame:
-    """(chr, depth, bases): target bases (of the union of targets) by read depth, from start and end events inside each bin."""
-    clip = lambda df, a, b: df.select("chr", a.alias("a"), b.alias("b"), F.explode(F.sequence(F.floor(a / bin_size), F.floor(b / bin_size))).alias("bin")).select(
-        "chr", "bin", F.greatest("a", F.col("bin") * bin_size).alias("a"), (F.least("b", (F.col("bin") + 1) * bin_size - 1) + 1).alias("b"))
-    aligned = reads.where(~F.col("unmapped")).select(F.col("rname").alias("chr"), F.col("pos").alias("s"), R.alignment_end().alias("e"))
-    parts = clip(aligned, F.col("s"), F.col("e")).select("*", F.lit(1).alias("r"), F.lit(0).alias("t")).unionByName(clip(targets, F.col("start_pos"), F.col("end_pos")).select("*", F.lit(0).alias("r"), F.lit(1).alias("t")))
-    events = parts.select("chr", "bin", F.explode(F.array(F.struct(F.col("a").alias("at"), F.col("r"), F.col("t")), F.struct(F.col("b").alias("at"), (-F.col("r")).alias("r"), (-F.col("t")).alias("t")))).alias("e"))
-    steps = events.groupBy("chr", "bin", F.col("e.at").alias("at")).agg(F.sum("e.r").alias("r"), F.sum("e.t").alias("t"))
+    """(chr, depth, bases): target bases (of the union of targets) by read depth.
+
+    An interval is two events, whatever its length: it opens at its start and closes behind its end. Events are summed by position;
+    inside a bin of positions depths are running sums, on top of what the sums of all bins before it on the contig leave open. The
+    stretch from the last position of a bin goes on to the first one of the next bin that has any. The window over a contig's bins
+    has a row for each bin_size bases of it at most.
+    """
+    opened = lambda df, a, b, r, t: df.select("chr", F.explode(F.array(F.struct(a.alias("at"), F.lit(r).alias("r"), F.lit(t).alias("t")), F.struct((b + 1).alias("at"), F.lit(-r).alias("r"), F.lit(-t).alias("t")))).alias("e"))
+    aligned = reads.where(~F.col("unmapped")).select(F.col("rname").alias("chr"), F.col("pos").cast("long").alias("s"), R.alignment_end().cast("long").alias("e"))
+    wanted = targets.select("chr", F.col("start_pos").cast("long").alias("s"), F.col("end_pos").cast("long").alias("e"))
+    events = opened(aligned, F.col("s"), F.col("e"), 1, 0).unionByName(opened(wanted, F.col("s"), F.col("e"), 0, 1))
+    steps = events.groupBy("chr", F.floor(F.col("e.at") / bin_size).alias("bin"), F.col("e.at").alias("at")).agg(F.sum("e.r").alias("r"), F.sum("e.t").alias("t"))
+    bins = steps.groupBy("chr", "bin").agg(F.sum("r").alias("bin_r"), F.sum("t").alias("bin_t"), F.min("at").alias("first"))
+    along = Window.partitionBy("chr").orderBy("bin")
+    before = lambda c: F.coalesce(F.sum(c).over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = bins.select("chr", "bin", before("bin_r").alias("open_r"), before("bin_t").alias("open_t"), F.lead("first").over(along).alias("next"))
     order = Window.partitionBy("chr", "bin").orderBy("at")
     up = order.rowsBetween(Window.unboundedPreceding, 0)
-    runs = steps.select("chr", F.sum("r").over(up).alias("depth"), F.sum("t").over(up).alias("in_target"), (F.lead("at").over(order) - F.col("at")).alias("n"))
+    inside = steps.select("chr", "bin", F.sum("r").over(up).alias("r"), F.sum("t").over(up).alias("t"), "at", F.lead("at").over(order).alias("until"))
+    runs = inside.join(bins, ["chr", "bin"]).select("chr", (F.col("r") + F.col("open_r")).alias("depth"), (F.col("t") + F.col("open_t")).alias("in_target"), (F.coalesce("until", "next") - F.col("at")).alias("n"))
     return runs.where((F.col("in_target") > 0) & F.col("n").isNotNull()).groupBy("chr", "depth").agg(F.sum("n").alias("bases"))
 
 
 def capture_metrics(reads: DataFrame, targets: DataFrame, buffer: int = 100) -> DataFrame:
     """One row: reads, duplicates, aligned, on target, on buffer, hits, mean coverage and bases by least depth."""
-    read, target = F.struct("qname", "read_no"), F.struct("chr", "start_pos", "end_pos")
-    on = lambda key: F.when(F.col("on_target"), key)
-    # the distinct reads and targets of one overlap join, which is made once
-    hits = capture_overlap(reads, targets, buffer).agg(
-        F.count_distinct(on(read)).alias("target_reads"), F.count_distinct(read).alias("target_or_buffer_reads"), F.count_distinct(on(target)).alias("targets_hit"), F.count_distinct(target).alias("target_buffers_hit"))
+    overlap = capture_overlap(reads, targets, buffer)
+    # each overlap says something of its read and of its target; one pass of partial maxima over both kinds of keys, and their counts
+    none = lambda kind: F.lit(None).cast(kind)
+    of_read = F.struct(F.col("qname"), F.col("read_no").cast("long").alias("a"), none("long").alias("b"))
+    of_target = F.struct(F.col("chr").alias("qname"), F.col("start_pos").cast("long").alias("a"), F.col("end_pos").cast("long").alias("b"))
+    keys = overlap.select(F.explode(F.array(of_read, of_target)).alias("key"), "on_target").groupBy("key").agg(F.max("on_target").alias("on"))
+    target = F.col("key.b").isNotNull()
+    hits = keys.agg(count_if(~target & F.col("on")).alias("target_reads"), count_if(~target).alias("target_or_buffer_reads"), count_if(target & F.col("on")).alias("targets_hit"), count_if(target).alias("target_buffers_hit"))
     totals = reads.agg(F.count(F.lit(1)).alias("total_reads"), count_if(~F.col("unmapped")).alias("aligned_reads"), count_if(~F.col("unmapped") & F.col("dup")).alias("duplicate_reads"))
     depth = target_depth(reads, targets)
     bases = depth.agg(F.sum("bases").alias("target_bases"), (F.sum(F.col("bases") * F.col("depth")) / F.sum("bases")).alias("mean_coverage"),
