@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED_BASES = 30
@@ -16,7 +18,13 @@ def col(c: Column | str) -> Column:
 
 
 def read_type(paired="paired", read_no="read_no") -> Column:
-    return F.when(~col(paired), "FRAGMENT").otherwise(F.concat(F.lit("READ"), col(read_no).cast("string")))
+    """FRAGMENT, READ1 or READ2; null for a paired read that is neither first nor second."""
+    return F.when(~col(paired), "FRAGMENT").when(col(read_no).isin(1, 2), F.concat(F.lit("READ"), col(read_no).cast("string")))
+
+
+def primary(reads: DataFrame) -> Column:
+    """Neither secondary nor, if `reads` has that column, supplementary."""
+    return ~F.col("not_primary") & (~F.col("supplementary") if "supplementary" in reads.columns else F.lit(True))
 
 
 def cigar_length(cigar, ops: str) -> Column:
@@ -112,9 +120,25 @@ def soft_clipped(cigar: Column, kept: Column) -> Column:
     return F.when(rest <= 0, cigar).when(bare, F.concat(front, end["used"].cast("string"), F.lit("S"), tail)).otherwise(F.concat(F.regexp_replace(end["out"], r"(?<=\D)\d+S$", ""), F.lit(""), rest.cast("string"), F.lit("S"), tail))
 
 
+def _quality_sums(qual: pa.Array, least: int) -> pa.Array:
+    """Sums over the bytes of all strings at once; 0 for null."""
+    if not len(qual):
+        return pa.array([], pa.int64())
+    text = qual.cast(pa.large_binary())
+    ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].astype(np.int64) - 33
+    total = np.concatenate([[0], np.cumsum(np.where(data >= least, data, 0))])
+    return pa.array(total[ends[1:] - ends[0]] - total[ends[:-1] - ends[0]])
+
+
 def quality_sum(qual="qual", least: int = 15) -> Column:
-    """Sum of the base qualities of at least `least`, a fold over the characters."""
-    return F.coalesce(F.aggregate(F.split(col(qual), ""), F.lit(0).cast("long"), lambda a, c: a + F.when(F.ascii(c) - 33 >= least, F.ascii(c) - 33).otherwise(0)), F.lit(0).cast("long"))
+    """Sum of the base qualities of at least `least`; no built-in function folds characters outside of interpreted code, so Arrow batches go to numpy."""
+
+    @F.arrow_udf("long")
+    def sums(text: pa.Array) -> pa.Array:
+        return _quality_sums(text, least)
+
+    return sums(col(qual))
 
 
 def format_half_even(x) -> Column:

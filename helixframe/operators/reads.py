@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import reads as R
-from ..sources.shared import checkpoint_folder
+from .keyed import occurrences, ranked, stored, with_best
 
 #: Fixed value: the control genome's contig.
 CONTAMINANT = "gi|9626372|ref|NC_001422.1|"
@@ -118,33 +118,44 @@ def pair_fastq(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def fix_mate_information(reads: DataFrame) -> DataFrame:
-    """Mate position, strand, reference, mapping and template length from the other read of the pair.
+    """Mate position, strand, reference, mapping and template length from the other read of the pair; a row out for each row in.
 
     Template length: from the leftmost to the rightmost base, positive for the leftmost read; 0 unless both are mapped to one reference.
+    The k-th primary record of a name and read number belongs to the k-th one of its mate, in the order of reference, position
+    and the rest; secondary and supplementary records take the first. Records without a counterpart, without a name (null or
+    `*`), of fragments, or that are neither first nor second stay as they are.
     """
-    mate = reads.where(F.col("paired") & ~F.col("not_primary")).select(
-        "qname", (3 - F.col("read_no")).alias("read_no"), F.col("rname").alias("m_rname"), F.col("pos").alias("m_pos"), R.alignment_end().alias("m_end"), F.col("neg").alias("m_neg"), F.col("unmapped").alias("m_unmapped"))
-    out = reads.join(mate, ["qname", "read_no"], "left").withColumn("own_end", R.alignment_end())
-    there = F.col("m_pos").isNotNull()
+    named = F.col("paired") & F.coalesce(F.col("qname") != "*", F.lit(False)) & F.col("read_no").isin(1, 2)
+    named, primary = F.coalesce(named, F.lit(False)), R.primary(reads)
+    ties = [c for c in ("rname", "pos", "neg", "cigar", "mapq", "unmapped", "seq", "qual") if c in reads.columns]
+    placed = occurrences(reads.where(named & primary), ["qname", "read_no"], ties)
+    mate = placed.select(
+        F.col("qname").alias("m_qname"), (3 - F.col("read_no")).alias("m_read_no"), F.col("occurrence").alias("m_occurrence"), F.col("rname").alias("m_rname"), F.col("pos").alias("m_pos"), R.alignment_end().alias("m_end"), F.col("neg").alias("m_neg"), F.col("unmapped").alias("m_unmapped"))
+    rest = reads.where(named & ~primary).withColumn("occurrence", F.lit(1).cast("long"))
+    pairs = (F.col("qname") == F.col("m_qname")) & (F.col("read_no") == F.col("m_read_no")) & (F.col("occurrence") == F.col("m_occurrence"))
+    out = placed.unionByName(rest).join(mate, pairs, "left").withColumn("own_end", R.alignment_end())
+    there = F.col("m_qname").isNotNull()
     span = F.greatest("own_end", "m_end") - F.least("pos", "m_pos") + 1
     left = (F.col("pos") < F.col("m_pos")) | ((F.col("pos") == F.col("m_pos")) & (F.col("read_no") == 1))
     length = F.when(F.col("unmapped") | F.col("m_unmapped") | (F.col("rname") != F.col("m_rname")), F.lit(0)).when(left, span).otherwise(-span)
     new = {"rnext": F.col("m_rname"), "pnext": F.col("m_pos"), "mate_neg": F.col("m_neg"), "mate_unmapped": F.col("m_unmapped"), "tlen": length}
-    return out.withColumns({c: F.when(there, v).otherwise(F.col(c)) for c, v in new.items()}).select(*reads.columns)
+    fixed = out.withColumns({c: F.when(there, v.cast(reads.schema[c].dataType)).otherwise(F.col(c)) for c, v in new.items()}).select(*reads.columns)
+    return fixed.unionByName(reads.where(~named))
 
 
 def mark_duplicates(reads: DataFrame) -> DataFrame:
     """Of the primary mapped reads with equal reference, unclipped 5' end, strand and mate's end, the one with the highest base-quality sum stays.
 
-    Both reads of a pair are judged by the pair: its key is both ends in order, its score both sums. Ties go to the smallest name.
-    Reads without a name (null or `*`) belong to no pair: they are not marked and mark no others.
+    Both reads of a pair are judged by the pair: its key is both ends in order (of a name with more primary records its least and
+    greatest end and their number), its score the sum of all. Ties go to the smallest name. Secondary and supplementary records
+    are not marked and mark no others; nor do reads without a name (null or `*`), which belong to no pair.
     """
     five = F.when(F.col("neg"), R.unclipped_end()).otherwise(R.unclipped_start())
-    ok = ~F.col("unmapped") & ~F.col("not_primary") & F.coalesce(F.col("qname") != "*", F.lit(False))
-    ends = reads.where(ok).groupBy("qname").agg(F.array_sort(F.collect_list(F.struct("rname", five.alias("at"), "neg"))).alias("ends"), F.sum(R.quality_sum()).alias("score"))
-    # the best of each key by partial sums, and joined back, so that a key of very many copies is never sorted in one task
-    best = ends.groupBy("ends").agg(F.min(F.struct(F.col("score").isNull(), -F.col("score"), "qname"))["qname"].alias("best"))
-    again = ends.join(best, "ends").select("qname", (F.col("qname") != F.col("best")).alias("again"))
+    ok = ~F.col("unmapped") & R.primary(reads) & F.coalesce(F.col("qname") != "*", F.lit(False))
+    end = F.struct("rname", five.alias("at"), "neg")
+    ends = stored(reads.where(ok).select("qname", end.alias("end"), R.quality_sum().alias("score")).groupBy("qname").agg(F.min("end").alias("low"), F.max("end").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("score").alias("score")))
+    judged = with_best(ends, ["low", "high", "n"], F.struct(F.col("score").isNull(), -F.col("score"), "qname"))
+    again = judged.where(F.col("qname") != F.col("best.qname")).select("qname", F.lit(True).alias("again"))
     return reads.join(again, "qname", "left").withColumn("dup", ok & F.coalesce("again", F.lit(False))).select(*reads.columns)
 
 
@@ -167,19 +178,13 @@ def coordinate_sort(reads: DataFrame, sq: DataFrame) -> DataFrame:
 
 
 def coordinate_places(reads: DataFrame, sq: DataFrame) -> DataFrame:
-    """Every read with its `place` in coordinate order, from 1.
+    """The columns qname, read_no, rname and pos of every read, with its `place` in coordinate order, from 1.
 
-    The range-sorted partitions are kept in the checkpoint folder and numbered by their sizes, so no task gets all rows.
+    Only what the order needs is sorted and stored, and the range partitions are numbered by their sizes, so no task gets all rows.
     """
-    checkpoint_folder(reads.sparkSession)
-    at = F.monotonically_increasing_id()
-    placed = coordinate_sort(reads, sq).checkpoint().withColumns({"_part": F.shiftright(at, 33), "_row": at.bitwiseAND(F.lit((1 << 33) - 1))})
-    offsets, total = [], 0
-    for part, rows in sorted((r[0], r[1]) for r in placed.groupBy("_part").count().collect()):  # a row for each partition
-        offsets.append((part, total))
-        total += rows
-    starts = reads.sparkSession.createDataFrame(offsets, "_part long, _offset long")
-    return placed.join(F.broadcast(starts), "_part").select(*reads.columns, (F.col("_offset") + F.col("_row") + 1).alias("place"))
+    slim = reads.select("qname", "read_no", "rname", "pos", "unmapped").join(small(sq.select(F.col("sn").alias("rname"), "idx")), "rname", "left")
+    placed = ranked(slim, F.col("unmapped"), F.col("idx").asc_nulls_last(), "pos", "qname", "read_no")
+    return placed.select("qname", "read_no", "rname", "pos", (F.col("rank") + 1).alias("place"))
 
 
 def order_pair_files(files: DataFrame) -> DataFrame:
