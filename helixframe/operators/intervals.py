@@ -18,10 +18,10 @@ FINEST, WIDER, LEVELS = 64, 4, 14
 
 
 def level(start: Column, end: Column) -> Column:
-    """The first level whose bins are at least as wide as the interval; the last one for longer ones."""
-    out = F.lit(LEVELS - 1)
+    """The first level whose bins are at least as wide as the interval, the last one for longer ones; null if it is none."""
+    out = F.when(end >= start, F.lit(LEVELS - 1))
     for k in range(LEVELS - 2, -1, -1):
-        out = F.when(end - start < FINEST * WIDER**k, F.lit(k)).otherwise(out)
+        out = F.when((end - start).between(0, FINEST * WIDER**k - 1), F.lit(k)).otherwise(out)
     return out
 
 
@@ -31,14 +31,19 @@ def _width(at: Column) -> Column:
 
 def _used(side: DataFrame) -> list[int]:
     """The levels in use, ascending; LEVELS at most."""
-    return sorted(r[0] for r in side.select("_level").distinct().collect())
+    return sorted(r[0] for r in side.select("_level").where(F.col("_level").isNotNull()).distinct().collect())
 
 
-def _bins(side: DataFrame, levels: Column, start: str, end: str) -> DataFrame:
-    """A row for each bin that the interval touches on each of `levels`; _first is the first one."""
-    on = side.withColumn("_on", F.explode(levels))
-    first, last = F.floor(F.col(start) / _width(F.col("_on"))), F.floor(F.col(end) / _width(F.col("_on")))
-    return on.withColumn("_first", first).withColumn("_bin", F.explode(F.sequence(first, last)))
+def _dealt(side: DataFrame, start: str, end: str, kinds: list[tuple[int, Column, Column]]) -> DataFrame:
+    """A row for each bin that the interval touches on each level it is dealt to: _kind, _on (the level), _bin, and _first, the first such bin.
+
+    kinds: (kind, level, whether to deal it there).
+    """
+    bin_of = lambda c, at: F.floor(F.col(c) / _width(at))
+    places = [F.when(there, F.struct(F.lit(kind).alias("kind"), at.alias("on"), bin_of(start, at).alias("first"), bin_of(end, at).alias("last"))) for kind, at, there in kinds]
+    on = side.withColumn("_p", F.explode(F.array_compact(F.array(*places))))
+    on = on.withColumn("_bin", F.explode(F.sequence("_p.first", "_p.last")))
+    return on.withColumns({"_kind": F.col("_p.kind"), "_on": F.col("_p.on"), "_first": F.col("_p.first")}).drop("_p", "_level")
 
 
 def interval_join(left: DataFrame, right: DataFrame, contig: str, of_left: tuple[str, str], of_right: tuple[str, str]) -> DataFrame:
@@ -46,16 +51,13 @@ def interval_join(left: DataFrame, right: DataFrame, contig: str, of_left: tuple
 
     Column names must differ but for `contig`. Rows with a null in it or an end, and intervals that end before they start, overlap nothing.
     """
-    proper = lambda df, a, b: df.where(F.col(a) <= F.col(b)).withColumn("_level", level(F.col(a), F.col(b)))
-    left, right = proper(left, *of_left), proper(right, *of_right)
+    left, right = (df.withColumn("_level", level(F.col(a), F.col(b))) for df, (a, b) in ((left, of_left), (right, of_right)))
     in_left, in_right = _used(left), _used(right)
-    levels = lambda used, least: F.filter(F.array(*[F.lit(k) for k in used]).cast("array<int>"), lambda k: least(k))
-    own = F.array("_level")
-    # where the right interval's level is the coarser one, or the same; and where the left one's is
-    a = _bins(left, levels(in_right, lambda k: k >= F.col("_level")), *of_left), _bins(right, own, *of_right)
-    b = _bins(left, own, *of_left), _bins(right, levels(in_left, lambda k: k > F.col("_level")), *of_right)
-    one, two = (a[k].withColumn("_kind", F.lit(0)).unionByName(b[k].withColumn("_kind", F.lit(1))).drop("_level") for k in (0, 1))
-    two = two.withColumnRenamed("_first", "_first_r")
+    own = F.col("_level")
+    # kind 0 meets where the right interval's level is the coarser one or the same, kind 1 where the left one's is
+    finer = F.lit(in_right[0] if in_right else LEVELS) < own
+    one = _dealt(left, *of_left, [*((0, F.lit(k), own <= k) for k in in_right), (1, own, finer)])
+    two = _dealt(right, *of_right, [(0, own, own.isNotNull()), *((1, F.lit(k), own < k) for k in in_left)]).withColumnRenamed("_first", "_first_r")
     both = one.join(two, [contig, "_kind", "_on", "_bin"])
     overlap = (F.col(of_left[0]) <= F.col(of_right[1])) & (F.col(of_left[1]) >= F.col(of_right[0])) & (F.col("_bin") == F.greatest("_first", "_first_r"))
     return both.where(overlap).drop("_kind", "_on", "_bin", "_first", "_first_r")
