@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import new_folder
-
-
-def stored(df: DataFrame, kind: str = "stored") -> DataFrame:
-    """Cuts the lineage with a Parquet table in the shared folder, whose size the planner knows and which outlives any executor."""
-    path = new_folder(df.sparkSession, kind)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from ..sources.shared import stored
 
 
 def best_of(rows: DataFrame, key: list[str], order: Column) -> DataFrame:

@@ -6,20 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import reads as R
-from .keyed import occurrences, ranked, stored, with_best
+from ..sources.shared import small, stored
+from .keyed import occurrences, ranked, with_best
 
 #: Fixed value: the control genome's contig.
 CONTAMINANT = "gi|9626372|ref|NC_001422.1|"
-#: Bytes of a header or sample table, at most, that are broadcast; they are added up first.
-BROADCAST_BYTES = 32 << 20
-
-
-def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
-    """A broadcast hint if the rows of `df` take at most `most` bytes (text, and 16 a column), else `df` as it is."""
-    width = lambda c, kind: F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) + 16 if kind == "string" else F.lit(16)
-    size = df.agg(F.sum(sum((width(c, k) for c, k in df.dtypes), F.lit(0)).cast("long"))).first()[0]
-    return F.broadcast(df) if (size or 0) <= most else df
-
 
 def contaminant_names(reads: DataFrame, contig: str = CONTAMINANT) -> DataFrame:
     return reads.where(~F.col("unmapped") & (F.lower("rname") == contig.lower())).select("qname").distinct()

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .shared import small, stored
+
 
 def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, line_no, value) of text files, numbered from 0 in each file.
@@ -18,12 +24,95 @@ def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return lines.withColumn("inside", inside).join(offsets, ["file", "block"]).select("file", (F.col("offset") + F.col("inside")).alias("line_no"), "value")
 
 
+def _split_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(value, file, block) of text files, in order inside each file split (file, block)."""
+    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.Array]]:
+    """The batch's lines by split: ((file, block), values)."""
+    blocks, files = batch.column(2).to_numpy(), batch.column(1)
+    if not len(blocks):
+        return
+    coded = files.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    starts = np.flatnonzero(np.concatenate([[True], (blocks[1:] != blocks[:-1]) | (coded[1:] != coded[:-1])])).tolist()
+    for a, b in zip(starts, [*starts[1:], len(blocks)], strict=True):
+        yield (files[a].as_py(), int(blocks[a])), batch.column(0).slice(a, b - a)
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, block, n, head, tail): the number of lines of each split, its first lines and its last ones, three of each at most."""
+    key, n, head, tail = None, 0, [], []
+
+    def row() -> pa.RecordBatch:
+        lists = [pa.array([v], pa.list_(pa.string())) for v in (head, tail)]
+        return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]], pa.int64()), pa.array([n], pa.int64()), *lists], ["file", "block", "n", "head", "tail"])
+
+    for batch in batches:
+        for at, lines in _runs(batch):
+            if at != key:
+                if key is not None:
+                    yield row()
+                key, n, head, tail = at, 0, [], []
+            if len(head) < 3:
+                head += lines.slice(0, 3 - len(head)).to_pylist()
+            tail = (tail + lines.slice(max(0, len(lines) - 3)).to_pylist())[-3:]
+            n += len(lines)
+    if key is not None:
+        yield row()
+
+
+def _whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(value, file, block, offset) to the records that lie inside one split; offset: lines of the file before the split."""
+    names = ["file", "rec_no", "header", "seq", "qual_header", "qual"]
+    key, line, kept = None, 0, None
+    for batch in batches:
+        done = 0
+        for at, lines in _runs(batch):
+            if at != key:
+                key, line = at, batch.column(3)[done].as_py()
+                kept = None
+            done += len(lines)
+            if kept is None and line % 4:  # the first lines of the split end a record of the split before
+                skip = min(len(lines), 4 - line % 4)
+                lines, line = lines.slice(skip), line + skip
+            if kept is not None and len(kept):
+                lines = pa.concat_arrays([kept, lines])
+            if line % 4 == 0:
+                n = len(lines) // 4
+                kept = lines.slice(4 * n)
+                if n:
+                    part = [lines.take(pa.array(np.arange(k, 4 * n, 4))) for k in range(4)]
+                    yield pa.RecordBatch.from_arrays([pa.array([key[0]] * n, pa.string()), pa.array(line // 4 + np.arange(n), pa.int64()), *part], names)
+                line += 4 * n
+
+
 def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, rec_no, header, seq, qual_header, qual): four lines a record, whatever they start with; a cut-off last record is left out."""
-    lines = numbered_lines(spark, paths)
-    part = lambda k, name: F.max(F.when(F.col("line_no") % 4 == k, F.col("value"))).alias(name)
-    got = lines.groupBy("file", F.floor(F.col("line_no") / 4).alias("rec_no")).agg(part(0, "header"), part(1, "seq"), part(2, "qual_header"), part(3, "qual"))
-    return got.where(F.col("qual").isNotNull())
+    """(file, rec_no, header, seq, qual_header, qual): four lines a record, whatever they start with; a cut-off last record is left out.
+
+    No line is shuffled, unless there are too many splits to broadcast a row for each. A first pass leaves of each file split its number of lines and its outermost ones; their sums over a file say
+    which line of which record each split begins with. A second pass puts together the records inside each split where they are,
+    and the few that a split's edge cuts are put together from the outermost lines.
+    """
+    lines = _split_lines(spark, paths)
+    edges = stored(lines.mapInArrow(_edges, "file string, block long, n long, head array<string>, tail array<string>"), "splits")
+    offset = (F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")).alias("offset")  # a row for each split of a file
+    splits = stored(edges.select("file", "block", "n", "head", "tail", offset), "splits")
+    table = splits.select("file", "block", "offset")
+    hinted = small(table)
+    if hinted is table:  # millions of files: too many splits to broadcast, so that lines are dealt out by split, in their order
+        seen = lines.withColumn("seen", F.monotonically_increasing_id()).join(table, ["file", "block"])
+        whole = seen.repartition("file", "block").sortWithinPartitions("file", "block", "seen").select("value", "file", "block", "offset")
+    else:
+        whole = lines.join(hinted, ["file", "block"]).select("value", "file", "block", "offset")
+    records = "file string, rec_no long, header string, seq string, qual_header string, qual string"
+    loose = lambda c, first: F.posexplode(F.transform(c, lambda x, k: F.struct((F.col("offset") + first + k).alias("line"), x.alias("value")))).alias("k", "e")
+    ends = splits.select("file", "offset", "n", loose("head", F.lit(0))).unionByName(splits.select("file", "offset", "n", loose("tail", F.col("n") - F.size("tail"))))
+    rec = F.floor(F.col("e.line") / 4)
+    cut = ends.where((rec * 4 < F.col("offset")) | (rec * 4 + 4 > F.col("offset") + F.col("n")))
+    part = lambda k, name: F.max(F.when(F.col("e.line") % 4 == k, F.col("e.value"))).alias(name)
+    joined = cut.groupBy("file", rec.alias("rec_no")).agg(part(0, "header"), part(1, "seq"), part(2, "qual_header"), part(3, "qual"))
+    return whole.mapInArrow(_whole_records, records).unionByName(joined.where(F.col("qual").isNotNull()))
 
 
 def _field(tag: str) -> Column:
@@ -42,21 +131,27 @@ def _rest(kind: str) -> Column:
     return F.nullif(F.array_join(F.filter(F.slice(F.split("value", "\t"), 2, 1_000_000), lambda x: ~own(x)), "\t"), F.lit(""))
 
 
+def _header(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(value, file, block, seen) of header lines; seen ascends inside a split. Records are left out before anything is moved."""
+    return _split_lines(spark, path).where(F.col("value").startswith("@")).withColumn("seen", F.monotonically_increasing_id())
+
+
 def read_sam_other(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(at, value): the header lines that read_sam() makes no tables of (@HD, @CO and unknown ones), in order from 0."""
-    head = numbered_lines(spark, path).where(F.col("value").startswith("@") & ~F.col("value").rlike("^@(SQ|RG|PG)\t"))
-    return head.select((F.row_number().over(Window.orderBy("file", "line_no")) - 1).cast("long").alias("at"), "value")  # header lines only
+    head = _header(spark, path).where(~F.col("value").rlike("^@(SQ|RG|PG)\t"))
+    return head.select((F.row_number().over(Window.orderBy("file", "block", "seen")) - 1).cast("long").alias("at"), "value")  # header lines only
 
 
 def read_sam(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(records, sq, rg, pg) of SAM text. No row is rejected: fields that are missing or no numbers are null.
 
+    read_no is 1 for fragments, and 0 for paired reads that are neither first nor second (or both: 1).
     `tags` has each tag's value by name (the first, if it repeats), `tag_text` all tags as they stand, with their types, for
     write_sam(). Header fields without a column are in `rest`.
     """
     lines = spark.read.text(path)
-    head = numbered_lines(spark, path).where(F.col("value").startswith("@"))
-    order = Window.orderBy("file", "line_no")  # header lines only: a contig or a group each
+    head = _header(spark, path)
+    order = Window.orderBy("file", "block", "seen")  # header lines only: a contig or a group each
     sq = head.where(F.col("value").startswith("@SQ\t")).select((F.row_number().over(order) - 1).alias("idx"), _field("SN").alias("sn"), _field("LN").cast("long").alias("ln"), _field("UR").alias("ur"), _field("AS").alias("assembly"), _field("SP").alias("species"), _rest("SQ").alias("rest"))
     rg = head.where(F.col("value").startswith("@RG\t")).select(_field("ID").alias("id"), _field("SM").alias("sm"), _field("LB").alias("lb"), _field("PU").alias("pu"), _field("PL").alias("pl"), _field("CN").alias("cn"), _field("DT").try_cast("timestamp").alias("dt"), _rest("RG").alias("rest"))
     pg = head.where(F.col("value").startswith("@PG\t")).select(_field("ID").alias("id"), _field("VN").alias("vn"), _rest("PG").alias("rest"))
@@ -67,8 +162,8 @@ def read_sam(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, Dat
     bit = lambda n: F.coalesce(flag.bitwiseAND(F.lit(n)) != 0, F.lit(False))
     one = F.aggregate(tags, F.array().cast("array<struct<k:string,v:string>>"), lambda a, t: F.when(F.exists(a, lambda o: o["k"] == t["k"]), a).otherwise(F.concat(a, F.array(t))))
     records = lines.where(~F.col("value").startswith("@") & (F.length("value") > 0)).select(
-        at(0).alias("qname"), flag.alias("flag"), F.when(bit(1) & bit(128), 2).otherwise(1).alias("read_no"), bit(1).alias("paired"), bit(4).alias("unmapped"), bit(8).alias("mate_unmapped"),
-        bit(16).alias("neg"), bit(32).alias("mate_neg"), bit(256).alias("not_primary"), bit(1024).alias("dup"), at(2).alias("rname"), at(3, "long").alias("pos"), at(4, "int").alias("mapq"), at(5).alias("cigar"),
+        at(0).alias("qname"), flag.alias("flag"), F.when(~bit(1) | bit(64), 1).when(bit(128), 2).otherwise(0).alias("read_no"), bit(1).alias("paired"), bit(4).alias("unmapped"), bit(8).alias("mate_unmapped"),
+        bit(16).alias("neg"), bit(32).alias("mate_neg"), bit(256).alias("not_primary"), bit(2048).alias("supplementary"), bit(1024).alias("dup"), at(2).alias("rname"), at(3, "long").alias("pos"), at(4, "int").alias("mapq"), at(5).alias("cigar"),
         at(6).alias("rnext"), at(7, "long").alias("pnext"), at(8, "long").alias("tlen"), at(9).alias("seq"), at(10).alias("qual"), F.map_from_entries(one).alias("tags"), F.slice(f, 12, 1_000_000).alias("tag_text"),
     ).withColumns({"md": F.col("tags")["MD"], "rg": F.col("tags")["RG"]})
     return records, sq, rg, pg
@@ -77,7 +172,7 @@ def read_sam(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, Dat
 def flag_of(records: DataFrame) -> Column:
     """The SAM flag of the boolean columns; bits without a column are kept from `flag`, if there is one."""
     bits = {"paired": 1, "unmapped": 4, "mate_unmapped": 8, "neg": 16, "mate_neg": 32, "not_primary": 256, "dup": 1024}
-    out = F.when(F.col("paired"), F.when(F.col("read_no") == 1, 64).otherwise(128)).otherwise(0)
+    out = F.when(F.col("paired"), F.when(F.col("read_no") == 1, 64).when(F.col("read_no") == 2, 128).otherwise(0)).otherwise(0)
     for name, n in bits.items():
         out = out + F.when(F.col(name), n).otherwise(0)
     return out + F.coalesce(F.col("flag").bitwiseAND(F.lit(2 | 512 | 2048)), F.lit(0)) if "flag" in records.columns else out
