@@ -143,3 +143,156 @@ def settled_runs(listing: DataFrame, settle_s: int = SETTLE_S) -> DataFrame:
     if "version" not in listing.columns:
         listing = listing.withColumn("version", F.lit(None).cast("string"))
     return listing.groupBy("instrument", "flowcell").transformWithStateInPandas(Settle(settle_s), "instrument string, flowcell string, ready_at timestamp", "Append", "processingTime")
+
+
+def _ms(at) -> int:
+    return int(pd.Timestamp(at).value // 1_000_000)
+
+
+class Timed(StatefulProcessor):
+    """State of a key with one event-time timer at most."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.timer = handle.getValueState("timer", "at long")
+
+    def at_time(self, ms: int | None) -> None:
+        """Sets the key's timer, or none."""
+        before = self.timer.get()[0] if self.timer.exists() else None
+        if before == ms:
+            return
+        if before is not None:
+            self.handle.deleteTimer(before)
+        if ms is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(ms)
+            self.timer.update((ms,))
+
+    def close(self) -> None:
+        pass
+
+
+class SettleByEventTime(Timed):
+    """Emits a run once, when the watermark passes the time at which it is ready; forgets it `keep_s` later.
+
+    That time follows from the first arrival of each marker alone, so it is the same however markers are dealt to micro-batches.
+    """
+
+    def __init__(self, settle_s: int, keep_s: int):
+        self.settle_ms, self.keep_ms = settle_s * 1000, keep_s * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.first = handle.getMapState("first", "file string", "at long")
+        self.version = handle.getValueState("version", "version string")
+        self.done = handle.getValueState("done", "at long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for pdf in rows:
+            for file, mtime, version in zip(pdf["file"], pdf["mtime"], pdf["version"], strict=True):
+                if version is not None and version == version:
+                    self.version.update((version,))
+                if file in (FINISHED, COMPLETE, *NETCOPIES):
+                    at = _ms(mtime)
+                    if not self.first.containsKey((file,)) or self.first.getValue((file,))[0] > at:
+                        self.first.updateValue((file,), (at,))
+        if not self.done.exists():
+            self.at_time(self._due(key))
+        return iter(())
+
+    def _due(self, key) -> int | None:
+        first = {k[0]: v[0] for k, v in self.first.iterator()}
+        times = [first[FINISHED]] if FINISHED in first else []
+        if BY_HAND not in key[1]:
+            if COMPLETE in first:
+                times.append(first[COMPLETE])
+            version = self.version.get()[0] if self.version.exists() else ""
+            if NETCOPY_VERSION in version and all(f in first for f in NETCOPIES):
+                times.append(max(first[NETCOPY] + self.settle_ms, *(first[f] for f in NETCOPIES)))
+        return min(times, default=None)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        self.timer.clear()
+        if self.done.exists():
+            for state in (self.first, self.version, self.done):
+                state.clear()
+            return
+        self.done.update((at,))
+        self.at_time(at + self.keep_ms)
+        yield pd.DataFrame({"instrument": [key[0]], "flowcell": [key[1]], "ready_at": [pd.Timestamp(at, unit="ms")]})
+
+
+class Ledger(Timed):
+    """Emits a key at its first marker, and again at a marker that comes more than `keep_s` after the one before it; keeps it no longer than that."""
+
+    def __init__(self, keep_s: int):
+        self.keep_ms = keep_s * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.last = handle.getValueState("last", "at long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        last, started = self.last.get()[0] if self.last.exists() else None, []
+        for at in sorted(_ms(t) for pdf in rows for t in pdf["mtime"]):
+            if last is None or at - last > self.keep_ms:
+                started.append(at)
+            last = at if last is None else max(last, at)
+        self.last.update((last,))
+        self.at_time(last + self.keep_ms)
+        if started:
+            yield pd.DataFrame({"instrument": [key[0]] * len(started), "flowcell": [key[1]] * len(started), "started": pd.to_datetime(started, unit="ms")})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.timer.clear()
+        self.last.clear()
+        return iter(())
+
+
+def settled_by_event_time(listing: DataFrame, settle_s: int = SETTLE_S, late: str = "1 hour", keep_s: int = 30 * 86_400) -> DataFrame:
+    """(instrument, flowcell, ready_at): each run once, at the event time at which its markers make it ready, for markers at most `late` behind the newest.
+
+    Needs the RocksDB state store. A replay of the same markers gives the same rows. State is bounded: a run is forgotten `keep_s`
+    after it was ready.
+    """
+    timed = listing.withWatermark("mtime", late)
+    return timed.groupBy("instrument", "flowcell").transformWithStateInPandas(SettleByEventTime(settle_s, keep_s), "instrument string, flowcell string, ready_at timestamp", "Append", "eventTime")
+
+
+def ledger(listing: DataFrame, late: str = "1 hour", keep_s: int = 7 * 86_400) -> DataFrame:
+    """(instrument, flowcell, started): each run at its first finished marker, and again after more than `keep_s` without one; later markers than `late` are dropped.
+
+    Needs the RocksDB state store. A key is kept until the watermark is `keep_s` past its last marker, so state does not grow with time.
+    """
+    timed = listing.where(F.col("file") == FINISHED).withWatermark("mtime", late)
+    return timed.groupBy("instrument", "flowcell").transformWithStateInPandas(Ledger(keep_s), "instrument string, flowcell string, started timestamp", "Append", "eventTime")
+
+
+def marker_stream(spark: SparkSession, root: str, archive: str | None = None, **options: str) -> DataFrame:
+    """(instrument, flowcell, file, mtime) of marker files root/instrument/flowcell/file as they arrive; contents are not read.
+
+    With `archive`, a folder outside of `root`, files that a finished micro-batch has read are moved there, so that listing the root
+    does not slow down as runs pile up. Names that begin with a dot or an underscore are hidden from Spark's sources.
+    """
+    if archive:
+        options = options | {"cleanSource": "archive", "sourceArchiveDir": archive}
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    found = spark.readStream.format("binaryFile").schema(schema).options(**options).load(f"{root}/*/*/*").select("path", "modificationTime")
+    parts = F.split("path", "/")
+    return found.select(*(F.element_at(parts, -k).alias(c) for k, c in ((3, "instrument"), (2, "flowcell"), (1, "file"))), F.col("modificationTime").alias("mtime"))
+
+
+ROCKS = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def run_to_end(out: DataFrame, path: str, checkpoint: str) -> None:
+    """Appends what the stream gives to the Parquet folder `path` until nothing is left to read; a later call with the same checkpoint goes on from there."""
+    conf = out.sparkSession.conf
+    before = conf.get(ROCKS[0])
+    conf.set(*ROCKS)
+    try:
+        out.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        conf.set(ROCKS[0], before)
