@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,15 +16,20 @@ def share(part: Column, whole: Column, none: float = 0.0) -> Column:
 
 
 def alignment_metrics(reads: DataFrame, missing_md: str = "error") -> DataFrame:
+    """By read type; paired reads that are neither first nor second have none and count nowhere."""
     mapped = ~F.col("unmapped")
     miss = F.when(mapped, R.mismatches(missing_md=missing_md))
     bases = F.length("seq").cast("long")
-    got = reads.select(R.read_type().alias("read_type"), "unmapped", "dup", miss.alias("miss"), bases.alias("bases"), (bases - R.n_count()).alias("valid")).groupBy("read_type").agg(
+    got = reads.select(R.read_type().alias("read_type"), "unmapped", "dup", miss.alias("miss"), bases.alias("bases"), (bases - R.n_count()).alias("valid")).where(F.col("read_type").isNotNull()).groupBy("read_type").agg(
         F.count(F.lit(1)).alias("total_reads"), count_if(mapped).alias("mapped_reads"), count_if(F.col("unmapped")).alias("unmapped_reads"),
         count_if(mapped & F.col("dup")).alias("dup_reads"), count_if(F.col("miss") == 0).alias("exact_reads"), F.sum("bases").alias("total_bases"), F.sum("valid").alias("valid_bases"),
         F.coalesce(F.sum("miss"), F.lit(0)).alias("mismatches"), F.coalesce(F.sum(F.when(mapped, F.col("bases"))), F.lit(0)).alias("mapped_bases"),
     )
-    return got.withColumns({
+    return with_alignment_shares(got)
+
+
+def with_alignment_shares(counts: DataFrame) -> DataFrame:
+    return counts.withColumns({
         "pct_mapped": share(F.col("mapped_reads"), F.col("total_reads")), "pct_dup": share(F.col("dup_reads"), F.col("mapped_reads")),
         "pct_exact": share(F.col("exact_reads"), F.col("mapped_reads")), "pct_mismatch": share(F.col("mismatches"), F.col("mapped_bases"), 100.0),
     })
@@ -39,7 +41,11 @@ def pair_metrics(reads: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("pairs"), count_if(um & mm).alias("both_unmapped"), count_if(~um & ~mm).alias("both_mapped"), count_if(~um & ~mm & R.same_chr_pair()).alias("both_mapped_same_chr"),
         count_if(~um & mm).alias("only_read2_mapped"), count_if(um & ~mm).alias("only_read1_mapped"),
     )
-    return got.withColumns({f"pct_{c}": share(F.col(c), F.col("pairs")) for c in got.columns[1:]})
+    return with_pair_shares(got)
+
+
+def with_pair_shares(counts: DataFrame) -> DataFrame:
+    return counts.withColumns({f"pct_{c}": share(F.col(c), F.col("pairs")) for c in counts.columns[1:]})
 
 
 def insert_size_histogram(reads: DataFrame) -> DataFrame:
@@ -86,6 +92,11 @@ def quality_by_position(reads: DataFrame) -> DataFrame:
     series = F.when(F.col("paired") & (F.col("read_no") == 2), 2).otherwise(1)
     bases = reads.where(F.col("qual") != "*").select(series.alias("series"), F.posexplode(F.split(chars, "")).alias("p", "c"))
     got = bases.groupBy("series", (F.col("p") + 1).alias("position")).agg(F.sum(F.ascii("c") - 33).alias("quality_sum"), F.count(F.lit(1)).alias("n"))
+    return quality_grid(got)
+
+
+def quality_grid(got: DataFrame) -> DataFrame:
+    """Every position up to the longest, with means, of sums by (series, position)."""
     there = got.groupBy("series").agg(F.lit(1).alias("one")).crossJoin(F.broadcast(got.agg(F.max("position").alias("longest"))))  # two rows by one
     grid = there.select("series", F.explode(F.sequence(F.lit(1), "longest")).alias("position"))
     return grid.join(got, ["series", "position"], "left").select(
@@ -132,7 +143,12 @@ def n_distribution(reads: DataFrame) -> DataFrame:
     """Percentage of all reads with an N at each 0-based position."""
     bases = reads.select("read_no", F.posexplode(F.split(F.upper("seq"), "")).alias("start", "b")).where(F.col("b") == "N").groupBy("read_no", "start").agg(F.count(F.lit(1)).alias("n"))
     total = reads.groupBy("read_no").agg(F.count(F.lit(1)).alias("total"))
-    grid = total.crossJoin(F.broadcast(_grid(reads)))  # read numbers by read length
+    return n_grid(total, bases, _grid(reads))
+
+
+def n_grid(total: DataFrame, bases: DataFrame, starts: DataFrame) -> DataFrame:
+    """Every position of `starts` for each read number, with the share of its reads that have an N there."""
+    grid = total.crossJoin(F.broadcast(starts))  # read numbers by read length
     return grid.join(bases, ["read_no", "start"], "left").select("read_no", F.col("start").alias("position"), F.coalesce("n", F.lit(0)).alias("n_count"), share(F.coalesce("n", F.lit(0)), F.col("total")).alias("pct_n"))
 
 
@@ -185,40 +201,3 @@ def capture_metrics(reads: DataFrame, targets: DataFrame, buffer: int = 100) ->
                       *[F.coalesce(F.sum(F.when(F.col("depth") >= k, F.col("bases"))), F.lit(0)).alias(f"bases_{k}x") for k in (1, 4, 10, 20, 40)])
     out = totals.crossJoin(hits).crossJoin(targets.distinct().agg(F.count(F.lit(1)).alias("total_targets"))).crossJoin(bases)  # one row each
     return out.withColumn("buffer_reads", F.col("target_or_buffer_reads") - F.col("target_reads"))
-
-
-#: name -> DataFrame of reads to DataFrame; register() adds a calculator of the user's own.
-CALCULATORS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "alignment": alignment_metrics, "pairs": pair_metrics, "insert_size": lambda reads: insert_size_metrics(insert_size_histogram(reads)),
-    "insert_size_histogram": insert_size_histogram, "quality": quality_by_position, "n_content": n_distribution,
-}
-BUILT_IN = frozenset(CALCULATORS)
-
-
-def register(name: str, calculator: Callable[[DataFrame], DataFrame]) -> None:
-    CALCULATORS[name] = calculator
-
-
-#: What the calculators above read.
-SUITE_COLUMNS = ["paired", "read_no", "unmapped", "mate_unmapped", "neg", "mate_neg", "dup", "not_primary", "rname", "rnext", "pos", "pnext", "tlen", "cigar", "md", "seq", "qual"]
-
-
-def metric_suite(reads: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """(calculator, metric, value) of all calculators, which share one scan of `reads`.
-
-    The scan's rows are kept by the executors, on disk where memory is short, in their own columns, of which each calculator
-    reads those it needs; rows of lost executors are read again. `reads.unpersist()` or clearCache() frees them.
-    """
-    if set(names or CALCULATORS) <= BUILT_IN and set(SUITE_COLUMNS) <= set(reads.columns):
-        reads = reads.select(*SUITE_COLUMNS)
-    reads = reads.persist(StorageLevel.MEMORY_AND_DISK)
-    out = None
-    for name in names or list(CALCULATORS):
-        got = CALCULATORS[name](reads)
-        keys = [f.name for f in got.schema.fields if f.dataType.simpleString() == "string" or f.name in ("size", "series", "position", "read_no")]
-        values = [c for c in got.columns if c not in keys]
-        label = lambda c, keys=keys: F.concat_ws("/", *[F.col(k).cast("string") for k in keys], F.lit(c))
-        rows = got.select(F.explode(F.array(*[F.struct(label(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in values])).alias("v"))
-        rows = rows.select(F.lit(name).alias("calculator"), "v.metric", "v.value")
-        out = rows if out is None else out.unionByName(rows)
-    return out

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
 #: Marker files of a run folder.
 FINISHED = ".rsync_finished"
 COMPLETE = "RTAComplete.txt"
@@ -59,12 +61,37 @@ def run_ready(files: DataFrame, now: Column, versions: DataFrame | None = None,
     return state.select("instrument", "flowcell", is_ready.alias("ready"), mark.alias("mark"))
 
 
+#: Letters of the pieces by which wanted names find directories.
+GRAM = 4
+
+
+def _grams(name: str, sizes: list[int]) -> Column:
+    """The distinct pieces of a name, of all given sizes."""
+    c = F.col(name)
+    cut = lambda n: F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substr(c, i, F.lit(n)))
+    return F.array_distinct(F.flatten(F.array(*[F.when(F.length(c) >= n, cut(n)).otherwise(F.array().cast("array<string>")) for n in sizes])))
+
+
 def run_finished_date(wanted: DataFrame, files: DataFrame) -> DataFrame:
-    """(instrument, flowcell, finished): date of the completion marker in a directory whose name contains `flowcell`; NONE without a marker, INVALID_FLOWCELL without a directory."""
-    state = run_state(files).select(F.col("instrument"), F.col("flowcell").alias("directory"), "complete_time")
-    both = wanted.alias("w").join(state.alias("s"), (F.col("w.instrument") == F.col("s.instrument")) & F.col("directory").contains(F.col("w.flowcell")), "left")
-    date = F.when(F.count("directory") == 0, "INVALID_FLOWCELL").otherwise(F.coalesce(F.date_format(F.max("complete_time"), "yyyy-MM-dd"), F.lit("NONE")))
-    return both.groupBy(F.col("w.instrument").alias("instrument"), F.col("w.flowcell").alias("flowcell")).agg(date.alias("finished"))
+    """(instrument, flowcell, finished): date of the completion marker in a directory whose name contains `flowcell`; NONE without a marker, INVALID_FLOWCELL without a directory.
+
+    A directory that contains a name contains each piece of GRAM letters of it (all of it, if it is shorter). Of these the piece
+    that stands in the fewest directories of the instrument is looked up among the directories' pieces, so names meet
+    candidates by equality, and few of them. An empty name is in every directory of its instrument.
+    """
+    names = wanted.select("instrument", "flowcell").distinct()
+    state = stored(run_state(files).select("instrument", F.col("flowcell").alias("directory"), "complete_time"))
+    known = F.coalesce(F.least(F.length("flowcell"), F.lit(GRAM)), F.lit(GRAM))
+    sizes = sorted(r[0] for r in names.select(known.alias("n")).distinct().collect())  # GRAM + 1 values at most
+    pieces = stored(state.select("instrument", "directory", "complete_time", F.explode(_grams("directory", sizes or [GRAM])).alias("piece")))
+    often = pieces.groupBy("instrument", "piece").agg(F.count(F.lit(1)).alias("directories"))
+    own = F.explode(F.when(known == 0, F.array(F.lit(""))).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("flowcell") - known + 1), lambda i: F.substr("flowcell", i, known)))))
+    rated = names.where(F.col("flowcell").isNotNull()).select("instrument", "flowcell", own.alias("piece")).join(often, ["instrument", "piece"])
+    rarest = rated.groupBy("instrument", "flowcell").agg(F.min_by("piece", F.struct("directories", "piece")).alias("piece"))
+    found = rarest.join(pieces, ["instrument", "piece"]).where(F.col("directory").contains(F.col("flowcell")))
+    dates = found.groupBy("instrument", "flowcell").agg(F.coalesce(F.date_format(F.max("complete_time"), "yyyy-MM-dd"), F.lit("NONE")).alias("finished"))
+    same = F.col("n.instrument").eqNullSafe(F.col("d.instrument")) & F.col("n.flowcell").eqNullSafe(F.col("d.flowcell"))
+    return names.alias("n").join(dates.alias("d"), same, "left").select("n.instrument", "n.flowcell", F.coalesce("finished", F.lit("INVALID_FLOWCELL")).alias("finished"))
 
 
 def cycles_per_lane(cycles: DataFrame) -> DataFrame:

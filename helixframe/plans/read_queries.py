@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import reads as R
 from ..operators import metrics as M
 from ..operators import reads as O
+from ..operators import suite
 from .fixtures import READS, TARGETS, ctes, load
 
 QUERIES: dict = {}
@@ -297,4 +298,4 @@ SUITE = {
 
 @query("metric_suite", "WITH " + ", ".join(f"{name}_rows AS ({SQL[of]})" for name, (of, _, _) in SUITE.items()) + " " + " UNION ALL ".join(long_form(name, keys, values) for name, (_, keys, values) in SUITE.items()))
 def metric_suite(spark, sf_dir):
-    return M.metric_suite(reads(spark, sf_dir))
+    return suite.metric_suite(reads(spark, sf_dir))

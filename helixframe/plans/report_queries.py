@@ -15,12 +15,15 @@ from ..operators import metrics as M
 from ..operators import reads as O
 from ..operators import runs as U
 from ..operators import samples as S
+from ..operators import suite
 from ..sources import reports, sequences, tables, xml
 from ..sources.shared import new_folder
 from ..streaming import runs as T
-from .fixtures import BARCODES, FLOWCELLS, LANE_BARCODES, LANE_SUMMARY, RUN_FILES, RUN_MARKERS, SAMPLE_SHEET, ctes, load
+from .fixtures import BARCODES, FLOWCELLS, LANE_BARCODES, LANE_SUMMARY, READS, RUN_FILES, RUN_MARKERS, SAMPLE_SHEET, ctes, load
+from .read_queries import SQL as SQL_OF
 from .read_queries import WITH, dictionary, reads, records
 
+READS_SQL = READS.format(orders="orders")
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -390,11 +393,25 @@ def repacked_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("registered_calculator", WITH + "SELECT 'contigs' AS calculator, concat(rname, '/', m) AS metric, CAST(CASE m WHEN 'reads' THEN n ELSE b END AS DOUBLE) AS value FROM (SELECT rname, count(*) AS n, sum(length(seq)) AS b FROM reads GROUP BY rname) CROSS JOIN (VALUES ('reads'), ('bases')) t(m)")
 def registered_calculator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    M.register("contigs", lambda r: r.groupBy("rname").agg(F.count(F.lit(1)).alias("reads"), F.sum(F.length("seq")).alias("bases")))
+    suite.register("contigs", lambda r: r.groupBy("rname").agg(F.count(F.lit(1)).alias("reads"), F.sum(F.length("seq")).alias("bases")))
     try:
-        return M.metric_suite(reads(spark, sf_dir), ["contigs"])
+        return suite.metric_suite(reads(spark, sf_dir), ["contigs"])
     finally:
-        del M.CALCULATORS["contigs"]
+        del suite.CALCULATORS["contigs"]
+
+
+@query("mergeable_calculator", "WITH " + f"pairs_rows AS ({SQL_OF['pair_metrics']}), reads AS ({READS_SQL}), " + """g AS (SELECT rname, CAST(sum(length(seq) - length(replace(replace(seq, 'G', ''), 'C', ''))) AS BIGINT) AS gc, CAST(sum(length(seq)) AS BIGINT) AS bases, CAST(max(mapq) AS BIGINT) AS best_mapq FROM reads WHERE NOT unmapped GROUP BY rname)
+SELECT 'gc' AS calculator, concat(rname, '/', m) AS metric, CASE m WHEN 'gc_share' THEN round(gc / bases, 9) ELSE best_mapq END AS value FROM g CROSS JOIN (VALUES ('gc_share'), ('best_mapq')) t(m)
+UNION ALL SELECT 'pairs', 'pairs', CAST(pairs AS DOUBLE) FROM pairs_rows""")
+def mergeable_calculator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calculator of the user's own in one scan with a built-in one."""
+    gc = F.length("seq") - F.length(F.translate("seq", "GC", ""))
+    share = lambda t: t.select(F.col("key").alias("rname"), F.round(F.col("sum_0") / F.col("sum_1"), 9).alias("gc_share"), F.col("high_0").alias("best_mapq"))
+    suite.register("gc", suite.Calculator("gc", lambda r: [suite.Row(F.col("rname"), [gc, F.length("seq")], [F.col("mapq")], when=~F.col("unmapped"))], share))
+    try:
+        return suite.metric_suite(reads(spark, sf_dir), ["gc", "pairs"]).where("calculator = 'gc' OR metric = 'pairs'")
+    finally:
+        del suite.CALCULATORS["gc"]
 
 
 @query("number_formats", "SELECT o_orderkey AS id, printf('%.2f', round_even(o_orderkey / 8.0::DOUBLE, 2)) AS half_even, printf('%.2f', floor(o_orderkey * 12.5::DOUBLE + 0.5) / 100) AS half_up FROM orders")

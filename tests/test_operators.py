@@ -10,6 +10,7 @@ from helixframe.functions import reads as R
 from helixframe.operators import metrics as M
 from helixframe.operators import reads as O
 from helixframe.operators import samples as S
+from helixframe.operators import suite
 from helixframe.streaming import runs as T
 
 FASTQ = "file string, rec_no long, header string, seq string, qual string"
@@ -120,11 +121,11 @@ def test_barcode_maps(spark):
 
 
 def test_calculators_can_be_registered(spark):
-    M.register("count", lambda reads: reads.agg(F.count(F.lit(1)).alias("n")))
+    suite.register("count", lambda reads: reads.agg(F.count(F.lit(1)).alias("n")))
     try:
-        assert M.metric_suite(spark.range(3), ["count"]).first()["value"] == 3.0
+        assert suite.metric_suite(spark.range(3), ["count"]).first()["value"] == 3.0
     finally:
-        del M.CALCULATORS["count"]
+        del suite.CALCULATORS["count"]
 
 
 def test_stream_equals_batch_and_goes_on_after_a_restart(spark, tmp_path):
@@ -223,8 +224,30 @@ def test_unnamed_reads_are_no_duplicates(spark):
 def test_the_suite_scans_its_reads_once(spark, sf):
     from helixframe.plans import read_queries as Q
 
-    got = M.metric_suite(Q.reads(spark, sf))
+    scans = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("string")
+    def seen(qname):
+        scans.add(len(qname))
+        return qname
+
+    reads = Q.reads(spark, sf)
+    got = suite.metric_suite(reads.withColumn("rname", F.coalesce("rname", seen("qname"))).withColumn("seq", F.when(F.length(seen("qname")) >= 0, F.col("seq"))))
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("InMemoryRelation") >= 6 and len({r["calculator"] for r in got.collect()}) == 6
-    assert "FileScan" not in plan.split("InMemoryRelation")[0]
-    spark.catalog.clearCache()
+    assert "InMemory" not in plan and len({r["calculator"] for r in got.collect()}) == 6
+    assert 0 < scans.value <= 2 * reads.count()  # twice a row at most: once for each use of the function
+
+
+def test_a_calculator_merges_sums_and_greatest_values_over_tasks(spark):
+    rows = [(i % 3, i) for i in range(100)]
+    df = spark.createDataFrame(rows, "k int, v long").repartition(7)
+    own = suite.Calculator("own", lambda r: [suite.Row(F.col("k"), [F.col("v"), F.lit(1)], [F.col("v"), -F.col("v")]), suite.Letters(F.lit("t"), F.col("v").cast("string"), only="7")], lambda t: t)
+    got = {(r["key"], r["at"], r["letter"]): r for r in suite.state(df, [own]).collect()}
+    for k in range(3):
+        mine = [v for a, v in rows if a == k]
+        r = got[str(k), None, None]
+        assert (r["sum_0"], r["sum_1"], r["high_0"], -r["high_1"]) == (sum(mine), len(mine), max(mine), min(mine))
+    assert got["t", 0, "7"]["sum_0"] == sum(str(v)[0] == "7" for _, v in rows) and got["t", 1, "7"]["sum_0"] == sum(len(str(v)) > 1 and str(v)[1] == "7" for _, v in rows)
+    assert len(got) == 5
+    with pytest.raises(ValueError):
+        suite.state(df, [suite.Calculator("wide", lambda r: [suite.Row(F.col("k"), [F.lit(1)] * 10)], lambda t: t)])
