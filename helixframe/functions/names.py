@@ -9,17 +9,11 @@ from .reads import col
 
 #: The rules by library name (pattern, reference, chip design).
 LIBRARY_RULES = [("TREN", "hg19/original/hg19.fa", "ezexome2_hg19"), ("TLVR", "hg19/original/hg19.fa", "vcrome2.1_hg19")]
-#: The folder below a run.
-DATA_FOLDER = "/data_dir/"
-#: What the fields of a run's name may be, each written once; a path's shape is a sequence of fields.
-RUN_FIELDS = {"clock": r"\d{2}(?:-\d{2}){2}", "day": r"[\d-]+", "number": r"\d+", "code": r"CF\d+", "machine": r"USI-[^\W_]+", "type": r"[12EP]*", "flowcell": r"FC\w+", "lane": r"L\d+", "sample": r"[\w.+-]*"}
-#: The four shapes of run names, in the order they are tried. `?` ends a part that may be missing with its `_`.
-RUN_SHAPES = [
-    "clock _ number - code _ machine _number? _type? _ flowcell - lane - sample",
-    "day _ clock _ number _type? - sample",
-    "number _ machine _number? _[R2]+? _type? _ flowcell - lane - sample",
-    "_type? _? flowcell - lane - sample",
-]
+#: The folder in a run's folder.
+DATA_FOLDER = "data_dir"
+#: What begins a machine's name and a flowcell's.
+MACHINE, FLOWCELL = "USI-", "FC"
+DIGITS = "0123456789"
 
 
 def lane_barcode_valid(name, multiplexed: bool = True) -> Column:
@@ -85,33 +79,93 @@ def split_mean_sd(name, value) -> tuple[Column, Column, Column]:
     )
 
 
-def _shape_pattern(shape: str, wanted: str | None) -> str:
-    """The shape as a pattern below DATA_FOLDER; its group 1 is the `wanted` field, or the whole name."""
-    out = ""
-    for part in shape.split():
-        optional, name = part.endswith("?"), part.strip("?").removeprefix("_") or part
-        text = RUN_FIELDS.get(name, name)
-        text = f"({text})" if name == wanted else f"(?:{text})"
-        out += f"(?:_?{text})?" if optional and name != wanted else f"_?{text}" if optional else text
-    return (out if wanted else f"({out})") + DATA_FOLDER
+def _made_of(text: Column, letters: str) -> Column:
+    return F.translate(text, letters, "") == ""
 
 
-def parse_run_path(path) -> Column:
-    """struct(run, date_created, instrument, type, fc, sample) by the first shape that fits, null if none does; a blank type is Fragment.
+def _number(text: Column) -> Column:
+    return (F.length(text) > 0) & _made_of(text, DIGITS)
 
-    The date is the number before the machine, and date, machine and flowcell are null in shapes that name no machine.
-    """
 
-    def field(name: str | None) -> Column:
-        at = lambda s: F.regexp_extract(col(path), _shape_pattern(s, name), 1) if name is None or name in s.replace("_", " ").replace("?", " ").split() else F.lit(None).cast("string")
-        return F.coalesce(*[F.when(fits, F.coalesce(at(s), F.lit(""))) for fits, s in zip(fit, RUN_SHAPES, strict=True)])
+def _first(items: Column, test) -> Column:
+    """The 0-based place of the first item that passes, or null."""
+    return F.get(F.filter(F.transform(items, lambda x, k: F.when(test(x, k), k)), lambda k: k.isNotNull()), F.lit(0))
+
+
+def _let(value: Column, then) -> Column:
+    """`then` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _rest(items: Column, k) -> Column:
+    """The items from the 0-based place k on."""
+    return F.slice(items, k + 1, F.greatest(F.size(items) - k, F.lit(0)))
+
+
+def _kind(fields: Column) -> Column:
+    """A run's type among the fields before its flowcell: the last one if it is made of P, E, 1 and 2; a blank one is Fragment."""
+    last = F.coalesce(F.get(fields, F.size(fields) - 1), F.lit(""))
+    return F.when((last != "") & _made_of(last, "PE12"), last).otherwise("Fragment")
+
+
+def _run(name: Column, kind: Column, sample: Column, date=None, machine=None, flowcell=None) -> Column:
+    given = lambda c: F.lit(None).cast("string") if c is None else c
+    return F.struct(name.alias("run"), given(date).alias("date_created"), given(machine).alias("instrument"), kind.alias("type"), given(flowcell).alias("fc"), sample.alias("sample"))
+
+
+def _timed_run(name: Column) -> Column:
+    """A day, a time of day, and a number with or without the type, then the sample; null for other names."""
+
+    def of(fields: Column) -> Column:
+        clock = F.split(F.get(fields, F.lit(1)), "-")
+        day = F.get(fields, F.lit(0))
+        fits = (day != "") & _made_of(day, DIGITS + "-") & (F.size(clock) == 3) & F.forall(clock, lambda x: (F.length(x) == 2) & _number(x))
+        return F.when(fits, _let(F.array_join(_rest(fields, F.lit(2)), "_"), sampled))
 
-    fit = [col(path).rlike(_shape_pattern(s, None)) for s in RUN_SHAPES]
-    machine = F.regexp_extract(col(path), rf"({RUN_FIELDS['number']})_{RUN_FIELDS['machine']}", 1)
-    given = lambda c: F.nullif(c, F.lit(""))
-    there = given(field("machine")).isNotNull()
-    return F.when(F.coalesce(*[F.when(f, F.lit(True)) for f in fit]), F.struct(
-        field(None).alias("run"), given(machine).alias("date_created"), given(field("machine")).alias("instrument"), F.coalesce(given(field("type")), F.lit("Fragment")).alias("type"), F.when(there, given(field("flowcell"))).alias("fc"), field("sample").alias("sample")))
+    def sampled(text: Column) -> Column:
+        head = F.split(F.substring_index(text, "-", 1), "_")
+        fits = text.contains("-") & _number(F.get(head, F.lit(0))) & ((F.size(head) == 1) | ((F.size(head) == 2) & _made_of(F.get(head, F.lit(1)), "PE12")))
+        return F.when(fits, _run(name, _kind(_rest(head, F.lit(1))), F.substr(text, F.length(F.substring_index(text, "-", 1)) + 2)))
+
+    return _let(F.split(name, "_"), of)
+
+
+def _flowcell_run(name: Column) -> Column:
+    """Fields up to a flowcell, then a lane and the sample; null for other names."""
+
+    def of_pieces(pieces: Column) -> Column:
+        cell = lambda k: F.element_at(F.split(F.get(pieces, k), "_"), -1)
+        is_lane = lambda x, k: (k > 0) & (k < F.size(pieces) - 1) & x.startswith("L") & _number(F.substring(x, 2, 99)) & cell(k - 1).startswith(FLOWCELL) & (F.length(cell(k - 1)) > 2)
+        return _let(_first(pieces, is_lane), lambda lane: F.when(lane.isNotNull(), _let(F.split(F.array_join(F.slice(pieces, 1, lane), "-"), "_"), lambda before: of_fields(before, F.array_join(_rest(pieces, lane + 1), "-")))))
+
+    def of_fields(before: Column, sample: Column) -> Column:
+        plain = _run(name, _kind(F.slice(before, 1, F.size(before) - 1)), sample)
+        machine = _first(before, lambda x, k: x.startswith(MACHINE) & (k > 0))
+        return _let(machine, lambda at: F.when(at.isNull(), plain).otherwise(F.coalesce(with_machine(before, at, sample), plain)))
+
+    def with_machine(before: Column, at: Column, sample: Column) -> Column:
+        between = F.slice(before, at + 2, F.greatest(F.size(before) - at - 2, F.lit(0)))
+        first = lambda x: F.coalesce(F.get(x, F.lit(0)), F.lit(""))
+        no_number = lambda x: F.when(_number(first(x)), _rest(x, F.lit(1))).otherwise(x)
+        no_read = lambda x: F.when((first(x) != "") & _made_of(first(x), "R2"), _rest(x, F.lit(1))).otherwise(x)
+        date = F.element_at(F.split(F.get(before, at - 1), "-"), -1)
+        number = F.when(date.startswith("CF"), F.substring(date, 3, 99)).otherwise(date)
+        run = lambda kind, day: F.when(_number(day) & (F.size(kind) < 2) & _made_of(first(kind), "PE12"), _run(name, _kind(kind), sample, day, F.get(before, at), F.element_at(before, -1)))
+        return _let(between, lambda x: _let(no_number(x), lambda y: _let(no_read(y), lambda kind: _let(number, lambda day: run(kind, day)))))
+
+    return _let(F.split(name, "-"), of_pieces)
+
+
+def parse_run_path(path) -> Column:
+    """struct(run, date_created, instrument, type, fc, sample) of the run folder before DATA_FOLDER; null if its name is none of a run.
+
+    A name is fields between underscores. With a flowcell, hyphens part it from a lane (L and digits) and the sample; a machine
+    before it has the date in front of it (behind a hyphen and CF, if it has those) and a number, a read and the type
+    behind it, each of which may be missing. Date, machine and flowcell are given for names with a machine only. Without a
+    flowcell, a name is a day, a time of day of three numbers, and a number, perhaps with the type, then the sample.
+    """
+    name = lambda folders: F.get(folders, F.array_position(folders, F.lit(DATA_FOLDER)).cast("int") - 2)
+    return _let(F.split(col(path), "/"), lambda folders: _let(name(folders), lambda n: F.coalesce(_flowcell_run(n), _timed_run(n))))
 
 
 def rta_version(run_parameters, netcopy) -> Column:

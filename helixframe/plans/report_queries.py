@@ -94,12 +94,12 @@ def barcode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.barcode_distance(rows, 4).select("tag1", "tag2", F.col("distance").cast("int").alias("distance"))
 
 
-@query("lane_info_lookup", ctes(f=FLOWCELLS) + "SELECT concat(lane_barcode, '/', CAST(id AS VARCHAR)) AS lane_barcode, concat('D', CAST(id % 50 AS VARCHAR)) AS name, 100 AS read_length, reference AS reference_path, sample, library FROM f WHERE id % 3 <> 0")
+@query("lane_info_lookup", ctes(f=FLOWCELLS) + "SELECT concat(lane_barcode, '/', CAST(id AS VARCHAR)) AS lane_barcode, concat('D', CAST(id % 50 AS VARCHAR)) AS name, 100 AS read_length, reference AS reference_path, sample, library FROM f")
 def lane_info_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = load(spark, sf_dir, FLOWCELLS).withColumn("lb", F.concat("lane_barcode", F.lit("/"), text("id")))
     one = F.struct(F.col("lb").alias("id"), F.col("reference").alias("reference_path"), "sample", "library", F.nullif("chip", F.lit("")).alias("chip_design"))
     definition = f.groupBy((F.col("id") % 50).alias("d")).agg(F.collect_list(one).alias("info")).select(F.concat(F.lit("D"), text("d")).alias("name"), F.lit("paired").alias("type"), F.lit(100).alias("read_length"), "info")
-    return S.lane_info_lookup(definition, f.where("id % 3 <> 0").select(F.col("lb").alias("lane_barcode"))).select("lane_barcode", "name", "read_length", "reference_path", "sample", "library")
+    return S.lane_info_lookup(definition, f.select(F.col("lb").alias("lane_barcode"))).select("lane_barcode", "name", "read_length", "reference_path", "sample", "library")
 
 
 # run parameters, lane information, configuration

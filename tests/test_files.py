@@ -157,10 +157,19 @@ def test_listing_and_paths(spark, tmp_path):
     write(tmp_path / "root/EAS1/FC9/RTAComplete.txt", "x")
     row = tables.list_runs(spark, str(tmp_path / "root")).first()
     assert (row["instrument"], row["flowcell"], row["file"]) == ("EAS1", "FC9", "RTAComplete.txt")
-    paths = ["/a/080205_USI-EAS09_0002_PE1_FC13354AAXX-L2-staph_300/data_dir/x", "/a/09-26-07_10-13-02_1190819582-T_cuniculi_A/data_dir/", "/a/FC8963-L3-PB07/data_dir/", "/none/"]
-    got = [r[0] for r in spark.createDataFrame([(p,) for p in paths], "p string").select(N.parse_run_path("p")).collect()]
-    assert (got[0]["type"], got[0]["fc"], got[0]["sample"], got[0]["instrument"]) == ("PE1", "FC13354AAXX", "staph_300", "USI-EAS09")
-    assert (got[1]["type"], got[1]["sample"]) == ("Fragment", "T_cuniculi_A") and got[2]["sample"] == "PB07" and got[3] is None
+    names = {
+        "10-58-47_1192204727-CF071008_USI-EAS09_0002_FC8963-L6-Strep_pneumoniae": ("071008", "USI-EAS09", "Fragment", "FC8963", "Strep_pneumoniae"),
+        "09-26-07_10-13-02_1190819582-T_cuniculi_A": (None, None, "Fragment", None, "T_cuniculi_A"),
+        "080114_USI-EAS09_R2_PE_FC13018AAXX-L5-phix": ("080114", "USI-EAS09", "PE", "FC13018AAXX", "phix"),
+        "080205_USI-EAS09_0002_PE1_FC13354AAXX-L2-staph_300": ("080205", "USI-EAS09", "PE1", "FC13354AAXX", "staph_300"),
+        "FC8963-L3-PB07": (None, None, "Fragment", None, "PB07"), "PE2_FC8963-L3-a-L4-b": (None, None, "PE2", None, "a-L4-b"), "_PE_FC1-L3-x": (None, None, "PE", None, "x"),
+        "09-26-07_10-13-02_119_PE-a_b-c": (None, None, "PE", None, "a_b-c"), "none": None, "L5-sample": None, "FC8963-Lx-PB07": None, "09-26-07_10-13_119-a": None, "": None,
+    }
+    rows = spark.createDataFrame([(n, f"/a/{n}/data_dir/x") for n in names], "n string, p string").select("n", N.parse_run_path("p").alias("r")).collect()
+    for n, r in rows:
+        assert (r and (r["date_created"], r["instrument"], r["type"], r["fc"], r["sample"])) == names[n], n
+        assert r is None or r["run"] == n
+    assert spark.createDataFrame([("/a/FC8963-L3-PB07/other",), (None,)], "p string").select(N.parse_run_path("p")).distinct().collect()[0][0] is None
 
 
 def test_versions_and_names(spark):
