@@ -12,13 +12,14 @@ and returns what it reads back.
 A packed row is a fixed-length array of little-endian ids (16 bits if the vocabulary fits, else 32), the segments' cumulative
 lengths, a position array (16 bits if the row is no longer than that) that starts again at 0 with each segment, and for each segment its document and offset in it.
 
-Defined cases: null and empty texts are one end token. Repeated rows are packed each. Empty input gives no row. Columns
+Defined cases: null and empty texts are one end token. Runs of any length, of white space or of letters, are tokenised whole. Repeated rows are packed each. Empty input gives no row. Columns
 other than doc_id and text are not read.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,11 +38,33 @@ ROW = 2048
 GROUP_TOKENS = 2_000_000
 
 
+#: White space of the pattern, and the length from which a run of it is cut out before: the pattern's engine fails on very long ones.
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 10_000
+_RUN = re.compile(f"[{SPACES}]{{{LONG_RUN},}}")
+
+
 def load_ranks(path: str = RANKS) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+def token_ids(coder, text: str) -> np.ndarray:
+    """The ids of the whole text.
+
+    A run of white space is one pre-token up to its last character, which goes with what follows, or up to the end of the text.
+    So a long run is merged by itself, and the pattern sees only what is between such runs.
+    """
+    parts, at = [], 0
+    for run in _RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        parts.append(coder.encode_to_numpy(text[at : run.start()], disallowed_special=()))
+        parts.append(np.array(coder._encode_single_piece(text[run.start() : end].encode()), np.uint32))
+        at = end
+    parts.append(coder.encode_to_numpy(text[at:], disallowed_special=()))
+    return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+
 class Capacities:
     """Open rows by free capacity; best(need) is the least capacity of any row that holds `need`."""
 
@@ -130,7 +153,7 @@ def token_matrix(docs: DataFrame, ranks: dict[bytes, int], row: int = ROW, group
         for batch in batches:
             id_kind = batch.schema.field(1).type
             for text, doc in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                ids = np.append(coder.encode_to_numpy(text.as_py() or "", disallowed_special=()), end).astype(kind)
+                ids = np.append(token_ids(coder, text.as_py() or ""), end).astype(kind)
                 for at in range(0, len(ids), row):
                     pieces.append((doc, at, ids[at : at + row]))
                 held += len(ids)

@@ -257,3 +257,29 @@ def test_training_uses_all_lines_of_the_sample(spark, monkeypatch):
     assert chars.tolist() == [len(x) for x in text.split("\n")] + [8]
     some = line_quality.labelled_lines(docs, labels, train_chains=5)
     assert len(some[0]) <= 5 * line_quality.TRAIN_LINES
+
+
+# very long runs
+
+
+def test_token_ids_of_long_runs_are_those_of_the_whole_text(monkeypatch):
+    import tiktoken
+
+    from helixframe.llm import token_matrix
+
+    coder = tiktoken.Encoding("ranks", pat_str=token_matrix.PATTERN, mergeable_ranks=token_matrix.load_ranks(), special_tokens={})
+    for blank in (" ", "\n", "\t", "\u00a0", "\u3000", " \n", "\r\n", "\x85 ", "\x1c"):
+        run = blank * 12_000
+        for text in (run, f"a{run}", f"{run}b", f"a{run}b", f"a {run}1", f"!{run}!{run}", f"{run}'s{run[:50]}x{run}"):
+            assert token_matrix.token_ids(coder, text).tolist() == coder.encode(text, disallowed_special=())
+    for text in (" " * 10_000_000, "x" + "\n" * 10_000_000 + "y", "a" * 1_000_000):
+        assert coder.decode(token_matrix.token_ids(coder, text).tolist()) == text
+
+
+def test_a_very_long_run_does_not_end_the_query(spark):
+    from helixframe.llm import token_matrix
+
+    docs = spark.createDataFrame([(1, "a" + " " * 2_000_000 + "b"), (2, "c")], "doc_id long, text string")
+    ranks = token_matrix.load_ranks()
+    rows = token_matrix.token_matrix(docs, ranks).collect()
+    assert {d for r in rows for d in r["doc_ids"]} == {1, 2}
