@@ -283,3 +283,40 @@ def test_a_very_long_run_does_not_end_the_query(spark):
     ranks = token_matrix.load_ranks()
     rows = token_matrix.token_matrix(docs, ranks).collect()
     assert {d for r in rows for d in r["doc_ids"]} == {1, 2}
+
+
+# pages
+
+
+def texts_of(spark, pages):
+    from helixframe.llm import html_text
+
+    rows = [(k, f"http://h.example/{k}", page) for k, page in enumerate(pages)]
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(got, key=lambda r: r["page_id"])]
+
+
+def test_tags_with_odd_quotes_end_where_they_should(spark):
+    pages = {
+        '<article><p title="x>hello</p><p>Second': "hello\nSecond", "<article><p class=it's>Hello": "Hello", "<article><p title='x>a</p><p id='y'>b": "a\nb",
+        '<article><p title="a > b">one</p><p data-x="<p>no</p>" >two</p>': "one\ntwo", '<article><p title = "x>y"/>three': "three", '<article><a href="x"title="y">four</a>': "four",
+        '<article><p title="cut': "", "<article><p a=\"b' c='d\">five</p>": "five",
+    }
+    assert texts_of(spark, list(pages)) == list(pages.values())
+
+
+def test_side_boxes_with_long_names_go(spark):
+    gone = ["adsbygoogle", "post-comments-list", "newsletter-signup-form", "top-nav-menu", "commentList", "site_footer_links", "ad-slot-top"]
+    kept = ["content-wrapper", "story", "lead-paragraph"]
+    pages = [f'<article><p>Before it</p><div class="{name}">inside the box</div><p>after</p></article>' for name in [*gone, *kept]]
+    assert texts_of(spark, pages) == ["Before it\nafter"] * len(gone) + ["Before it\ninside the box\nafter"] * len(kept)
+
+
+def test_repeats_on_the_host_decide_about_names_that_leave_it_open(spark):
+    promo = "buy our very special offer of the week now"
+    page = lambda k, inside: f'<nav>home news about</nav><article><p>story {k} begins</p><div class="acme-promo-x">{inside}</div><p>story {k} ends</p></article>'
+    own = [" ".join(f"word{k}{w}" for w in range(9)) for k in range(3)]
+    got = texts_of(spark, [page(0, promo), page(1, promo), page(2, promo + " or call " + own[2]), page(3, own[0]), page(4, own[1]), page(4, own[1])])
+    assert got[:2] == ["story 0 begins\nstory 0 ends", "story 1 begins\nstory 1 ends"]
+    assert got[2] == f"story 2 begins\nor call {own[2]}\nstory 2 ends"
+    assert got[3] == f"story 3 begins\n{own[0]}\nstory 3 ends" and got[4] == got[5] == f"story 4 begins\n{own[1]}\nstory 4 ends"
