@@ -7,7 +7,7 @@ and the line separator is the blank-line pair that closes a record, so that the
 to the shared folder and read back record by record, by content length; revisit records are then joined to their responses to
 have the full payload's length again.
 
-An archive has about ARCHIVE_BYTES of payload: the number of its records goes by the mean length, and records so long that
+An archive begins with a warcinfo record; all records carry the date of the writing. It has about ARCHIVE_BYTES of payload: the number of its records goes by the mean length, and records so long that
 they could make it SLACK times as large go to archives of their own with fewer records. Spark's writer compresses a file as a
 whole, so an archive is one gzip member and not one for each record, and is read from its start.
 
@@ -20,6 +20,7 @@ page_id, url and html are not read.
 
 from __future__ import annotations
 
+import datetime as dt
 import gzip
 import io
 from collections.abc import Iterator
@@ -34,9 +35,8 @@ from .common import new_folder, stored, table
 
 END = "\r\n\r\n"
 #: Payload bytes of an archive: what it should have, and how many times as much it may have.
-ARCHIVE_BYTES = 64 << 20
-SLACK = 16
-DATE = "1970-01-01T00:00:00Z"
+ARCHIVE_BYTES = 32 << 20
+SLACK = 4
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -55,11 +55,12 @@ def headers(pages: DataFrame) -> DataFrame:
 def revisits(heads: DataFrame, least_bytes: int = 0) -> DataFrame:
     """(page, of_digest, refers_to) for each (page_id, digest, bytes) that is to revisit a smaller page of equal payload."""
     slim = heads.select("page_id", "digest", "bytes").where(F.col("bytes") >= least_bytes)
-    first = slim.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & F.col("refers_to").isNotNull())
+    # a table, so that the join deals out both sides for itself and Spark can split a payload that very many pages have
+    first = stored(slim.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & F.col("refers_to").isNotNull()).select("digest", "refers_to"))
     return slim.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select(F.col("page_id").alias("page"), F.col("digest").alias("of_digest"), "refers_to").distinct()
 
 
-def record(page_id: Column, url: Column, payload: Column, digest: Column, refers_to: Column) -> Column:
+def record(page_id: Column, url: Column, payload: Column, digest: Column, refers_to: Column, date: str) -> Column:
     """One WARC record without its closing blank lines."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     name = lambda id_: F.concat(F.lit("<urn:page:"), F.coalesce(F.url_encode(id_.cast("string")), F.lit("")), F.lit(">"))
@@ -68,14 +69,25 @@ def record(page_id: Column, url: Column, payload: Column, digest: Column, refers
     block = F.when(is_revisit, F.lit("")).otherwise(payload)
     return F.concat(
         F.lit("WARC/1.1\r\n"), line("WARC-Type", F.when(is_revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        line("WARC-Record-ID", name(page_id)), line("WARC-Date", F.lit(DATE)), line("WARC-Target-URI", uri), line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), digest)),
+        line("WARC-Record-ID", name(page_id)), line("WARC-Date", F.lit(date)), line("WARC-Target-URI", uri), line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), digest)),
         F.when(is_revisit, F.concat(line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("WARC-Refers-To", name(refers_to)))).otherwise(F.lit("")),
         line("Content-Type", F.lit("text/html")), line("Content-Length", F.octet_length(block).cast("string")), F.lit("\r\n"), block,
     )
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Writes `pages` as gzipped archives in which each payload stands once."""
+def _with_info(records: DataFrame, most: int, date: str) -> DataFrame:
+    """`records` (value) of each task with a warcinfo record before every `most` - 1 of them: files of `most` rows begin with one."""
+    at = F.monotonically_increasing_id()
+    placed = records.withColumns({"task": F.shiftright(at, 33), "k": at.bitwiseAND(F.lit((1 << 33) - 1))})
+    block = "software: helixframe\r\nformat: WARC File Format 1.1\r\n"
+    number = F.concat_ws("-", F.col("task").cast("string"), F.floor(F.col("k") / (most - 1)).cast("string"))
+    info = F.concat(F.lit("WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:archive:"), number, F.lit(f">\r\nWARC-Date: {date}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(block)}\r\n\r\n{block}"))
+    return placed.select(F.explode(F.when(F.col("k") % (most - 1) == 0, F.array(info, "value")).otherwise(F.array("value"))).alias("value"))
+
+
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, date: str | None = None) -> None:
+    """Writes `pages` as gzipped archives in which each payload stands once. `date` (UTC, as in WARC-Date) is that of all records; now, if not given."""
+    date = date or dt.datetime.now(dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     heads = headers(pages)
     slim = stored(heads.select("page_id", "digest", "bytes"))
     size = slim.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("most")).first()
@@ -87,8 +99,8 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
     if (size["most"] or 0) > long:
         parts.append((F.col("bytes") > long, max(1, SLACK * archive_bytes // size["most"])))
     for of, most in parts:
-        rows = both.where(of).select(record(F.col("page_id"), F.col("url"), F.col("payload"), F.col("digest"), F.col("refers_to")).alias("value"))
-        rows.write.mode("append").option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
+        rows = both.where(of).select(record(F.col("page_id"), F.col("url"), F.col("payload"), F.col("digest"), F.col("refers_to"), date).alias("value"))
+        _with_info(rows, most + 1, date).write.mode("append").option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", most + 1).text(path)
 
 
 def parse_archive(stream: BinaryIO) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
@@ -116,6 +128,8 @@ def read_archives(spark: SparkSession, path: str, id_type: str = "long") -> Data
                 zipped = data.getbuffer()[:2] == b"\x1f\x8b"
                 rows, size = [], 0
                 for f, block in parse_archive(io.BufferedReader(gzip.GzipFile(fileobj=data)) if zipped else data):
+                    if f[b"warc-type"] == b"warcinfo":
+                        continue
                     rows.append((text(f[b"warc-record-id"]), f.get(b"warc-target-uri", b"").decode(), f[b"warc-type"].decode(), text(f.get(b"warc-refers-to")), f[b"warc-payload-digest"].decode().partition(":")[2], block))
                     size += len(block)
                     if size > 8_000_000 or len(rows) >= 5_000:
@@ -138,7 +152,7 @@ def resolve(records: DataFrame) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to): revisits joined to their responses."""
     slim = records.select("page_id", "url", "record_type", "refers_to", "digest", F.octet_length("block").cast("long").alias("bytes"))
     own = slim.where(F.col("record_type") == "response")
-    full = own.where(F.col("page_id").isNotNull()).groupBy(F.col("page_id").alias("of"), F.col("digest").alias("of_digest")).agg(F.max("bytes").alias("of_bytes"))
+    full = stored(own.where(F.col("page_id").isNotNull()).groupBy(F.col("page_id").alias("of"), F.col("digest").alias("of_digest")).agg(F.max("bytes").alias("of_bytes")))
     again = slim.where(F.col("record_type") == "revisit").join(full, (F.col("refers_to") == F.col("of")) & (F.col("digest") == F.col("of_digest")), "left")
     shape = lambda df, n: df.select("page_id", "url", n.alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
     return shape(own, F.col("bytes")).unionByName(shape(again, F.col("of_bytes")))

@@ -320,3 +320,21 @@ def test_repeats_on_the_host_decide_about_names_that_leave_it_open(spark):
     assert got[:2] == ["story 0 begins\nstory 0 ends", "story 1 begins\nstory 1 ends"]
     assert got[2] == f"story 2 begins\nor call {own[2]}\nstory 2 ends"
     assert got[3] == f"story 3 begins\n{own[0]}\nstory 3 ends" and got[4] == got[5] == f"story 4 begins\n{own[1]}\nstory 4 ends"
+
+
+def test_archives_begin_with_a_warcinfo_record(spark, tmp_path):
+    import glob
+    import gzip
+
+    from helixframe.llm import warc
+
+    pages = spark.createDataFrame([(k, f"http://h/{k}", f"<p>{k % 40}</p>" * 20) for k in range(100)], "page_id long, url string, html string").repartition(3)
+    warc.write_archives(pages, str(tmp_path / "w"), archive_bytes=2000, date="2024-05-06T07:08:09Z")
+    files = glob.glob(str(tmp_path / "w" / "*.gz"))
+    found = [list(warc.parse_archive(gzip.open(f))) for f in files]
+    assert len(files) > 5 and sum(len(f) - 1 for f in found) == 100
+    for records in found:
+        kinds = [fields[b"warc-type"] for fields, _ in records]
+        assert kinds[0] == b"warcinfo" and b"warcinfo" not in kinds[1:] and b"format: WARC" in records[0][1]
+        assert {fields[b"warc-date"] for fields, _ in records} == {b"2024-05-06T07:08:09Z"}
+    assert len({fields[b"warc-record-id"] for records in found for fields, _ in records}) == 100 + len(files)
