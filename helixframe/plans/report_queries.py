@@ -214,13 +214,13 @@ def lane_summary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xml.read_lane_summary(spark, files_of(spark, page.select(F.col("flowcell").alias("name"), F.lit(0).alias("at"), whole.alias("value")), "summary")).select("run", "read_no", "lane", "yield_kb", "clusters_raw", "error_pf", "phasing", "prephasing")
 
 
-@query("html_summary_file", ctes(s=LANE_SUMMARY) + f"SELECT flowcell AS name, read_no, CAST(lane AS VARCHAR) AS lane, CAST(y AS VARCHAR) AS yield, '3' AS sd, CASE WHEN read_no = 1 THEN '0.3' END AS phasing FROM {SUMS} WHERE lane = 1 + read_no")
+@query("html_summary_file", ctes(s=LANE_SUMMARY) + f"SELECT concat(flowcell, '-', CAST(lane AS VARCHAR)) AS name, read_no, CAST(lane AS VARCHAR) AS lane, CAST(y AS VARCHAR) AS yield, '3' AS sd, CASE WHEN read_no = 1 THEN '0.3' END AS phasing FROM {SUMS}")
 def html_summary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = lambda *rows: F.concat(F.lit("<table>"), *[F.concat(F.lit("<tr>\n"), *[F.concat(F.lit("<td>"), c if isinstance(c, Column) else F.lit(c), F.lit(" </td>\n")) for c in r], F.lit("</tr>\n")) for r in rows], F.lit("</table>"))
-    one = lanes(spark, sf_dir).where(F.col("lane") == 1 + F.col("read_no"))
+    one = lanes(spark, sf_dir)
     main = F.concat(F.lit("<h2>Lane Results Summary"), F.when(F.col("read_no") == 2, " : Read 2").otherwise(""), F.lit("</h2>"), table(["Lane", "Yield"], [text("lane"), F.concat(text("yield_kb"), F.lit(" +/- 3"))]))
     rest = F.when(F.col("read_no") == 1, F.concat(F.lit("<h2>Expanded Lane Summary</h2>"), table(["Lane", "% Phasing"], [text("lane"), "0.3"]))).otherwise("")
-    got = xml.read_html_summary(spark, files_of(spark, one.select(F.col("flowcell").alias("name"), F.col("read_no").alias("at"), F.concat(main, rest).alias("value")), "html"))
+    got = xml.read_html_summary(spark, files_of(spark, one.select(F.concat_ws("-", "flowcell", text("lane")).alias("name"), F.col("read_no").alias("at"), F.concat(main, rest).alias("value")), "html"))
     mean, _, sd = N.split_mean_sd(F.lit("Yield"), F.col("values")["Yield"])
     return got.select(name_of(), "read_no", F.col("values")["Lane"].alias("lane"), mean.alias("yield"), sd.alias("sd"), F.col("values")["% Phasing"].alias("phasing"))
 
@@ -302,6 +302,16 @@ def metrics_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.metrics_xml(metric_tree(spark, sf_dir).withColumn("key", F.regexp_replace("key", "<&>", "")))
 
 
+@query("metrics_xml_depths", TREE + """, l AS (SELECT k, n, m, b, right(k, 1) AS o FROM t)
+SELECT concat('<AnalysisMetrics>', string_agg(concat('<', k, ' Total="', n, '"><Mapped Reads="', m, '"><Bases><All All="', b, '"/></Bases></Mapped></', k, '>'), '' ORDER BY o), '</AnalysisMetrics>') AS xml FROM l""")
+def metrics_xml_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four levels, one of which has no row of its own."""
+    tree = metric_tree(spark, sf_dir).withColumn("key", F.regexp_replace("key", "<&>", ""))
+    top, key = F.col("path")[0], F.col("key")
+    path = F.when(key == "Mapped", F.array(top, F.lit("Mapped"))).when(key == "All", F.array(top, F.lit("Mapped"), F.lit("Bases"), F.lit("All"))).otherwise(F.col("path"))
+    return reports.metrics_xml(tree.select(path.alias("path"), "at", F.when(key == "Mapped", "Reads").otherwise(key).alias("key"), "value"))
+
+
 @query("quality_csv_file", WITH + """, b AS (SELECT CASE WHEN paired AND read_no = 2 THEN 2 ELSE 1 END AS series, CAST(unnest(range(1, length(qual) + 1)) AS INT) AS position, CASE WHEN neg THEN reverse(qual) ELSE qual END AS q FROM reads),
 q AS (SELECT position, floor(1000 * avg(ascii(substr(q, position, 1)) - 33) FILTER (WHERE series = 1)) / 1000 AS m1, floor(1000 * avg(ascii(substr(q, position, 1)) - 33) FILTER (WHERE series = 2)) / 1000 AS m2 FROM b GROUP BY position)
 SELECT concat(CAST(position AS VARCHAR), ',', CAST(m1 AS VARCHAR), ',', CAST(m2 AS VARCHAR), ',') AS value FROM q""")

@@ -55,17 +55,36 @@ def metrics_text(metrics: DataFrame) -> DataFrame:
     return parts.select("at", block.alias("block")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "block"))), lambda e: e["block"]), "").alias("text"))
 
 
+def _xml_name(name: Column) -> Column:
+    """The name itself; an error if it is none of XML's plain names."""
+    return F.when(name.rlike("^[A-Za-z_][A-Za-z0-9_.-]*$"), name).otherwise(F.raise_error(F.concat(F.lit("not an XML name: "), F.coalesce(name, F.lit("null")))).cast("string"))
+
+
 def metrics_xml(metrics: DataFrame, root: str = "AnalysisMetrics") -> DataFrame:
-    """One row `xml` of flat metrics with paths of one or two names: a metric is an element, its pairs are attributes, children are nested."""
-    escaped = F.replace(F.replace(F.replace(F.replace(F.coalesce("value", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
-    attribute = F.when(F.col("key").isNotNull(), F.concat(F.lit(" "), "key", F.lit('="'), escaped, F.lit('"')))
-    per = metrics.withColumn("attribute", attribute).groupBy("path").agg(F.min("at").alias("at"), F.sort_array(F.collect_list(F.struct("at", "attribute"))).alias("kv"))
-    joined = lambda c, f: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", c))), lambda e: e[c]), f)
-    opened = F.concat(F.lit("<"), F.element_at("path", -1), F.array_join(F.transform("kv", lambda e: e["attribute"]), ""))
-    tops = per.where(F.size("path") == 1).select(F.col("path")[0].alias("top"), "at", opened.alias("open"))
-    kids = per.where(F.size("path") == 2).select(F.col("path")[0].alias("top"), "at", F.concat(opened, F.lit("/>")).alias("kid")).groupBy("top").agg(joined("kid", "").alias("kids"))
-    whole = tops.join(kids, "top", "left").select("at", F.when(F.col("kids").isNull(), F.concat("open", F.lit("/>"))).otherwise(F.concat("open", F.lit(">"), "kids", F.lit("</"), "top", F.lit(">"))).alias("element"))
-    return whole.agg(F.concat(F.lit(f"<{root}>"), joined("element", ""), F.lit(f"</{root}>")).alias("xml"))
+    """One row `xml` of flat metrics (path, at, key, value): a metric is an element, its pairs are attributes, children are nested to any depth.
+
+    Elements are put together level by level from the deepest. A path whose parents have no rows of their own has them as elements
+    without attributes. Siblings stand in the order of `at`. Names that XML does not allow are an error; values are escaped.
+    """
+    escaped = F.coalesce("value", F.lit(""))
+    for letter, name in (("&", "amp"), ("<", "lt"), (">", "gt"), ('"', "quot"), ("\n", "#10"), ("\r", "#13"), ("\t", "#9")):
+        escaped = F.replace(escaped, F.lit(letter), F.lit(f"&{name};"))
+    attribute = F.when(F.col("key").isNotNull(), F.concat(F.lit(" "), _xml_name(F.col("key")), F.lit('="'), escaped, F.lit('"')))
+    joined = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", c))), lambda e: e[c]), "")
+    own = metrics.withColumn("attribute", attribute).groupBy("path").agg(F.min("at").alias("own_at"), joined("attribute").alias("attributes"))
+    above = metrics.select("at", F.explode(F.transform(F.sequence(F.lit(1), F.size("path")), lambda n: F.slice("path", 1, n))).alias("path"))
+    nodes = above.groupBy("path").agg(F.min("at").alias("some_at")).join(own, "path", "left")
+    nodes = nodes.select("path", F.coalesce("own_at", "some_at").alias("at"), F.coalesce("attributes", F.lit("")).alias("attributes"), F.size("path").alias("depth"))
+    kids = None
+    for depth in range(nodes.agg(F.max("depth")).first()[0] or 0, 0, -1):  # as many steps as the deepest path has names
+        level = nodes.where(F.col("depth") == depth)
+        level = level.withColumn("kids", F.lit(None).cast("string")) if kids is None else level.join(kids, F.col("path") == F.col("parent"), "left")
+        name = _xml_name(F.element_at("path", -1))
+        inner = F.when(F.col("kids").isNull(), F.lit("/>")).otherwise(F.concat(F.lit(">"), "kids", F.lit("</"), name, F.lit(">")))
+        elements = level.select(F.slice("path", 1, depth - 1).alias("parent"), "at", F.concat(F.lit("<"), name, "attributes", inner).alias("element"))
+        kids = elements.groupBy("parent").agg(joined("element").alias("kids"))
+    whole = F.coalesce(F.max("kids"), F.lit("")) if kids is not None else F.lit("")
+    return (metrics if kids is None else kids).agg(F.concat(F.lit(f"<{root}>"), whole, F.lit(f"</{root}>")).alias("xml"))
 
 
 def write_histogram_csv(histogram: DataFrame, path: str) -> None:
