@@ -37,6 +37,17 @@ SELECT concat('r', CAST(k AS STRING)) AS qname, CAST(n AS INT) AS read_no, paire
   seq, qual
 FROM c
 """
+#: Columns that the odd reads keep from READS.
+_KEPT = "unmapped, mate_unmapped, neg, mate_neg, dup, rname, mapq, cigar, rnext, pnext, tlen, seq, qual"
+#: Reads without a name, of neither number, repeated at another place or as they stand, secondary and supplementary ones.
+ODD_READS = f"""
+WITH reads AS ({READS}), o AS (SELECT *, CAST(substr(qname, 2) AS BIGINT) AS k FROM reads)
+SELECT CASE WHEN k % 9 = 0 THEN '*' WHEN k % 31 = 0 THEN NULL ELSE qname END AS qname, CASE WHEN paired AND k % 41 = 0 THEN 0 ELSE read_no END AS read_no, paired, not_primary, false AS supplementary, pos, {_KEPT} FROM o
+UNION ALL SELECT qname, read_no, paired, false AS not_primary, false AS supplementary, pos + 5000 AS pos, {_KEPT} FROM o WHERE k % 5 = 1 AND NOT unmapped
+UNION ALL SELECT qname, read_no, paired, true AS not_primary, false AS supplementary, pos + 77 AS pos, {_KEPT} FROM o WHERE k % 6 = 2
+UNION ALL SELECT qname, read_no, paired, false AS not_primary, true AS supplementary, pos + 99 AS pos, {_KEPT} FROM o WHERE k % 6 = 3
+UNION ALL SELECT qname, read_no, paired, false AS not_primary, false AS supplementary, pos, {_KEPT} FROM o WHERE k % 7 = 3
+"""
 RUN_FILES = """
 SELECT concat('EAS', CAST(user_id % 4 AS STRING)) AS instrument, concat('FC', CAST(user_id AS STRING)) AS flowcell,
   CASE event_type WHEN 'signup' THEN 'RTAComplete.txt' WHEN 'purchase' THEN 'Basecalling_Netcopy_complete.txt' WHEN 'error' THEN '.rsync_finished' ELSE 'other' END AS file, ts AS mtime
@@ -82,7 +93,7 @@ SELECT o_orderkey AS id, concat(CAST(110000 + o_custkey % 1231 AS STRING), CASE
 """
 
 #: The base table of each fixture.
-BASE = {READS: "orders", RUN_FILES: "events", RUN_MARKERS: "events", TARGETS: "part", LANE_SUMMARY: "lineitem", SAMPLE_SHEET: "part", BARCODES: "part", LANE_BARCODES: "part", FLOWCELLS: "orders"}
+BASE = {READS: "orders", ODD_READS: "orders", RUN_FILES: "events", RUN_MARKERS: "events", TARGETS: "part", LANE_SUMMARY: "lineitem", SAMPLE_SHEET: "part", BARCODES: "part", LANE_BARCODES: "part", FLOWCELLS: "orders"}
 
 
 def load(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:

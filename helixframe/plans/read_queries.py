@@ -9,7 +9,7 @@ from ..functions import reads as R
 from ..operators import metrics as M
 from ..operators import reads as O
 from ..operators import suite
-from .fixtures import READS, TARGETS, ctes, load
+from .fixtures import ODD_READS, READS, TARGETS, ctes, load
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -247,6 +247,27 @@ def fix_mate_information(spark, sf_dir):
     return O.fix_mate_information(reads(spark, sf_dir)).select("qname", "read_no", "rnext", "pnext", "mate_neg", "mate_unmapped", "tlen")
 
 
+@query("fix_mate_information_odd", ctes(reads=ODD_READS) + f""", e AS (SELECT *, {END} AS e, coalesce(paired AND qname <> '*' AND read_no IN (1, 2), false) AS named, NOT not_primary AND NOT supplementary AS prim FROM reads),
+n AS (SELECT *, CASE WHEN named AND prim THEN row_number() OVER (PARTITION BY qname, read_no, named, prim ORDER BY rname, pos, neg, cigar, mapq, unmapped, seq, qual) ELSE 1 END AS nth FROM e),
+b AS (SELECT * FROM n WHERE named AND prim)
+SELECT a.qname, a.read_no, a.rname, CAST(a.pos AS BIGINT) AS pos, a.not_primary, a.supplementary, CASE WHEN b.qname IS NULL THEN a.rnext ELSE b.rname END AS rnext, CASE WHEN b.qname IS NULL THEN a.pnext ELSE b.pos END AS pnext,
+  CASE WHEN b.qname IS NULL THEN a.mate_neg ELSE b.neg END AS mate_neg, CASE WHEN b.qname IS NULL THEN a.mate_unmapped ELSE b.unmapped END AS mate_unmapped,
+  CASE WHEN b.qname IS NULL THEN a.tlen WHEN a.unmapped OR b.unmapped OR a.rname <> b.rname THEN 0
+       WHEN a.pos < b.pos OR (a.pos = b.pos AND a.read_no = 1) THEN greatest(a.e, b.e) - least(a.pos, b.pos) + 1 ELSE -(greatest(a.e, b.e) - least(a.pos, b.pos) + 1) END AS tlen
+FROM n a LEFT JOIN b ON a.named AND a.qname = b.qname AND a.read_no = 3 - b.read_no AND a.nth = b.nth""")
+def fix_mate_information_odd(spark, sf_dir):
+    return O.fix_mate_information(load(spark, sf_dir, ODD_READS)).select("qname", "read_no", "rname", F.col("pos").cast("long").alias("pos"), "not_primary", "supplementary", "rnext", "pnext", "mate_neg", "mate_unmapped", "tlen")
+
+
+@query("mark_duplicates_odd", ctes(reads=ODD_READS) + f""", e AS (SELECT qname, {{'rname': rname, 'five': CASE WHEN neg THEN {END} + {TAIL} ELSE pos - {LEAD} END, 'neg': neg}} AS at_,
+  CAST(list_sum(list_transform(string_split(qual, ''), lambda c: CASE WHEN ascii(c) - 33 >= 15 THEN ascii(c) - 33 ELSE 0 END)) AS BIGINT) AS score FROM reads WHERE NOT unmapped AND NOT not_primary AND NOT supplementary AND qname <> '*'),
+q AS (SELECT qname, min(at_) AS low, max(at_) AS high, count(*) AS n, sum(score) AS score FROM e GROUP BY qname),
+d AS (SELECT qname, row_number() OVER (PARTITION BY low, high, n ORDER BY score DESC, qname) > 1 AS again FROM q)
+SELECT r.qname, r.read_no, r.rname, CAST(r.pos AS BIGINT) AS pos, not_primary, supplementary, coalesce(NOT unmapped AND NOT not_primary AND NOT supplementary AND again, false) AS dup FROM reads r LEFT JOIN d ON r.qname = d.qname""")
+def mark_duplicates_odd(spark, sf_dir):
+    return O.mark_duplicates(load(spark, sf_dir, ODD_READS)).select("qname", "read_no", "rname", F.col("pos").cast("long").alias("pos"), "not_primary", "supplementary", "dup")
+
+
 CAPTURE = ctes(reads=READS, raw_targets=TARGETS) + f""", targets AS (SELECT DISTINCT * FROM raw_targets), al AS (SELECT qname, read_no, rname AS chr, pos AS s, {END} AS e FROM reads WHERE NOT unmapped),
 o AS (SELECT qname, read_no, s AS r_start, e AS r_end, t.chr AS chr, start_pos, end_pos, s <= end_pos AND e >= start_pos AS on_target FROM al JOIN targets t ON al.chr = t.chr AND s <= end_pos + 100 AND e >= start_pos - 100)
 """
