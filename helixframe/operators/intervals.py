@@ -13,20 +13,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Width of the finest bins, and how much wider those of the next level are; LEVELS of them reach 4 ** 15 positions and more.
+#: Width of the finest bins, if none is given, and how much wider those of the next level are.
 FINEST, WIDER, LEVELS = 64, 4, 14
 
 
-def level(start: Column, end: Column) -> Column:
+def level(start: Column, end: Column, finest: int = FINEST) -> Column:
     """The first level whose bins are at least as wide as the interval, the last one for longer ones; null if it is none."""
     out = F.when(end >= start, F.lit(LEVELS - 1))
     for k in range(LEVELS - 2, -1, -1):
-        out = F.when((end - start).between(0, FINEST * WIDER**k - 1), F.lit(k)).otherwise(out)
+        out = F.when((end - start).between(0, finest * WIDER**k - 1), F.lit(k)).otherwise(out)
     return out
 
 
-def _width(at: Column) -> Column:
-    return F.get(F.array(*[F.lit(FINEST * WIDER**k).cast("long") for k in range(LEVELS)]), at)
+def _width(at: Column, finest: int) -> Column:
+    return F.get(F.array(*[F.lit(finest * WIDER**k).cast("long") for k in range(LEVELS)]), at)
 
 
 def _used(side: DataFrame) -> list[int]:
@@ -34,30 +34,30 @@ def _used(side: DataFrame) -> list[int]:
     return sorted(r[0] for r in side.select("_level").where(F.col("_level").isNotNull()).distinct().collect())
 
 
-def _dealt(side: DataFrame, start: str, end: str, kinds: list[tuple[int, Column, Column]]) -> DataFrame:
+def _dealt(side: DataFrame, start: str, end: str, kinds: list[tuple[int, Column, Column]], finest: int = FINEST) -> DataFrame:
     """A row for each bin that the interval touches on each level it is dealt to: _kind, _on (the level), _bin, and _first, the first such bin.
 
     kinds: (kind, level, whether to deal it there).
     """
-    bin_of = lambda c, at: F.floor(F.col(c) / _width(at))
+    bin_of = lambda c, at: F.floor(F.col(c) / _width(at, finest))
     places = [F.when(there, F.struct(F.lit(kind).alias("kind"), at.alias("on"), bin_of(start, at).alias("first"), bin_of(end, at).alias("last"))) for kind, at, there in kinds]
     on = side.withColumn("_p", F.explode(F.array_compact(F.array(*places))))
     on = on.withColumn("_bin", F.explode(F.sequence("_p.first", "_p.last")))
     return on.withColumns({"_kind": F.col("_p.kind"), "_on": F.col("_p.on"), "_first": F.col("_p.first")}).drop("_p", "_level")
 
 
-def interval_join(left: DataFrame, right: DataFrame, contig: str, of_left: tuple[str, str], of_right: tuple[str, str]) -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, contig: str, of_left: tuple[str, str], of_right: tuple[str, str], finest: int = FINEST) -> DataFrame:
     """Every pair of rows with equal `contig` whose closed intervals (start, end) overlap, once; columns of both sides.
 
     Column names must differ but for `contig`. Rows with a null in it or an end, and intervals that end before they start, overlap nothing.
     """
-    left, right = (df.withColumn("_level", level(F.col(a), F.col(b))) for df, (a, b) in ((left, of_left), (right, of_right)))
+    left, right = (df.withColumn("_level", level(F.col(a), F.col(b), finest)) for df, (a, b) in ((left, of_left), (right, of_right)))
     in_left, in_right = _used(left), _used(right)
     own = F.col("_level")
     # kind 0 meets where the right interval's level is the coarser one or the same, kind 1 where the left one's is
     finer = F.lit(in_right[0] if in_right else LEVELS) < own
-    one = _dealt(left, *of_left, [*((0, F.lit(k), own <= k) for k in in_right), (1, own, finer)])
-    two = _dealt(right, *of_right, [(0, own, own.isNotNull()), *((1, F.lit(k), own < k) for k in in_left)]).withColumnRenamed("_first", "_first_r")
+    one = _dealt(left, *of_left, [*((0, F.lit(k), own <= k) for k in in_right), (1, own, finer)], finest)
+    two = _dealt(right, *of_right, [(0, own, own.isNotNull()), *((1, F.lit(k), own < k) for k in in_left)], finest).withColumnRenamed("_first", "_first_r")
     both = one.join(two, [contig, "_kind", "_on", "_bin"])
     overlap = (F.col(of_left[0]) <= F.col(of_right[1])) & (F.col(of_left[1]) >= F.col(of_right[0])) & (F.col("_bin") == F.greatest("_first", "_first_r"))
     return both.where(overlap).drop("_kind", "_on", "_bin", "_first", "_first_r")

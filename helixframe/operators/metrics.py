@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import reads as R
-from .intervals import interval_join
+from .intervals import FINEST, interval_join
 
 count_if = lambda c: F.coalesce(F.count_if(c), F.lit(0))
 
@@ -152,11 +152,11 @@ def n_grid(total: DataFrame, bases: DataFrame, starts: DataFrame) -> DataFrame:
     return grid.join(bases, ["read_no", "start"], "left").select("read_no", F.col("start").alias("position"), F.coalesce("n", F.lit(0)).alias("n_count"), share(F.coalesce("n", F.lit(0)), F.col("total")).alias("pct_n"))
 
 
-def capture_overlap(reads: DataFrame, targets: DataFrame, buffer: int = 100) -> DataFrame:
-    """(qname, read_no, r_start, r_end, chr, start_pos, end_pos, on_target): each mapped read with each target it or whose buffer it overlaps."""
+def capture_overlap(reads: DataFrame, targets: DataFrame, buffer: int = 100, bin_size: int = FINEST) -> DataFrame:
+    """(qname, read_no, r_start, r_end, chr, start_pos, end_pos, on_target): each mapped read with each target it or whose buffer it overlaps. `bin_size` is that of the finest bins."""
     ends = reads.where(~F.col("unmapped")).select("qname", "read_no", F.col("rname").alias("chr"), F.col("pos").alias("r_start"), R.alignment_end().alias("r_end"))
     wide = targets.distinct().select("chr", "start_pos", "end_pos", (F.col("start_pos") - buffer).alias("low"), (F.col("end_pos") + buffer).alias("high"))
-    both = interval_join(ends, wide, "chr", ("r_start", "r_end"), ("low", "high"))
+    both = interval_join(ends, wide, "chr", ("r_start", "r_end"), ("low", "high"), bin_size)
     on = (F.col("r_start") <= F.col("end_pos")) & (F.col("r_end") >= F.col("start_pos"))
     return both.select("qname", "read_no", "r_start", "r_end", "chr", "start_pos", "end_pos", on.alias("on_target"))
 

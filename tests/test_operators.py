@@ -234,7 +234,7 @@ def test_the_suite_scans_its_reads_once(spark, sf):
     reads = Q.reads(spark, sf)
     got = suite.metric_suite(reads.withColumn("rname", F.coalesce("rname", seen("qname"))).withColumn("seq", F.when(F.length(seen("qname")) >= 0, F.col("seq"))))
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "InMemory" not in plan and len({r["calculator"] for r in got.collect()}) == 6
+    assert "InMemoryRelation" not in plan and "InMemoryTableScan" not in plan and len({r["calculator"] for r in got.collect()}) == 6
     assert 0 < scans.value <= 2 * reads.count()  # twice a row at most: once for each use of the function
 
 
