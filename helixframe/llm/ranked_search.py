@@ -294,7 +294,8 @@ def _search_block(docs: DataFrame, block: DataFrame, best: int, seeds: int) -> D
     shared = sc.broadcast((queries, _weights(forward, n, len(queries.vocabulary))))
     numbers = len(queries.ids)
     wanted = _promising(index, shared, seeds).groupBy("part").agg(F.collect_list("q").alias("qs"))  # a query at most once a part
-    tried = stored(_visit(index.join(wanted, "part"), shared, np.zeros(numbers, np.int64), best, True))
+    # `seeds` rows a query of the block at most, so that the index is not shuffled for them
+    tried = stored(_visit(index.join(F.broadcast(wanted), "part"), shared, np.zeros(numbers, np.int64), best, True))
     least = np.zeros(numbers, np.int64)
     for q, score in _first(tried, best, "q").where(F.col("rank") == best).select("q", "score").collect():  # a row for each query of the block
         least[q] = score
