@@ -12,7 +12,7 @@ less than 1 in 10 ** 9. Buckets that are one component by now need nothing. In t
 one first. Buckets that are not one component after that have all their pairs of different components compared. Sets and
 pairs that cannot be similar enough are left out of both: by their sizes, or because too many of the shingles of either stand
 in no other set that is still in question. So a group of near copies costs a row a member and bucket, sets with much text of their own cost no
-pairs, and no pair that could join anything is left out.
+pairs, and of the pairs that share a bucket none that could join anything is left out.
 
 Defined cases: a text of fewer than five words is one shingle; null and blank texts have the empty set and are copies of
 each other. Of each component one row stays: the smallest doc_id, then the smallest hash of the row's columns. Rows of one
