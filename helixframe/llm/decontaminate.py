@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_row, checkpoint, from_row, table, words_between
+from .common import as_row, checkpoint, from_row, stored, table, words_between
 
 #: Words are runs of anything else, A-Z lower-cased.
 GAPS = "".join(c for c in map(chr, range(128)) if not c.isalnum())
@@ -129,7 +129,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, broad
     """doc_id, n_words, n_hit, n_items, item_ids (sorted as strings), contaminated; a row for each row of docs."""
     found, numbered = hits(docs.select("doc_id", "text"), items.select("item_id", "text"), window, broadcast_bytes)
     found = checkpoint(found)
-    named = found.join(_item_ids(found, numbered), "sets").select("id", "text_hash", "spans", F.col("item_ids").alias("ids"))
+    # a table, which is broadcast where it is small; beyond that Spark can split a combination that very many documents have
+    named = found.join(stored(_item_ids(found, numbered)), "sets").select("id", "text_hash", "spans", F.col("item_ids").alias("ids"))
     every = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), F.size(item_words(F.col("text"))).cast("long").alias("n_words"))
     both = every.join(named, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("text_hash")), "left")
     n_hit = F.coalesce(_covered(F.col("spans")), F.lit(0).cast("long"))
