@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names as N
-from .reads import small
+from ..sources.shared import small, stored
 
 
 def barcode_distance(barcodes: DataFrame, less_than: int = 2) -> DataFrame:
@@ -57,7 +57,8 @@ def demultiplex(reads: DataFrame, sheet: DataFrame, mismatches: int = 1, keys: t
     distance = N.hamming_distance("observed", "seq")
     best = near.groupBy(*keys, "observed").agg(F.min(distance).alias("d"), F.min_by(F.struct("tag", "seq"), distance).alias("hit"), F.sort_array(F.collect_list(distance)).alias("all"))
     single = best.where((F.size("all") == 1) | (F.get("all", F.lit(1)) > F.col("d"))).select(*keys, F.col("observed").alias("barcode"), F.col("hit.tag").alias("tag"), F.col("hit.seq").alias("corrected"))
-    return reads.join(single, [*keys, "barcode"], "left").withColumn("tag", F.coalesce("tag", F.lit("unknown")))
+    # a table: broadcast where it is small, and beyond that Spark can split a barcode that very many reads have
+    return reads.join(stored(single), [*keys, "barcode"], "left").withColumn("tag", F.coalesce("tag", F.lit("unknown")))
 
 
 def missing_barcode(sheet: DataFrame, dirs: DataFrame) -> DataFrame:
