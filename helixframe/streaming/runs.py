@@ -99,14 +99,14 @@ class Settle(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         now, finished = timerValues.getCurrentProcessingTimeInMs(), False
         for pdf in rows:
-            for file, mtime, version in zip(pdf["file"], pdf["mtime"], pdf["version"], strict=True):
+            for file, at, version in zip(pdf["file"], pdf["at"].tolist(), pdf["version"], strict=True):
                 finished |= file == FINISHED
                 if version is not None and version == version:
                     self.version.update((version,))
                 if file == COMPLETE:
                     self.complete.update((True,))
                 if file in NETCOPIES:
-                    self.copies.updateValue((file,), (int(pd.Timestamp(mtime).timestamp() * 1000),))
+                    self.copies.updateValue((file,), (at,))
         if self.emitted.exists():
             return
         if finished:
@@ -142,11 +142,7 @@ def settled_runs(listing: DataFrame, settle_s: int = SETTLE_S) -> DataFrame:
     """(instrument, flowcell, ready_at) through a processing-time timer; needs the RocksDB state store. `version` may be missing from the listing."""
     if "version" not in listing.columns:
         listing = listing.withColumn("version", F.lit(None).cast("string"))
-    return listing.groupBy("instrument", "flowcell").transformWithStateInPandas(Settle(settle_s), "instrument string, flowcell string, ready_at timestamp", "Append", "processingTime")
-
-
-def _ms(at) -> int:
-    return int(pd.Timestamp(at).value // 1_000_000)
+    return listing.withColumn("at", F.unix_millis("mtime")).groupBy("instrument", "flowcell").transformWithStateInPandas(Settle(settle_s), "instrument string, flowcell string, ready_at timestamp", "Append", "processingTime")
 
 
 class Timed(StatefulProcessor):
@@ -190,11 +186,10 @@ class SettleByEventTime(Timed):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for pdf in rows:
-            for file, mtime, version in zip(pdf["file"], pdf["mtime"], pdf["version"], strict=True):
+            for file, at, version in zip(pdf["file"], pdf["at"].tolist(), pdf["version"], strict=True):
                 if version is not None and version == version:
                     self.version.update((version,))
                 if file in (FINISHED, COMPLETE, *NETCOPIES):
-                    at = _ms(mtime)
                     if not self.first.containsKey((file,)) or self.first.getValue((file,))[0] > at:
                         self.first.updateValue((file,), (at,))
         if not self.done.exists():
@@ -221,7 +216,7 @@ class SettleByEventTime(Timed):
             return
         self.done.update((at,))
         self.at_time(at + self.keep_ms)
-        yield pd.DataFrame({"instrument": [key[0]], "flowcell": [key[1]], "ready_at": [pd.Timestamp(at, unit="ms")]})
+        yield pd.DataFrame({"instrument": [key[0]], "flowcell": [key[1]], "ready": [at]})
 
 
 class Ledger(Timed):
@@ -236,14 +231,14 @@ class Ledger(Timed):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last, started = self.last.get()[0] if self.last.exists() else None, []
-        for at in sorted(_ms(t) for pdf in rows for t in pdf["mtime"]):
+        for at in sorted(t for pdf in rows for t in pdf["at"].tolist()):
             if last is None or at - last > self.keep_ms:
                 started.append(at)
             last = at if last is None else max(last, at)
         self.last.update((last,))
         self.at_time(last + self.keep_ms)
         if started:
-            yield pd.DataFrame({"instrument": [key[0]] * len(started), "flowcell": [key[1]] * len(started), "started": pd.to_datetime(started, unit="ms")})
+            yield pd.DataFrame({"instrument": [key[0]] * len(started), "flowcell": [key[1]] * len(started), "start": started})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.timer.clear()
@@ -251,14 +246,19 @@ class Ledger(Timed):
         return iter(())
 
 
+def _timed(listing: DataFrame, late: str):
+    """Runs with their markers' times in milliseconds: pandas would show timestamps in the session's time zone, while timers are in UTC."""
+    return listing.withWatermark("mtime", late).withColumn("at", F.unix_millis("mtime")).groupBy("instrument", "flowcell")
+
+
 def settled_by_event_time(listing: DataFrame, settle_s: int = SETTLE_S, late: str = "1 hour", keep_s: int = 30 * 86_400) -> DataFrame:
     """(instrument, flowcell, ready_at): each run once, at the event time at which its markers make it ready, for markers at most `late` behind the newest.
 
     Needs the RocksDB state store. A replay of the same markers gives the same rows. State is bounded: a run is forgotten `keep_s`
     after it was ready.
     """
-    timed = listing.withWatermark("mtime", late)
-    return timed.groupBy("instrument", "flowcell").transformWithStateInPandas(SettleByEventTime(settle_s, keep_s), "instrument string, flowcell string, ready_at timestamp", "Append", "eventTime")
+    found = _timed(listing, late).transformWithStateInPandas(SettleByEventTime(settle_s, keep_s), "instrument string, flowcell string, ready long", "Append", "eventTime")
+    return found.select("instrument", "flowcell", F.timestamp_millis("ready").alias("ready_at"))
 
 
 def ledger(listing: DataFrame, late: str = "1 hour", keep_s: int = 7 * 86_400) -> DataFrame:
@@ -266,8 +266,8 @@ def ledger(listing: DataFrame, late: str = "1 hour", keep_s: int = 7 * 86_400) -
 
     Needs the RocksDB state store. A key is kept until the watermark is `keep_s` past its last marker, so state does not grow with time.
     """
-    timed = listing.where(F.col("file") == FINISHED).withWatermark("mtime", late)
-    return timed.groupBy("instrument", "flowcell").transformWithStateInPandas(Ledger(keep_s), "instrument string, flowcell string, started timestamp", "Append", "eventTime")
+    found = _timed(listing.where(F.col("file") == FINISHED), late).transformWithStateInPandas(Ledger(keep_s), "instrument string, flowcell string, start long", "Append", "eventTime")
+    return found.select("instrument", "flowcell", F.timestamp_millis("start").alias("started"))
 
 
 def marker_stream(spark: SparkSession, root: str, archive: str | None = None, **options: str) -> DataFrame:
