@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,10 +29,23 @@ def primary(reads: DataFrame) -> Column:
     return ~F.col("not_primary") & (~F.col("supplementary") if "supplementary" in reads.columns else F.lit(True))
 
 
+def _count_of(text: Column, letters: str) -> Column:
+    """How many characters of `text` are in `letters`; no regular expression is needed to count them."""
+    return F.length(text) - F.length(F.translate(text, letters, ""))
+
+
 def cigar_length(cigar, ops: str) -> Column:
-    """Total length of the CIGAR elements whose operation is in `ops`; 0 for `*`, null or none."""
-    found = F.regexp_extract_all(col(cigar), F.lit(f"(\\d+)[{ops}]"), F.lit(1))
-    return F.coalesce(F.aggregate(found, F.lit(0).cast("long"), lambda a, x: a + x.cast("long")), F.lit(0).cast("long"))
+    """Total length of the CIGAR elements whose operation is in `ops`; 0 for `*`, null or none.
+
+    A CIGAR without any of these operations, or of one element, which most are, is not taken apart.
+    """
+    cigar = col(cigar)
+    found = F.regexp_extract_all(cigar, F.lit(f"(\\d+)[{ops}]"), F.lit(1))
+    total = F.coalesce(F.aggregate(found, F.lit(0).cast("long"), lambda a, x: a + x.cast("long")), F.lit(0).cast("long"))
+    none = F.coalesce(F.translate(cigar, ops, "") == cigar, F.lit(True))
+    single = F.translate(cigar, string.digits, "") == F.substring(cigar, -1, 1)
+    number = F.substr(cigar, F.lit(1), F.length(cigar) - 1).try_cast("long")
+    return F.when(none, F.lit(0).cast("long")).when(single & number.isNotNull(), number).otherwise(total)
 
 
 def mismatches(md="md", cigar="cigar", missing_md: str = "error") -> Column:
@@ -38,7 +53,7 @@ def mismatches(md="md", cigar="cigar", missing_md: str = "error") -> Column:
 
     A mapped read must have MD: without it the query fails, or counts no letters with missing_md="zero". Call it on mapped reads.
     """
-    letters = F.length(F.regexp_replace(col(md), "[^A-Za-z]", "")).cast("long")
+    letters = _count_of(col(md), string.ascii_letters).cast("long")
     none = F.raise_error(F.lit("a mapped read has no MD tag")).cast("long") if missing_md == "error" else F.lit(0).cast("long")
     return F.coalesce(letters, none) + cigar_length(cigar, "INHSP")
 
@@ -75,7 +90,7 @@ def adaptor_position(seq="seq", adaptor: str = ADAPTOR) -> Column:
 
 
 def n_count(seq="seq") -> Column:
-    return F.length(F.regexp_replace(col(seq), "[^Nn]", ""))
+    return _count_of(col(seq), "Nn")
 
 
 def is_bad_read(seq="seq", share: float = BAD_SHARE) -> Column:

@@ -1,6 +1,7 @@
 """Edge cases on literal rows, and streams against batches."""
 
 import os
+import re
 import time
 
 import pytest
@@ -251,3 +252,18 @@ def test_a_calculator_merges_sums_and_greatest_values_over_tasks(spark):
     assert len(got) == 5
     with pytest.raises(ValueError):
         suite.state(df, [suite.Calculator("wide", lambda r: [suite.Row(F.col("k"), [F.lit(1)] * 10)], lambda t: t)])
+
+
+def test_cigar_lengths_equal_a_plain_sum(spark):
+    cigars = [None, "", "*", "M", "64M", "4S60M", "30M2I32M", "20M3D44M", "5H10S40M3N20M4S6H", "10=1X53=", "7I", "12P", "0M", "999999999999M", "3M3M", "M5", "5", "12MM", "9223372036854775808M1I"]
+    rows = [(c, n) for c in cigars[:-1] for n in (0,)]
+    df = spark.createDataFrame(rows, "cigar string, n int")
+    for ops in ("MDN=X", "INHSP", "SH"):
+        got = {r["cigar"]: r["got"] for r in df.select("cigar", R.cigar_length("cigar", ops).alias("got")).collect()}
+        assert got == {c: sum(int(k) for k, op in re.findall(r"(\d+)(\D)", c or "") if op in ops) for c, _ in rows}
+    # an element that another operation's number is too long for counts what is asked for
+    long = spark.createDataFrame([(cigars[-1],)], "cigar string")
+    assert long.select(R.cigar_length("cigar", "I").alias("got")).first()["got"] == 1
+    md = spark.createDataFrame([("64", "NnAC"), ("10A51", "nN"), ("20^ACG44", ""), ("0a0C1", "acgt"), ("", None)], "md string, seq string")
+    got = md.select(R.mismatches("md", F.lit("64M")).alias("miss"), R.n_count("seq").alias("n")).collect()
+    assert [tuple(r) for r in got] == [(0, 2), (1, 2), (3, 0), (2, 0), (0, None)]
