@@ -6,6 +6,7 @@ import string
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,6 +147,28 @@ def _quality_sums(qual: pa.Array, least: int) -> pa.Array:
     return pa.array(total[ends[1:] - ends[0]] - total[ends[:-1] - ends[0]])
 
 
+#: The columns of letters_by_position().
+LETTERS_BY_POSITION = "read_no int, position long, letter string, n long"
+
+
+def letters_by_position(reads: pa.Table) -> pa.Table:
+    """How often each byte of `seq` is at each position (from 1) of reads with each `read_no`; reads without a number have 0, those without text count nothing."""
+    reads = reads.filter(pc.is_valid(reads["seq"]))
+    text = pa.chunked_array(reads["seq"].chunks, pa.string()).cast(pa.large_binary()).combine_chunks()
+    text = text if isinstance(text, pa.Array) else pa.concat_arrays(text.chunks or [pa.array([], pa.large_binary())])
+    if not len(text):
+        return pa.table({"read_no": pa.array([], pa.int32()), "position": pa.array([], pa.int64()), "letter": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
+    ends = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+    letters = np.frombuffer(text.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    sizes = np.diff(ends)
+    places = np.arange(len(letters)) - np.repeat(ends[:-1] - ends[0], sizes)
+    numbers = np.repeat(pc.fill_null(reads["read_no"], 0).to_numpy().astype(np.int64), sizes)
+    width = int(sizes.max(initial=0)) + 1
+    keys, n = np.unique((numbers * width + places) * 256 + letters, return_counts=True)
+    names = [chr(k) for k in range(256)]
+    return pa.table({"read_no": pa.array(keys // 256 // width, pa.int32()), "position": pa.array(keys // 256 % width + 1, pa.int64()), "letter": pa.array([names[k] for k in keys % 256], pa.string()), "n": pa.array(n, pa.int64())})
+
+
 def quality_sum(qual="qual", least: int = 15) -> Column:
     """Sum of the base qualities of at least `least`; no built-in function folds characters outside of interpreted code, so Arrow batches go to numpy."""
 

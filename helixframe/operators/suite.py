@@ -13,7 +13,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import reads as R
@@ -152,6 +153,24 @@ def register(name: str, calculator: Calculator | Callable[[DataFrame], DataFrame
     CALCULATORS[name] = calculator
 
 
+def register_sql(spark: SparkSession, name: str, partial: Callable[[pa.Table], pa.Table], state: str) -> None:
+    """Makes `partial` a table function of SQL, for a calculator whose state needs code of its own.
+
+    It is called with an Arrow batch of the rows at a time, where they are, and gives their state as a table of the columns `state`
+    (a DDL text). Nothing is kept from batch to batch, so states come in parts, and the query that asks for them merges those:
+
+        SELECT key, sum(n) AS n FROM name(TABLE(SELECT ... FROM reads)) GROUP BY key
+
+    Spark adds up the parts of a task before it shuffles them. An empty table gives no parts; a batch may give an empty state.
+    """
+
+    class Partial:
+        def eval(self, batch):
+            yield partial(pa.Table.from_batches([batch]) if isinstance(batch, pa.RecordBatch) else batch)
+
+    spark.udtf.register(name, F.arrow_udtf(Partial, returnType=state))
+
+
 def metric_suite(reads: DataFrame, names: list[str] | None = None) -> DataFrame:
     """(calculator, metric, value) of all calculators, or those named; one scan of `reads` serves all that are a Calculator.
 

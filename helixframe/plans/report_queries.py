@@ -424,6 +424,13 @@ def mergeable_calculator(spark: SparkSession, sf_dir: str) -> DataFrame:
         del suite.CALCULATORS["gc"]
 
 
+@query("sql_calculator", WITH + """SELECT read_no, position, letter, count(*) AS n FROM (SELECT read_no, unnest(range(1, length(seq) + 1)) AS position, unnest(string_split(seq, '')) AS letter FROM reads) GROUP BY read_no, position, letter""")
+def sql_calculator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Letters by position, through a table function of SQL whose parts the query merges."""
+    suite.register_sql(spark, "letters_by_position", R.letters_by_position, R.LETTERS_BY_POSITION)
+    return spark.sql("SELECT read_no, position, letter, sum(n) AS n FROM letters_by_position(TABLE(SELECT read_no, seq FROM {reads})) GROUP BY read_no, position, letter", reads=reads(spark, sf_dir))
+
+
 @query("number_formats", "SELECT o_orderkey AS id, printf('%.2f', round_even(o_orderkey / 8.0::DOUBLE, 2)) AS half_even, printf('%.2f', floor(o_orderkey * 12.5::DOUBLE + 0.5) / 100) AS half_up FROM orders")
 def number_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = F.col("o_orderkey") / 8.0

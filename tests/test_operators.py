@@ -267,3 +267,24 @@ def test_cigar_lengths_equal_a_plain_sum(spark):
     md = spark.createDataFrame([("64", "NnAC"), ("10A51", "nN"), ("20^ACG44", ""), ("0a0C1", "acgt"), ("", None)], "md string, seq string")
     got = md.select(R.mismatches("md", F.lit("64M")).alias("miss"), R.n_count("seq").alias("n")).collect()
     assert [tuple(r) for r in got] == [(0, 2), (1, 2), (3, 0), (2, 0), (0, None)]
+
+
+def test_calculators_in_sql_merge_parts_of_batches(spark):
+    rows = [(1, "ACGT"), (1, "A"), (2, ""), (2, None), (None, "GG"), (0, "G"), (1, "N" * 3000)] * 50
+    df = spark.createDataFrame(rows, "read_no int, seq string").repartition(3)
+    suite.register_sql(spark, "letters_by_position", R.letters_by_position, R.LETTERS_BY_POSITION)
+    text = "SELECT read_no, position, letter, sum(n) AS n FROM letters_by_position(TABLE({t})) GROUP BY ALL"
+    want = {}
+    for number, seq in rows:
+        for k, c in enumerate(seq or "", 1):
+            want[number or 0, k, c] = want.get((number or 0, k, c), 0) + 1
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        got = spark.sql(text, t=df)
+        assert {tuple(r)[:3]: r["n"] for r in got.collect()} == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Exchange") < plan.index("ArrowEvalPythonUDTF")  # merged in tasks first; rows are not shuffled for the function
+        assert spark.sql(text, t=df.where("read_no > 7")).count() == 0
+        assert spark.sql(text, t=df.where("seq IS NULL")).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
