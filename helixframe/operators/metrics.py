@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import reads as R
-from .intervals import FINEST, interval_join
+from ..sources.shared import stored
+from .intervals import FINEST, interval_join, merged
 
 count_if = lambda c: F.coalesce(F.count_if(c), F.lit(0))
 
@@ -185,16 +186,33 @@ def target_depth(reads: DataFrame, targets: DataFrame, bin_size: int = 1024) ->
     return runs.where((F.col("in_target") > 0) & F.col("n").isNotNull()).groupBy("chr", "depth").agg(F.sum("n").alias("bases"))
 
 
+def _hits(reads: DataFrame, targets: DataFrame, buffer: int) -> tuple[DataFrame, DataFrame]:
+    """Reads (qname, read_no, on) and targets (chr, start_pos, end_pos, on) that capture_overlap() has, once each; on: one of their rows is on target.
+
+    A read overlaps some target if it overlaps their union, and a target some read likewise, so no pair of the two is made. Targets
+    that end before they start are no part of a union and are paired as they are.
+    """
+    ends = reads.where(~F.col("unmapped")).select("qname", "read_no", F.col("rname").alias("chr"), F.col("pos").alias("r_start"), R.alignment_end().alias("r_end"))
+    wanted = targets.select("chr", "start_pos", "end_pos").distinct()
+    both = F.array(F.struct(F.lit(True).alias("on"), F.col("start_pos").alias("low"), F.col("end_pos").alias("high")), F.struct(F.lit(False).alias("on"), (F.col("start_pos") - buffer).alias("low"), (F.col("end_pos") + buffer).alias("high")))
+    wide = wanted.select("*", F.explode(both).alias("w")).select("chr", "start_pos", "end_pos", "w.*")
+    odd = wanted.where(F.col("start_pos") > F.col("end_pos"))
+    right = wide.where(F.col("start_pos") <= F.col("end_pos"))
+    pieces = stored(merged(right.where("on"), "chr", "low", "high").withColumn("on", F.lit(True)).unionByName(merged(right.where("NOT on"), "chr", "low", "high").withColumn("on", F.lit(False))), "pieces")
+    covered = stored(merged(ends, "chr", "r_start", "r_end"), "pieces")
+    of_reads = interval_join(ends, pieces, "chr", ("r_start", "r_end"), ("low", "high")).select("qname", "read_no", "on")
+    of_targets = interval_join(right, covered, "chr", ("low", "high"), ("r_start", "r_end")).select("chr", "start_pos", "end_pos", "on")
+    if not odd.isEmpty():
+        pairs = capture_overlap(reads, odd, buffer).withColumnRenamed("on_target", "on")
+        of_reads, of_targets = of_reads.unionByName(pairs.select(*of_reads.columns)), of_targets.unionByName(pairs.select(*of_targets.columns))
+    return tuple(df.groupBy(*df.columns[:-1]).agg(F.max("on").alias("on")) for df in (of_reads, of_targets))
+
+
 def capture_metrics(reads: DataFrame, targets: DataFrame, buffer: int = 100) -> DataFrame:
     """One row: reads, duplicates, aligned, on target, on buffer, hits, mean coverage and bases by least depth."""
-    overlap = capture_overlap(reads, targets, buffer)
-    # each overlap says something of its read and of its target; one pass of partial maxima over both kinds of keys, and their counts
-    none = lambda kind: F.lit(None).cast(kind)
-    of_read = F.struct(F.col("qname"), F.col("read_no").cast("long").alias("a"), none("long").alias("b"))
-    of_target = F.struct(F.col("chr").alias("qname"), F.col("start_pos").cast("long").alias("a"), F.col("end_pos").cast("long").alias("b"))
-    keys = overlap.select(F.explode(F.array(of_read, of_target)).alias("key"), "on_target").groupBy("key").agg(F.max("on_target").alias("on"))
-    target = F.col("key.b").isNotNull()
-    hits = keys.agg(count_if(~target & F.col("on")).alias("target_reads"), count_if(~target).alias("target_or_buffer_reads"), count_if(target & F.col("on")).alias("targets_hit"), count_if(target).alias("target_buffers_hit"))
+    reads_hit, targets_hit = _hits(reads, targets, buffer)
+    count = lambda df, on, any_: df.agg(count_if(F.col("on")).alias(on), F.count(F.lit(1)).alias(any_))
+    hits = count(reads_hit, "target_reads", "target_or_buffer_reads").crossJoin(count(targets_hit, "targets_hit", "target_buffers_hit"))  # one row each
     totals = reads.agg(F.count(F.lit(1)).alias("total_reads"), count_if(~F.col("unmapped")).alias("aligned_reads"), count_if(~F.col("unmapped") & F.col("dup")).alias("duplicate_reads"))
     depth = target_depth(reads, targets)
     bases = depth.agg(F.sum("bases").alias("target_bases"), (F.sum(F.col("bases") * F.col("depth")) / F.sum("bases")).alias("mean_coverage"),
