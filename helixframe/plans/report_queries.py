@@ -17,7 +17,7 @@ from ..operators import runs as U
 from ..operators import samples as S
 from ..operators import suite
 from ..sources import reports, sequences, tables, xml
-from ..sources.shared import new_folder
+from ..sources.shared import new_folder, write_folders
 from ..streaming import runs as T
 from .fixtures import BARCODES, FLOWCELLS, LANE_BARCODES, LANE_SUMMARY, READS, RUN_FILES, RUN_MARKERS, SAMPLE_SHEET, ctes, load
 from .read_queries import SQL as SQL_OF
@@ -142,7 +142,7 @@ def analysis_lanes_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("run_listing", ctes(r=RUN_FILES) + "SELECT DISTINCT instrument, flowcell, true AS dated FROM r")
 def run_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "runs")
-    load(spark, sf_dir, RUN_FILES).select("instrument", "flowcell", "file").distinct().repartition("instrument", "flowcell").write.partitionBy("instrument", "flowcell").text(path)
+    write_folders(load(spark, sf_dir, RUN_FILES).select("instrument", "flowcell", "file").distinct(), path, "instrument", "flowcell")
     plain = lambda c: F.regexp_replace(c, "^[a-z]+=", "").alias(c)
     got = tables.list_runs(spark, path).where(F.col("file").startswith("part-"))
     return got.select(plain("instrument"), plain("flowcell"), (F.col("mtime") > "2020-01-01").alias("dated")).distinct()
