@@ -217,7 +217,7 @@ def write_fastq(records: DataFrame, path: str, order: tuple[str, ...] = ("file",
 
 def write_sam(records: DataFrame, sq: DataFrame, rg: DataFrame, pg: DataFrame, path: str, other: DataFrame | None = None) -> None:
     """Header lines (with those of read_sam_other() in `other`), then the records by coordinate, over the part files in order."""
-    idx = sq.select(F.col("sn").alias("rname"), F.col("idx").cast("long").alias("ref_at"))
+    idx = small(sq.select(F.col("sn").alias("rname"), F.col("idx").cast("long").alias("ref_at")))  # else all reads of a contig would go to one task
     body = records.join(idx, "rname", "left").select(
         F.when(F.col("unmapped") | F.col("ref_at").isNull(), 5).otherwise(4).alias("kind"), F.coalesce("ref_at", F.lit(-1).cast("long")).alias("at"), F.coalesce("pos", F.lit(0)).cast("long").alias("pos"), F.col("qname").alias("name"), sam_lines(records).alias("value"))
     head = header_lines(sq, rg, pg, other).select("kind", "at", F.lit(0).cast("long").alias("pos"), F.lit("").alias("name"), "value")
