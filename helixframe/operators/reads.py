@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import reads as R
-from ..sources.shared import small, stored
+from ..sources.shared import is_small, small, stored
 from .keyed import occurrences, ranked, with_best
 
 #: Fixed value: the control genome's contig.
 CONTAMINANT = "gi|9626372|ref|NC_001422.1|"
+#: Records of a name, at most, that one task takes together.
+CROWDED = 10_000
+#: Records of a task, and as many tasks as are written without being sorted for them (Spark's default); beyond, tasks get up to MOST_RECORDS.
+TASK_RECORDS, MANY_TASKS, MOST_RECORDS = 50_000, 200, 1_000_000
+#: Names that repeat are few if there are this many records to one of them; the choice goes by their share, so that larger inputs do as smaller ones.
+FEW = 20
+
 
 def contaminant_names(reads: DataFrame, contig: str = CONTAMINANT) -> DataFrame:
     return reads.where(~F.col("unmapped") & (F.lower("rname") == contig.lower())).select("qname").distinct()
@@ -115,25 +122,93 @@ def fix_mate_information(reads: DataFrame) -> DataFrame:
     The k-th primary record of a name and read number belongs to the k-th one of its mate, in the order of reference, position
     and the rest; secondary and supplementary records take the first. Records without a counterpart, without a name (null or
     `*`), of fragments, or that are neither first nor second stay as they are.
+
+    Records are dealt out by name once, and the mates of a name found in the task that has it; only names of more than CROWDED
+    records are ranked and joined over the cluster. Bases and qualities go along, to order by, only where records differ in nothing else.
     """
     named = F.col("paired") & F.coalesce(F.col("qname") != "*", F.lit(False)) & F.col("read_no").isin(1, 2)
-    named, primary = F.coalesce(named, F.lit(False)), R.primary(reads)
-    ties = [c for c in ("rname", "pos", "neg", "cigar", "mapq", "unmapped", "seq", "qual") if c in reads.columns]
-    placed = occurrences(reads.where(named & primary), ["qname", "read_no"], ties)
-    mate = placed.select(
-        F.col("qname").alias("m_qname"), (3 - F.col("read_no")).alias("m_read_no"), F.col("occurrence").alias("m_occurrence"), F.col("rname").alias("m_rname"), F.col("pos").alias("m_pos"), R.alignment_end().alias("m_end"), F.col("neg").alias("m_neg"), F.col("unmapped").alias("m_unmapped"))
-    rest = reads.where(named & ~primary).withColumn("occurrence", F.lit(1).cast("long"))
-    pairs = (F.col("qname") == F.col("m_qname")) & (F.col("read_no") == F.col("m_read_no")) & (F.col("occurrence") == F.col("m_occurrence"))
-    out = placed.unionByName(rest).join(mate, pairs, "left").withColumn("own_end", R.alignment_end())
-    there = F.col("m_qname").isNotNull()
-    span = F.greatest("own_end", "m_end") - F.least("pos", "m_pos") + 1
-    left = (F.col("pos") < F.col("m_pos")) | ((F.col("pos") == F.col("m_pos")) & (F.col("read_no") == 1))
-    length = F.when(F.col("unmapped") | F.col("m_unmapped") | (F.col("rname") != F.col("m_rname")), F.lit(0)).when(left, span).otherwise(-span)
-    new = {"rnext": F.col("m_rname"), "pnext": F.col("m_pos"), "mate_neg": F.col("m_neg"), "mate_unmapped": F.col("m_unmapped"), "tlen": length}
+    named = F.coalesce(named, F.lit(False))
+    rows = reads.where(named).withColumns({"_primary": R.primary(reads), "_end": R.alignment_end()})
+    order = [c for c in ("rname", "pos", "neg", "cigar", "mapq", "unmapped", "seq", "qual") if c in reads.columns]
+    several, n = _repeated_names(rows)
+    crowded = several.where(F.col("n") > CROWDED).select("qname")
+    out = None
+    if not crowded.isEmpty():
+        crowded = small(crowded)  # a row for every CROWDED records at most
+        out = _mates_over_names(rows.join(crowded, "qname", "left_semi"), order)
+        rows = rows.join(crowded, "qname", "left_anti")
+    within = _mates_within_names(rows, order, several, n)
+    out = within if out is None else out.unionByName(within)
+    there, mate = F.col("_mate").isNotNull(), F.col("_mate")
+    span = F.greatest("_end", mate["end"]) - F.least(F.col("pos"), mate["pos"]) + 1
+    left = (F.col("pos") < mate["pos"]) | ((F.col("pos") == mate["pos"]) & (F.col("read_no") == 1))
+    length = F.when(F.col("unmapped") | mate["unmapped"] | (F.col("rname") != mate["rname"]), F.lit(0)).when(left, span).otherwise(-span)
+    new = {"rnext": mate["rname"], "pnext": mate["pos"], "mate_neg": mate["neg"], "mate_unmapped": mate["unmapped"], "tlen": length}
     fixed = out.withColumns({c: F.when(there, v.cast(reads.schema[c].dataType)).otherwise(F.col(c)) for c, v in new.items()}).select(*reads.columns)
     return fixed.unionByName(reads.where(~named))
 
 
+def _of_mate() -> Column:
+    """What a read takes over from its mate."""
+    return F.struct("rname", "pos", F.col("_end").alias("end"), "neg", "unmapped")
+
+
+def _repeated_names(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(qname, n) of the names that have several primary records of a read number, or more than CROWDED records; and how many rows there are."""
+    seen = Observation()
+    of = lambda k: F.count_if(F.col("_primary") & (F.col("read_no") == k)) > 1
+    names = rows.groupBy("qname").agg(F.count(F.lit(1)).alias("n"), (of(1) | of(2)).alias("again")).observe(seen, F.sum("n").alias("rows"))
+    return stored(names.where(F.col("again") | (F.col("n") > CROWDED)).select("qname", "n")), seen.get["rows"] or 0
+
+
+def _names_told_by_text(rows: DataFrame, several: DataFrame | None, ties: list[str], texts: list[str], tasks: int) -> DataFrame:
+    """The names with primary records of a read number that agree in `ties` but differ in `texts`.
+
+    What agrees is found by 64-bit hashes, which can but add names; what differs by two of the texts. No text is shuffled. Only
+    the names in `several`, if given, are looked at; it is broadcast. A name has at most CROWDED records here, so that records
+    are dealt out as they are: nearly all are alone, and adding them up before would take memory for each.
+    """
+    ours = rows.where("_primary")
+    ours = ours if several is None else ours.join(F.broadcast(several), "qname", "left_semi")
+    ours = ours.select("qname", F.xxhash64("qname", "read_no", *ties).alias("_alike"), F.xxhash64(*texts).alias("_text"), F.xxhash64(F.lit(1), *reversed(texts)).alias("_text2"))
+    differ = (F.min("_text") < F.max("_text")) | (F.min("_text2") < F.max("_text2"))
+    alike = stored(ours.drop("qname").repartition(tasks, "_alike").groupBy("_alike").agg(differ.alias("differ")).where("differ").select("_alike"))
+    return stored(ours.join(small(alike), "_alike", "left_semi").select("qname").distinct())
+
+
+def _mates_within_names(rows: DataFrame, order: list[str], several: DataFrame, n: int) -> DataFrame:
+    """`rows` with `_mate`; the records of a name are together in a task. `several` has the names that repeat, `n` is about the number of rows."""
+    tasks = min(n // TASK_RECORDS + 1, max(MANY_TASKS, n // MOST_RECORDS + 1))
+    nth = F.lit(1)
+    if not several.isEmpty():
+        texts = [c for c in order if c in ("seq", "qual")]
+        order = [c for c in order if c not in texts]
+        few = several.count() * FEW < n and is_small(several)
+        told = _names_told_by_text(rows, several if few else None, order, texts, tasks) if texts else several.limit(0)
+        if told.isEmpty():
+            pass
+        elif is_small(told):
+            rows = rows.join(F.broadcast(told.withColumn("_told", F.lit(True))), "qname", "left")
+            rows = rows.withColumns({f"_{c}": F.when(F.col("_told"), F.col(c)) for c in texts}).drop("_told")
+            order += [f"_{c}" for c in texts]
+        else:
+            order += texts
+        nth = F.when(F.col("_primary"), F.row_number().over(Window.partitionBy("qname", "read_no", "_primary").orderBy(*order))).otherwise(1)
+    name = Window.partitionBy("qname", "_nth")
+    read = lambda k: F.max(F.when(F.col("_primary") & (F.col("read_no") == k), _of_mate())).over(name)
+    placed = rows.repartition(tasks, "qname").withColumn("_nth", nth).withColumns({"_first": read(1), "_second": read(2)})
+    return placed.withColumn("_mate", F.when(F.col("read_no") == 1, F.col("_second")).otherwise(F.col("_first"))).select(*[c for c in rows.columns if c not in ("_seq", "_qual")], "_mate")
+
+
+def _mates_over_names(rows: DataFrame, order: list[str]) -> DataFrame:
+    """`rows` with `_mate`, for names of any number of records: primary ones are ranked over the cluster and joined by place."""
+    placed = stored(occurrences(rows.where("_primary"), ["qname", "read_no"], order))
+    mate = placed.select("qname", (3 - F.col("read_no")).cast(rows.schema["read_no"].dataType).alias("read_no"), "occurrence", _of_mate().alias("_mate"))
+    first = small(mate.where("occurrence = 1").drop("occurrence"))  # two rows a name at most
+    paired = placed.join(mate, ["qname", "read_no", "occurrence"], "left").drop("occurrence")
+    return paired.unionByName(rows.where("NOT _primary").join(first, ["qname", "read_no"], "left"))
+
+
 def mark_duplicates(reads: DataFrame) -> DataFrame:
     """Of the primary mapped reads with equal reference, unclipped 5' end, strand and mate's end, the one with the highest base-quality sum stays.
 

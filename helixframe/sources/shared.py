@@ -38,11 +38,16 @@ def stored(df: DataFrame, kind: str = "stored") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
-    """A broadcast hint if the rows of `df` take at most `most` bytes (text, and 16 a column), else `df` as it is."""
+def is_small(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of `df` take at most `most` bytes (text, and 16 a column)."""
     width = lambda c, kind: F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) + 16 if kind == "string" else F.lit(16)
     size = df.agg(F.sum(sum((width(c, k) for c, k in df.dtypes), F.lit(0)).cast("long"))).first()[0]
-    return F.broadcast(df) if (size or 0) <= most else df
+    return (size or 0) <= most
+
+
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint if `df` is small, else `df` as it is."""
+    return F.broadcast(df) if is_small(df, most) else df
 
 
 #: Files that a task writes, where each key has a file of its own, and a setting by which tasks put files in place, which the driver would else do one by one at the end.
