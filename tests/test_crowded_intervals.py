@@ -49,3 +49,20 @@ def test_capture_metrics_make_no_pairs(spark, monkeypatch):
     got = M.capture_metrics(reads, targets, 10).first()
     assert (got["target_reads"], got["target_or_buffer_reads"], got["targets_hit"], got["target_buffers_hit"]) == want
     assert made == [0]
+
+
+def test_pairs_of_a_crowded_cell_come_by_place(spark, monkeypatch):
+    rng = random.Random(7)
+    reads = spark.createDataFrame([(f"r{k}", 1, True, False, False, "c", rng.randrange(1100, 1200), "20M") for k in range(60)], READ)
+    targets = spark.createDataFrame([("c", s := rng.randrange(1050, 1120), s + rng.randrange(70, 100)) for _ in range(50)], "chr string, start_pos long, end_pos long")
+    monkeypatch.setattr(intervals, "TASK_PAIRS", 50)
+    monkeypatch.setattr(intervals, "CROWDED", 2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = [(r["r_start"], r["start_pos"], r["end_pos"]) for r in M.capture_overlap(reads, targets, 10).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    places = [k for k in range(1, len(got)) if got[k][0] != got[k - 1][0]]
+    assert len(got) > 500 and got == sorted(got, key=lambda g: g[0]) and len(places) < 60
+    assert sum(a[1:] > b[1:] for a, b in zip(got, got[1:])) < 60  # only where the next read begins
