@@ -345,9 +345,10 @@ def sam_tags_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = reads(spark, sf_dir).withColumns({"tag_text": F.array(F.concat(F.lit("NM:i:"), text(F.col("pos") % 7)), F.lit("XF:f:0.5")), "rg": F.lit("g")})
     path = new_folder(spark, "sam")
     sequences.write_sam(rows, sq, rg, pg, path, other)
-    got, sq2, rg2, pg2 = sequences.read_sam(spark, path)
-    head = sequences.read_sam_other(spark, path).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "value"))), lambda e: F.translate(e["value"], "\t", " ")), "|").alias("other"))
-    lines = head.crossJoin(rg2.select(F.col("rest").alias("rg_rest"))).crossJoin(pg2.select(F.col("rest").alias("pg_rest")))  # one row each
+    header = sequences.sam_header(spark, path)
+    got, sq2, rg2, pg2 = sequences.read_sam(spark, path, header)
+    head = sequences.read_sam_other(spark, path, header).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "value"))), lambda e: F.translate(e["value"], "\t", " ")), "|").alias("other"))
+    lines = head.crossJoin(F.broadcast(rg2.select(F.col("rest").alias("rg_rest")))).crossJoin(F.broadcast(pg2.select(F.col("rest").alias("pg_rest"))))  # one row each
     named = got.join(O.small(sq2.select(F.col("sn").alias("rname"), F.col("rest").alias("sq_rest"))), "rname", "left")
     return named.crossJoin(F.broadcast(lines)).select("qname", "read_no", F.array_join("tag_text", " ").alias("tags"), "other", "sq_rest", "rg_rest", "pg_rest")
 

@@ -136,13 +136,18 @@ def _header(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _split_lines(spark, path).where(F.col("value").startswith("@")).withColumn("seen", F.monotonically_increasing_id())
 
 
-def read_sam_other(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def sam_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The header lines as a stored table, for read_sam() and read_sam_other(), which else look through all lines for each table that is used."""
+    return stored(_header(spark, path), "header")
+
+
+def read_sam_other(spark: SparkSession, path: str | list[str], header: DataFrame | None = None) -> DataFrame:
     """(at, value): the header lines that read_sam() makes no tables of (@HD, @CO and unknown ones), in order from 0."""
-    head = _header(spark, path).where(~F.col("value").rlike("^@(SQ|RG|PG)\t"))
+    head = (_header(spark, path) if header is None else header).where(~F.col("value").rlike("^@(SQ|RG|PG)\t"))
     return head.select((F.row_number().over(Window.orderBy("file", "block", "seen")) - 1).cast("long").alias("at"), "value")  # header lines only
 
 
-def read_sam(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def read_sam(spark: SparkSession, path: str | list[str], header: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(records, sq, rg, pg) of SAM text. No row is rejected: fields that are missing or no numbers are null.
 
     read_no is 1 for fragments, and 0 for paired reads that are neither first nor second (or both: 1).
@@ -150,7 +155,7 @@ def read_sam(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, Dat
     write_sam(). Header fields without a column are in `rest`.
     """
     lines = spark.read.text(path)
-    head = _header(spark, path)
+    head = _header(spark, path) if header is None else header
     order = Window.orderBy("file", "block", "seen")  # header lines only: a contig or a group each
     sq = head.where(F.col("value").startswith("@SQ\t")).select((F.row_number().over(order) - 1).alias("idx"), _field("SN").alias("sn"), _field("LN").cast("long").alias("ln"), _field("UR").alias("ur"), _field("AS").alias("assembly"), _field("SP").alias("species"), _rest("SQ").alias("rest"))
     rg = head.where(F.col("value").startswith("@RG\t")).select(_field("ID").alias("id"), _field("SM").alias("sm"), _field("LB").alias("lb"), _field("PU").alias("pu"), _field("PL").alias("pl"), _field("CN").alias("cn"), _field("DT").try_cast("timestamp").alias("dt"), _rest("RG").alias("rest"))
@@ -216,9 +221,12 @@ def write_fastq(records: DataFrame, path: str, order: tuple[str, ...] = ("file",
 
 
 def write_sam(records: DataFrame, sq: DataFrame, rg: DataFrame, pg: DataFrame, path: str, other: DataFrame | None = None) -> None:
-    """Header lines (with those of read_sam_other() in `other`), then the records by coordinate, over the part files in order."""
+    """Header lines (with those of read_sam_other() in `other`), then the records by coordinate, over the part files in order.
+
+    Header lines are one partition: beside many that are nearly empty Spark would take those of the records for uneven ones, and sample them twice.
+    """
     idx = small(sq.select(F.col("sn").alias("rname"), F.col("idx").cast("long").alias("ref_at")))  # else all reads of a contig would go to one task
     body = records.join(idx, "rname", "left").select(
         F.when(F.col("unmapped") | F.col("ref_at").isNull(), 5).otherwise(4).alias("kind"), F.coalesce("ref_at", F.lit(-1).cast("long")).alias("at"), F.coalesce("pos", F.lit(0)).cast("long").alias("pos"), F.col("qname").alias("name"), sam_lines(records).alias("value"))
     head = header_lines(sq, rg, pg, other).select("kind", "at", F.lit(0).cast("long").alias("pos"), F.lit("").alias("name"), "value")
-    head.unionByName(body).orderBy("kind", "at", "pos", "name", "value").select("value").write.text(path)
+    head.coalesce(1).unionByName(body).orderBy("kind", "at", "pos", "name", "value").select("value").write.text(path)

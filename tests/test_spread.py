@@ -61,3 +61,24 @@ def test_markers_are_read_by_a_few_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert spark.read.parquet(str(tmp_path / "out")).count() == most + 20
     assert len([f for f in os.listdir(tmp_path / "out") if f.startswith("part-")]) <= most and spark.conf.get(T.LISTING_TASKS) == jobs
+
+
+def test_header_tables_are_not_paired_line_by_line(spark, sf):
+    from helixframe.plans import registry
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = registry.QUERIES["sam_tags_round_trip"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" in plan
+
+
+def test_sam_by_a_stored_header_is_the_same(spark, tmp_path):
+    (tmp_path / "a.sam").write_text("@HD\tVN:1.0\n@SQ\tSN:c\tLN:9\n@RG\tID:g\tDS:x\n@PG\tID:t\n@CO\tnote\nr\t4\t*\t0\t0\t*\t*\t0\t0\tAC\tII\n@SQ\tSN:d\tLN:8\tM5:f\n")
+    path = str(tmp_path / "a.sam")
+    header = sequences.sam_header(spark, path)
+    rows = lambda dfs: [sorted(map(str, df.collect())) for df in dfs]
+    assert rows(sequences.read_sam(spark, path, header)) == rows(sequences.read_sam(spark, path))
+    assert rows([sequences.read_sam_other(spark, path, header)]) == rows([sequences.read_sam_other(spark, path)]) != [[]]
